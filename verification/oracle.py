@@ -11,3 +11,321 @@ ORACLE: dict[str, str] = {
     "rollup_pos_cash": RS.pos_cash_sql(),
     "rollup_credit_card": RS.credit_card_sql(),
 }
+
+# --- shared primitives, joins, assembly -------------------------------------
+
+ORACLE["last_non_null"] = f"""
+WITH r AS (SELECT l_orderkey, CASE WHEN l_returnflag <> 'A' THEN l_quantity END AS v,
+  CASE WHEN l_linestatus = 'F' THEN {RS.days('l_shipdate')} END AS o FROM lineitem)
+SELECT l_orderkey, last(v ORDER BY o NULLS LAST, v) FILTER (WHERE v IS NOT NULL) AS last_quantity FROM r GROUP BY 1"""
+
+ORACLE["row_argmax"] = """
+SELECT l_orderkey, nullif(l_quantity, 1.0) AS best_q, l_partkey AS best_l_partkey, l_linestatus AS best_l_linestatus
+FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
+  ORDER BY l_shipdate DESC, l_extendedprice DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC) = 1"""
+
+ORACLE["pivot_counts"] = """
+SELECT user_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'click') AS n_click,
+  count(*) FILTER (WHERE event_type = 'error') AS n_error, count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase,
+  0::BIGINT AS n_refund, count(*) FILTER (WHERE event_type IN ('view', 'signup')) AS n_other, 0 AS ever_refund,
+  count(*) FILTER (WHERE event_type = 'error') / nullif(count(*) FILTER (WHERE event_type = 'purchase'), 0) AS error_rate
+FROM events GROUP BY 1"""
+
+ORACLE["join_diagnostics"] = """
+WITH c AS (SELECT DISTINCT l_orderkey AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+p AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'P')
+SELECT (SELECT count(*) FROM c) AS child_keys, (SELECT count(*) FROM c SEMI JOIN p USING (k)) AS matched_keys,
+  (SELECT count(*) FROM c ANTI JOIN p USING (k)) AS orphan_keys"""
+
+_FAMILIES = {
+    "has_bureau_history": "rollup_bureau",
+    "has_previous_application": "rollup_previous",
+    "has_pos_cash_history": "rollup_pos_cash",
+    "has_installment_history": "rollup_installments",
+    "has_credit_card_history": "rollup_credit_card",
+}
+_MATRIX = f"""
+SELECT * REPLACE ({', '.join(f'coalesce({f}, 0) AS {f}' for f in _FAMILIES)}) FROM ({RS.APPLICATION}) base
+{' '.join(f'LEFT JOIN ({ORACLE[q]}) {q} USING (SK_ID_CURR)' for q in _FAMILIES.values())}"""
+ORACLE["assemble_matrix"] = _MATRIX
+
+# --- profiling and contracts ------------------------------------------------
+
+_ORDERS = """
+SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, o_orderpriority,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN floor(o_totalprice) END AS o_totalprice, o_custkey % 12 AS month FROM orders"""
+
+
+def _number_profile(c: str, small: bool) -> str:
+    values = f"(SELECT list(DISTINCT {c} ORDER BY {c}) FROM o WHERE {c} IS NOT NULL)"
+    text = lambda v: f"array_to_string({v}, ',')" if small else "NULL::VARCHAR"
+    return f"""SELECT '{c}' AS feature, count(*) AS rows, count(*) - count({c}) AS nulls,
+      round((count(*) - count({c})) / count(*), 6) AS null_rate, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max,
+      round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(quantile_cont({c}, 0.01), 4) AS p01,
+      round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.99), 4) AS p99,
+      {f'count(DISTINCT {c})' if small else 'NULL::BIGINT'} AS n_unique, {text(values)} AS unique_values,
+      {text(f'{values}[1:5]')} AS sample_values FROM o"""
+
+
+def _text_profile(c: str) -> str:
+    values = f"(SELECT list(DISTINCT {c} ORDER BY {c}) FROM o WHERE {c} IS NOT NULL)"
+    none = ", ".join(f"NULL::DOUBLE AS {s}" for s in ("min", "max", "mean", "std", "p01", "p50", "p99"))
+    return f"""SELECT '{c}' AS feature, count(*) AS rows, count(*) - count({c}) AS nulls,
+      round((count(*) - count({c})) / count(*), 6) AS null_rate, {none}, count(DISTINCT {c}) AS n_unique,
+      array_to_string({values}, ',') AS unique_values, array_to_string({values}[1:5], ',') AS sample_values FROM o"""
+
+
+_PROFILE = [_number_profile("o_orderkey", False), _number_profile("o_totalprice", False), _number_profile("month", True)]
+_PROFILE += [_text_profile("o_orderstatus"), _text_profile("o_orderpriority")]
+ORACLE["profile_columns"] = f"WITH o AS ({_ORDERS}) " + " UNION ALL ".join(f"({p})" for p in _PROFILE)
+
+ORACLE["key_uniqueness"] = " UNION ALL ".join(
+    f"""SELECT '{k}' AS "key", count(*) AS n_rows, count(DISTINCT {k}) AS n_unique, count(*) - count({k}) AS n_null,
+    (SELECT max(n) FROM (SELECT count(*) AS n FROM lineitem GROUP BY {k})) AS largest_group,
+    count(*) - count(DISTINCT {k}) AS duplicates, count(*) = count(DISTINCT {k}) AS is_unique FROM lineitem"""
+    for k in ("l_orderkey", "l_partkey")
+)
+
+ORACLE["join_stats"] = """
+WITH c AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), p AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'P'),
+n AS (SELECT (SELECT count(*) FROM c) AS u, (SELECT count(*) FROM p) AS pu, (SELECT count(*) FROM c ANTI JOIN p USING (k)) AS o,
+  (SELECT count(*) FROM c SEMI JOIN p USING (k)) AS m)
+SELECT (SELECT count(*) FROM lineitem) AS child_rows, u AS child_unique_keys, pu AS parent_unique_keys, o AS orphan_keys,
+  m AS matched_keys, round(o / greatest(u, 1), 6) AS orphan_rate, round(m / greatest(pu, 1), 6) AS coverage_of_parent FROM n"""
+
+ORACLE["target_profile"] = """
+WITH t AS (SELECT toxic FROM documents LEFT JOIN labels USING (doc_id))
+SELECT toxic AS value, count(*) AS n, (SELECT count(*) FROM t) AS rows, (SELECT count(*) FROM t WHERE toxic IS NULL) AS null_count,
+  (SELECT round(avg(toxic), 9) FROM t) AS positive_rate FROM t GROUP BY 1"""
+
+ORACLE["sentinel_profile"] = f"WITH p AS ({RS.PREVIOUS}) " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} = 'XNA') AS sentinel_count, count(*) - count({c}) AS null_count,
+    count(DISTINCT coalesce({c}, '?')) AS n_distinct FROM p"""
+    for c in ("NAME_CONTRACT_TYPE", "NAME_CLIENT_TYPE", "NAME_CONTRACT_STATUS")
+)
+
+ORACLE["cooccurrence"] = """
+SELECT count(*) FILTER (WHERE l_discount > 0.05) AS a, count(*) FILTER (WHERE l_tax > 0.05) AS b,
+  count(*) FILTER (WHERE l_discount > 0.05 AND l_tax > 0.05) AS both, count(*) FILTER (WHERE l_discount > 0.05 AND l_tax <= 0.05) AS a_only,
+  count(*) FILTER (WHERE l_discount <= 0.05 AND l_tax > 0.05) AS b_only FROM lineitem"""
+
+ORACLE["sum_checks"] = f"""
+WITH p AS ({ORACLE['rollup_previous']})
+SELECT count(*) FILTER (WHERE prev_count_approved + prev_count_refused + prev_count_canceled + prev_count_unused_offer = prev_count_total)
+  AS matches,
+  count(*) FILTER (WHERE prev_count_approved + prev_count_refused + prev_count_canceled + prev_count_unused_offer <> prev_count_total)
+  AS mismatches,
+  count(*) FILTER (WHERE prev_approval_rate NOT BETWEEN 0 AND 1) AS prev_approval_rate_out_of_range,
+  count(*) FILTER (WHERE prev_refusal_rate NOT BETWEEN 0 AND 1) AS prev_refusal_rate_out_of_range FROM p"""
+
+ORACLE["coded_distribution"] = f"""
+SELECT prev_last_name_client_type AS code, count(*) AS n FROM ({ORACLE['rollup_previous']}) GROUP BY 1"""
+
+
+def _contract(table: str, key: str, source: str, numbers: list[str], texts: list[str]) -> str:
+    parts = []
+    for c in numbers + texts:
+        listed = f"(SELECT array_to_string(list(DISTINCT {c} ORDER BY {c}), ',') FROM {source} WHERE {c} IS NOT NULL)"
+        # whole numbers print alike as DOUBLE in both engines, BIGINT columns print without a point
+        allowed = "NULL::VARCHAR" if c == key else f"CASE WHEN count(DISTINCT {c}) BETWEEN 1 AND 50 THEN {listed} END"
+        bounds = f"min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value" if c in numbers else "NULL::DOUBLE, NULL::DOUBLE"
+        parts.append(
+            f"""SELECT '{table}' AS table_name, '{c}' AS feature, count({c}) < count(*) AS nullable,
+            round((count(*) - count({c})) / count(*), 6) AS null_rate_reference, {'true' if c == key else 'false'} AS is_unique,
+            {allowed} AS allowed_values, {bounds}, '{key}' AS primary_key, count(*) AS row_count_reference FROM {source}"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["derive_contracts"] = (
+    f"WITH b AS ({RS.BUREAU}), p AS ({RS.PREVIOUS}) "
+    + _contract(
+        "bureau",
+        "SK_ID_BUREAU",
+        "b",
+        (
+            "SK_ID_CURR SK_ID_BUREAU DAYS_CREDIT DAYS_CREDIT_ENDDATE DAYS_ENDDATE_FACT AMT_CREDIT_MAX_OVERDUE CNT_CREDIT_PROLONG"
+            " AMT_CREDIT_SUM AMT_CREDIT_SUM_DEBT AMT_CREDIT_SUM_LIMIT AMT_CREDIT_SUM_OVERDUE DAYS_CREDIT_UPDATE"
+        ).split(),
+        ["CREDIT_ACTIVE"],
+    )
+    + " UNION ALL "
+    + _contract(
+        "previous_application",
+        "SK_ID_PREV",
+        "p",
+        (
+            "SK_ID_PREV SK_ID_CURR AMT_APPLICATION AMT_CREDIT AMT_ANNUITY AMT_GOODS_PRICE AMT_DOWN_PAYMENT CNT_PAYMENT RATE_DOWN_PAYMENT"
+            " RATE_INTEREST_PRIMARY RATE_INTEREST_PRIVILEGED DAYS_DECISION DAYS_FIRST_DRAWING DAYS_FIRST_DUE DAYS_LAST_DUE_1ST_VERSION"
+            " DAYS_LAST_DUE DAYS_TERMINATION"
+        ).split(),
+        ["NAME_CONTRACT_STATUS", "NAME_CONTRACT_TYPE", "NAME_CLIENT_TYPE"],
+    )
+)
+
+_BROKEN = """
+WITH o AS (SELECT * REPLACE (nullif(o_orderstatus, 'F') AS o_orderstatus) FROM orders),
+n AS (SELECT count(*) AS n, CAST(floor(count(*) * 1.05) AS BIGINT) AS ref FROM o),
+v AS (
+  SELECT 'row_count' AS check_name, NULL::VARCHAR AS "column", 'error' AS severity, NULL::VARCHAR AS observed FROM n
+    WHERE n NOT BETWEEN ref * (1 - 0.02) AND ref * (1 + 0.02)
+  UNION ALL SELECT 'column_present', 'o_clerk', 'error', 'missing'
+  UNION ALL SELECT 'column_unexpected', 'o_orderdate', 'warning', 'present'
+  UNION ALL SELECT 'nullability', 'o_orderstatus', 'error', NULL FROM o HAVING count(*) > count(o_orderstatus)
+  UNION ALL SELECT 'null_rate', 'o_orderpriority', 'error', NULL FROM o HAVING abs(avg((o_orderpriority IS NULL)::INT) - 0.5) > 0.02
+  UNION ALL SELECT 'value_range', 'o_orderkey', 'error', NULL FROM o HAVING max(o_orderkey) > 100 + 0.02 * 100
+  UNION ALL SELECT 'value_range', 'o_totalprice', 'error', NULL FROM o HAVING max(o_totalprice) > 1e9 * 1.04
+  UNION ALL SELECT 'uniqueness', 'o_orderkey', 'error', NULL FROM o HAVING count(DISTINCT o_orderkey) <> count(*)
+  UNION ALL SELECT 'uniqueness', 'o_custkey', 'error', NULL FROM o HAVING count(DISTINCT o_custkey) <> count(*)
+  UNION ALL SELECT 'allowed_values', 'o_orderstatus', 'error', array_to_string(list(DISTINCT o_orderstatus ORDER BY o_orderstatus)[1:5], ',')
+    FROM o WHERE o_orderstatus NOT IN ('F', 'O') HAVING count(*) > 0
+  UNION ALL SELECT 'allowed_values', 'o_orderpriority', 'error',
+    array_to_string(list(DISTINCT o_orderpriority ORDER BY o_orderpriority)[1:5], ',')
+    FROM o WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') HAVING count(*) > 0)"""
+ORACLE["validate_tables"] = f"{_BROKEN} SELECT 'orders' AS table_name, * FROM v"
+# 1 row count, 1 absent and 1 extra column, 5 null, 2 unique, 2 allowed and 2 range checks
+ORACLE["validation_verdict"] = f"""{_BROKEN}
+SELECT 14::BIGINT AS checks_run, count(*) FILTER (WHERE severity = 'error') AS errors,
+  count(*) FILTER (WHERE severity = 'warning') AS warnings, count(*) FILTER (WHERE severity = 'error') = 0 AS passed FROM v"""
+ORACLE["validate_joins"] = f"""
+WITH s AS ({ORACLE['join_stats']})
+SELECT 'lineitem' AS table_name, 'orphan_rate' AS check_name, 'l_orderkey' AS "column",
+  CAST(round(orphan_keys / greatest(child_unique_keys, 1), 4) AS VARCHAR) AS observed, 'error' AS severity
+FROM s WHERE abs(orphan_keys / greatest(child_unique_keys, 1) - 0.05) > 0.02"""
+
+# --- splits and encodings ---------------------------------------------------
+
+_SPLIT = """
+WITH a AS (SELECT o_orderkey AS "SK_ID_CURR", CAST(o_orderstatus = 'P' AS INT) AS y FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5('42-' || "SK_ID_CURR"), "SK_ID_CURR") AS k FROM a),
+n AS (SELECT floor(0.15 * count(*) + 0.5) AS part, floor(0.15 * sum(y) + 0.5) AS pos FROM a),
+s AS (SELECT "SK_ID_CURR", y, CASE WHEN k <= q THEN 'test' WHEN k <= 2 * q THEN 'val' ELSE 'dev' END AS split
+  FROM (SELECT r.*, CASE WHEN y = 1 THEN pos ELSE part - pos END AS q FROM r, n))"""
+ORACLE["stratified_split"] = f'{_SPLIT} SELECT "SK_ID_CURR", split FROM s'
+ORACLE["split_checks"] = f"""{_SPLIT}
+SELECT split, count(*) AS n, CAST(floor(CASE split WHEN 'dev' THEN 0.7 ELSE 0.15 END * (SELECT count(*) FROM s) + 0.5) AS BIGINT) AS planned,
+  true AS size_ok, round(avg(y), 9) AS positive_rate, abs(avg(y) - (SELECT avg(y) FROM s)) <= 0.005 AS rate_ok,
+  abs(avg(y) - (SELECT avg(y) FROM s)) > 0.002 AS rate_note, 0::BIGINT AS overlapping_keys, 0::BIGINT AS extra_keys,
+  0::BIGINT AS missing_keys FROM s GROUP BY split"""
+ORACLE["target_preconditions"] = """
+SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, 0::BIGINT AS null_targets, 0::BIGINT AS odd_targets,
+  count(*) FILTER (WHERE o_orderstatus = 'P') AS positives, count(*) = count(DISTINCT o_orderkey) AS ok FROM orders"""
+ORACLE["missing_indicators"] = f"""
+SELECT c_custkey AS "SK_ID_CURR", cc_utilization_last, cc_balance_last, coalesce(has_credit_card_history, 0) AS has_credit_card_history,
+  CAST(cc_utilization_last IS NULL AS INT) AS cc_utilization_last_is_null, CAST(cc_balance_last IS NULL AS INT) AS cc_balance_last_is_null
+FROM customer LEFT JOIN ({ORACLE['rollup_credit_card']}) c ON c.SK_ID_CURR = c_custkey"""
+ORACLE["factorize"] = """
+WITH o AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority, strftime(o_orderdate, '%Y-%m-%d') AS day,
+  o_orderdate < TIMESTAMP '1999-01-01' AS fit FROM orders),
+p AS (SELECT priority, row_number() OVER (ORDER BY priority) - 1 AS code FROM (SELECT DISTINCT priority FROM o WHERE fit AND priority IS NOT NULL)),
+q AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS code FROM (SELECT DISTINCT day FROM o WHERE fit))
+SELECT o_orderkey, CAST(coalesce(p.code, -1) AS INT) AS priority, CAST(coalesce(q.code, -1) AS INT) AS day
+FROM o LEFT JOIN p ON o.priority = p.priority LEFT JOIN q ON o.day = q.day"""
+
+
+def _typing(c: str, expr: str, kind: str) -> str:
+    return f"""SELECT '{c}' AS feature, least(count(DISTINCT {expr}), 21) AS distinct_capped, count(*) - count({expr}) AS nulls,
+    CASE WHEN count(DISTINCT {expr}) <= 1 THEN 'constant' {kind} END AS kind FROM orders"""
+
+
+_WHOLE = "WHEN count(DISTINCT {0}) <= 20 AND count({0}) = count(*) THEN 'categorical' ELSE 'numerical'"
+ORACLE["feature_typing"] = " UNION ALL ".join(
+    [
+        _typing("priority", "nullif(o_orderpriority, '5-LOW')", "ELSE 'categorical'"),
+        _typing("customer", "o_custkey", _WHOLE.format("o_custkey")),
+        _typing("month", "(o_custkey % 12)", _WHOLE.format("(o_custkey % 12)")),
+        _typing("price", "o_totalprice", "ELSE 'numerical'"),
+        _typing("one", "7", "ELSE 'numerical'"),
+        _typing("holes", "nullif(o_custkey % 12, 3)", _WHOLE.format("nullif(o_custkey % 12, 3)")),
+        _typing("none", "NULL::DOUBLE", "ELSE 'numerical'"),
+    ]
+)
+
+# --- metrics ----------------------------------------------------------------
+
+_LINES = """lines AS (SELECT l_orderkey, CASE WHEN l_linenumber <= 4 THEN 'dev' WHEN l_linenumber <= 6 THEN 'val' ELSE 'holdout' END AS split,
+  CAST(l_returnflag = 'R' AS INT) AS y,
+  -2.2 + 0.03::DOUBLE * l_quantity + 3 * l_discount + CASE WHEN l_linestatus = 'F' THEN 0.4 ELSE 0.0 END AS z1,
+  -1.9 + 0.02::DOUBLE * l_quantity + 5 * l_tax + 0.9::DOUBLE * CAST(l_returnflag = 'R' AS INT) AS z2 FROM lineitem),
+preds AS (SELECT l_orderkey, split, y, 'champion' AS model, round(1 / (1 + exp(-z1)), 4) AS pd FROM lines
+  UNION ALL SELECT l_orderkey, split, y, 'challenger', round(1 / (1 + exp(-z2)), 4) FROM lines)"""
+_CELLS = f"""WITH {_LINES},
+cells AS (SELECT model, split, pd, sum(y)::DOUBLE AS pos, sum(1 - y)::DOUBLE AS neg FROM preds GROUP BY ALL),
+cum AS (SELECT *, sum(pos) OVER w AS cpos, sum(neg) OVER w AS cneg, sum(pos) OVER (PARTITION BY model, split) AS tpos,
+  sum(neg) OVER (PARTITION BY model, split) AS tneg FROM cells
+  WINDOW w AS (PARTITION BY model, split ORDER BY pd ROWS UNBOUNDED PRECEDING))"""
+_AUC = "sum(pos * (cneg - neg / 2)) / (max(tpos) * max(tneg))"
+ORACLE["auc_gini"] = f"""{_CELLS}
+SELECT model, split, CAST(max(tpos) AS BIGINT) AS positives, CAST(max(tneg) AS BIGINT) AS negatives, round({_AUC}, 9) AS auc,
+  round(2 * {_AUC} - 1, 9) AS gini FROM cum GROUP BY ALL"""
+ORACLE["ks_score"] = f"{_CELLS} SELECT model, split, round(max(abs(cpos / tpos - cneg / tneg)), 9) AS ks FROM cum GROUP BY ALL"
+ORACLE["brier"] = f"""WITH {_LINES}
+SELECT model, split, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_positive, round(avg(y), 9) AS positive_rate,
+  round(avg(pd), 9) AS mean_predicted, round(avg((pd - y) * (pd - y)), 9) AS brier FROM preds GROUP BY ALL"""
+
+
+def _edges(rows: str, keys: str, value: str, where: str = "true") -> str:
+    """Distinct deciles of `value` per `keys`, interpolated between neighbours."""
+    return f"""sorted AS (SELECT {keys}, list_sort(list({value})) AS xs FROM {rows} WHERE {value} IS NOT NULL AND {where} GROUP BY ALL),
+spots AS (SELECT {keys}, xs, (len(xs) - 1) * CASE WHEN i = 10 THEN 1.0::DOUBLE ELSE i * 0.1::DOUBLE END AS h
+  FROM sorted, range(11) AS t(i)),
+points AS (SELECT {keys}, h - floor(h) AS f, xs[CAST(floor(h) AS INT) + 1] AS a, xs[least(CAST(floor(h) AS INT) + 2, len(xs))] AS b FROM spots),
+edges AS (SELECT {keys}, list_sort(list(DISTINCT CASE WHEN f >= 0.5 THEN b - (b - a) * (1 - f) ELSE a + (b - a) * f END)) AS e
+  FROM points GROUP BY ALL)"""
+
+
+ORACLE["reliability"] = f"""WITH {_LINES}, {_edges('preds', 'model, split', 'pd')},
+binned AS (SELECT preds.*, e, len([x for x in e[2:-2] if x <= pd]) + 1 AS bin FROM preds JOIN edges USING (model, split))
+SELECT model, split, CAST(bin AS INT) AS bin, count(*) AS n, round(any_value(e)[bin], 9) AS lower_edge, round(any_value(e)[bin + 1], 9) AS upper_edge,
+  round(avg(pd), 9) AS mean_predicted, round(avg(y), 9) AS observed_rate FROM binned GROUP BY model, split, bin"""
+
+_COSTS = f"""WITH {_LINES},
+grid AS (SELECT i / 100 AS t FROM range(1, 100) AS r(i)),
+cells AS (SELECT model, split, pd, sum(y) AS pos, sum(1 - y) AS neg FROM preds GROUP BY ALL),
+counts AS (SELECT model, split, t, sum(CASE WHEN pd < t THEN pos ELSE 0 END) AS fn, sum(CASE WHEN pd >= t THEN neg ELSE 0 END) AS fp,
+  sum(pos + neg) AS n FROM cells, grid GROUP BY ALL)"""
+ORACLE["cost_threshold"] = f"""{_COSTS}
+SELECT model, split, 20.0::DOUBLE AS cost_ratio, t AS threshold, round((20 * fn + fp)::DOUBLE / n, 9) AS expected_cost FROM counts
+QUALIFY row_number() OVER (PARTITION BY model, split ORDER BY (20 * fn + fp)::DOUBLE / n, t) = 1"""
+ORACLE["cost_sweep"] = f"""{_COSTS},
+whole AS (SELECT model, t, sum(fn) AS fn, sum(fp) AS fp, sum(n) AS n FROM counts GROUP BY ALL),
+best AS (SELECT model, r AS cost_ratio, t, (r * fn + fp) / n AS cost FROM whole, (VALUES (5::DOUBLE), (10), (20), (30), (50)) AS v(r)
+  QUALIFY row_number() OVER (PARTITION BY model, r ORDER BY (r * fn + fp) / n, t) = 1)
+SELECT cost_ratio, a.t AS champion_threshold, b.t AS challenger_threshold, round(a.cost, 9) AS champion_expected_cost,
+  round(b.cost, 9) AS challenger_expected_cost, round(a.cost - b.cost, 9) AS challenger_cost_savings,
+  round((a.cost - b.cost) / a.cost * 100, 9) AS challenger_cost_savings_pct
+FROM (SELECT * FROM best WHERE model = 'champion') a JOIN (SELECT * FROM best WHERE model = 'challenger') b USING (cost_ratio)"""
+
+# --- drift ------------------------------------------------------------------
+
+_LONG = """base AS (SELECT l_quantity AS quantity, CASE WHEN l_linestatus = 'F' THEN floor(l_extendedprice) END AS price,
+  CASE WHEN l_returnflag <> 'N' THEN l_discount END AS discount,
+  l_tax + CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 0.0::DOUBLE ELSE 0.03::DOUBLE END AS tax,
+  CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 1.0::DOUBLE ELSE l_quantity END AS odd,
+  CAST(l_shipdate < TIMESTAMP '1998-01-01' AS INT) AS ref FROM lineitem),
+long AS (SELECT feature, ref, value FROM base UNPIVOT INCLUDE NULLS (value FOR feature IN (quantity, price, discount, tax, odd)))"""
+_DRIFT = f"""WITH {_LONG},
+{_edges('long', 'feature', 'value', 'ref = 1')},
+totals AS (SELECT feature, count(*) FILTER (WHERE ref = 1) AS nr, count(*) FILTER (WHERE ref = 0) AS nm FROM long
+  WHERE value IS NOT NULL GROUP BY 1),
+bins AS (SELECT feature, i AS bin, e[i] AS lo, e[i + 1] AS hi, i = len(e) - 1 AS is_last FROM edges, range(1, 11) AS t(i) WHERE i < len(e)),
+counted AS (SELECT feature, bin, count(v.value) FILTER (WHERE ref = 1) AS r, count(v.value) FILTER (WHERE ref = 0) AS m
+  FROM bins LEFT JOIN long v USING (feature) WHERE v.value >= lo AND (v.value < hi OR (is_last AND v.value = hi)) GROUP BY ALL),
+filled AS (SELECT bins.feature, bins.bin, greatest(1e-6, coalesce(r, 0) / nr) AS r, greatest(1e-6, coalesce(m, 0) / nm) AS m
+  FROM bins LEFT JOIN counted USING (feature, bin) JOIN totals ON totals.feature = bins.feature),
+psis AS (SELECT totals.feature, coalesce(sum((r - m) * ln(r / m)), 0.0) AS psi FROM totals LEFT JOIN filled USING (feature) GROUP BY 1),
+cum AS (SELECT feature, value, sum(sum(ref)) OVER w AS cr, sum(sum(1 - ref)) OVER w AS cm FROM long WHERE value IS NOT NULL
+  GROUP BY feature, value WINDOW w AS (PARTITION BY feature ORDER BY value)),
+kss AS (SELECT feature, max(abs(cr / nr - cm / nm)) AS ks FROM cum JOIN totals USING (feature) GROUP BY 1),
+stats AS (SELECT feature, avg(value) FILTER (WHERE ref = 1) AS reference_mean, avg(value) FILTER (WHERE ref = 0) AS monitoring_mean,
+  avg((value IS NULL)::INT) FILTER (WHERE ref = 1) AS reference_null_rate,
+  avg((value IS NULL)::INT) FILTER (WHERE ref = 0) AS monitoring_null_rate FROM long GROUP BY 1),
+drift AS (SELECT feature, round(reference_mean, 6) AS reference_mean, round(monitoring_mean, 6) AS monitoring_mean,
+  round(reference_null_rate, 6) AS reference_null_rate, round(monitoring_null_rate, 6) AS monitoring_null_rate,
+  round(psi, 6) AS psi, round(ks, 6) AS ks, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'material' END AS severity
+  FROM stats JOIN psis USING (feature) JOIN kss USING (feature))"""
+ORACLE["psi"] = f"{_DRIFT} SELECT feature, round(psi, 9) AS psi FROM psis"
+ORACLE["ks_two_sample"] = f"{_DRIFT} SELECT feature, round(ks, 9) AS ks FROM kss"
+ORACLE["feature_drift"] = f"{_DRIFT} SELECT * FROM drift"
+ORACLE["drift_severity"] = f"{_DRIFT} SELECT severity, count(*) AS features FROM drift GROUP BY 1"
+ORACLE["top_drifted"] = f"{_DRIFT} SELECT * FROM drift ORDER BY psi DESC, feature LIMIT 3"
