@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendframe.functions import columns as C
 from lendframe.operators import assemble as A
+from lendframe.operators import binning as B
+from lendframe.operators import calibrate as G
 from lendframe.operators import contracts as K
+from lendframe.operators import decide as Q
 from lendframe.operators import drift as D
 from lendframe.operators import encode as E
+from lendframe.operators import explain as Z
 from lendframe.operators import joins as J
 from lendframe.operators import metrics as M
+from lendframe.operators import models as X
 from lendframe.operators import profile as P
 from lendframe.operators import rollups as R
 from lendframe.operators import splits as S
+from lendframe.sources import ingest as I
+from lendframe.sources import tables as T
 from verification import roles
 from verification.rollup_sql import ROUND
 
@@ -418,3 +425,308 @@ def calibration_drift(spark: SparkSession, d: str) -> DataFrame:
     p = _predictions(spark, d).where("model = 'challenger'")
     out = D.calibration_drift(p.where("split = 'val'"), p.where("split = 'holdout'"), "pd", "y")
     return digits(out, {c: 6 for c in out.columns if c != "calibration_ok"})
+
+
+@query
+def alert_notes(spark: SparkSession, d: str) -> DataFrame:
+    p = _predictions(spark, d).where("model = 'challenger'")
+    ref, mon = p.where("split = 'val'"), p.where("split = 'holdout'")
+    drift = D.feature_drift(*_populations(spark, d), DRIFT_FEATURES)
+    out = D.alert_notes(drift, D.prediction_drift(ref, mon, "pd"), D.calibration_drift(ref, mon, "pd", "y"))
+    return digits(out, {"amount": 6})
+
+
+# --- binning ----------------------------------------------------------------
+
+CUTS = {"price": [50000.0, 120000.0, 250000.0, 400000.0], "month": [2.0, 6.0, 9.0], "age": [-2000.0, -1000.0], "flat": []}
+
+
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with a target that depends on price and month, and null prices."""
+    o = roles.table(spark, d, "orders")
+    month = F.col("o_custkey") % 12
+    bad = (F.col("o_totalprice") > 300000 + 20000 * month) & (F.col("o_orderstatus") != "F")
+    return o.select(
+        F.col("o_orderkey").alias("SK_ID_CURR"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("price"),
+        month.alias("month"),
+        roles.days("o_orderdate").alias("age"),
+        F.lit(1.0).alias("flat"),
+        F.col("o_orderstatus").alias("state"),
+        bad.cast("int").alias("TARGET"),
+    )
+
+
+@query
+def woe_table(spark: SparkSession, d: str) -> DataFrame:
+    return digits(B.woe_table(_labelled(spark, d), CUTS), {"woe": 9, "iv": 9})
+
+
+@query
+def iv_selection(spark: SparkSession, d: str) -> DataFrame:
+    values = B.information_values(B.woe_table(_labelled(spark, d), CUTS))
+    return digits(B.iv_selection(values), {"iv": 9})
+
+
+@query
+def woe_transform(spark: SparkSession, d: str) -> DataFrame:
+    rows = _labelled(spark, d)
+    out = B.woe_transform(rows, B.woe_table(rows, CUTS), CUTS, ["SK_ID_CURR"])
+    return digits(out, {c: 9 for c in CUTS})
+
+
+@query
+def corr_pairs(spark: SparkSession, d: str) -> DataFrame:
+    rows = _labelled(spark, d)
+    encoded = B.woe_transform(rows, B.woe_table(rows, CUTS), CUTS, ["SK_ID_CURR"])
+    return digits(B.corr_pairs(encoded, ["price", "month", "age"]), {"r": 6})
+
+
+@query
+def binning_fit(spark: SparkSession, d: str) -> DataFrame:
+    return B.fit_binning(_labelled(spark, d), min_events=20).table(spark)
+
+
+@query
+def feature_selection(spark: SparkSession, d: str) -> DataFrame:
+    rows = _labelled(spark, d).withColumn("price_copy", F.col("price") * 2)
+    fit = B.fit_binning(rows, min_events=20)
+    decisions = B.iv_selection(fit.values(spark), high=5.0)
+    return B.prune_correlated(decisions, fit.transform(rows, ["SK_ID_CURR"]))
+
+
+@query
+def selection_report(spark: SparkSession, d: str) -> DataFrame:
+    return B.selection_report(B.iv_selection(B.information_values(B.woe_table(_labelled(spark, d), CUTS))))
+
+
+# --- models and calibration -------------------------------------------------
+
+
+def _matrix(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    rows = _labelled(spark, d).drop("state", "flat").withColumn("late", (F.col("month") > 6).cast("int"))
+    return S.split_frames(rows, S.stratified_split(rows))
+
+
+@query
+def champion_fit(spark: SparkSession, d: str) -> DataFrame:
+    parts = _matrix(spark, d)
+    fit = B.fit_binning(parts["dev"], min_events=20)
+    encoded = {n: fit.transform(p, ["SK_ID_CURR", "TARGET"]) for n, p in parts.items()}
+    return X.champion_search(encoded["dev"], encoded["val"], c_grid=(0.01, 1.0), l1_grid=(0.0, 1.0), max_iter=30).trials
+
+
+@query
+def challenger_fit(spark: SparkSession, d: str) -> DataFrame:
+    parts = _matrix(spark, d)
+    small = lambda seed, t: {**X.sample_params(seed, t), "maxDepth": 3}
+    return X.challenger_search(parts["dev"], parts["val"], trials=2, max_rounds=5, space=small).trials
+
+
+@query
+def calibrate(spark: SparkSession, d: str) -> DataFrame:
+    p = _predictions(spark, d).where("model = 'challenger'")
+    best, report = G.select_calibrator(p.where("split = 'val'"), p.where("split = 'holdout'"), "pd", "y")
+    return report
+
+
+@query
+def calibrated_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Fixed calibrator over both models: champion passes through, challenger is mapped."""
+    p = _predictions(spark, d).withColumnRenamed("pd", "raw_pd")
+    knots = G.Isotonic((0.125, 0.25, 0.5), (0.0625, 0.25, 0.75))
+    out = G.combine_predictions(p.where("model = 'champion'"), p.where("model = 'challenger'"), knots)
+    return digits(out, {"calibrated_pd": 9})
+
+
+@query
+def cross_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Brier of the dev split against the whole table, as if it had been stored."""
+    p = _predictions(spark, d)
+    stored = M.brier(p.where("split = 'dev'"), ["model"], "pd", "y").select("model", F.col("brier").alias("value"))
+    again = M.brier(p, ["model"], "pd", "y").select("model", F.col("brier").alias("value"))
+    out = M.cross_checks(stored, again, ["model"])
+    return digits(out, {"stored_value": 9, "recomputed_value": 9, "delta": 9})
+
+
+@query
+def recommendation(spark: SparkSession, d: str) -> DataFrame:
+    p = _predictions(spark, d)
+    out = M.recommendation(M.metrics_cube(p, ["model"], "pd", "y"), M.cost_sweep(p, "model", "pd", "y"))
+    return digits(out, {c: 6 for c in ("auc_delta", "gini_delta", "brier_delta", "challenger_cost_savings_pct")})
+
+
+# --- decisions and explanations ---------------------------------------------
+
+
+def _applicants(spark: SparkSession, d: str) -> DataFrame:
+    o = roles.table(spark, d, "orders")
+    z = -4.0 + F.col("o_totalprice") / 150000
+    segment = roles.pick(F.col("o_orderpriority"), {"1-URGENT": "new_customer", "2-HIGH": "existing_customer", "3-MEDIUM": "default"}, "odd")
+    day = F.dayofmonth("o_orderdate")
+    flags = F.create_map(
+        F.lit("vip_customer"), day == 1, F.lit("fraud_flag"), (day <= 2) & (F.col("o_orderstatus") == "P"), F.lit("unknown"), F.lit(True)
+    )
+    return o.select(
+        F.col("o_orderkey").alias("applicant_id"),
+        F.round(M.sigmoid(z), 4).alias("pd"),
+        F.when(F.col("o_orderstatus") != "O", segment).alias("segment"),
+        flags.alias("policy_flags"),
+        (F.col("o_orderstatus") == "P").cast("int").alias("y"),
+    )
+
+
+def _decisions(spark: SparkSession, d: str, *keep: str) -> DataFrame:
+    return Q.decide(_applicants(spark, d), segment="segment", flags="policy_flags", decided_at="2026-01-01T00:00:00Z", keep=keep)
+
+
+@query
+def decide_batch(spark: SparkSession, d: str) -> DataFrame:
+    return _decisions(spark, d)
+
+
+@query
+def decision_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return digits(Q.decision_distribution(_decisions(spark, d, "y"), [], "y"), {"percent": 9, "default_rate": 9})
+
+
+@query
+def threshold_gap(spark: SparkSession, d: str) -> DataFrame:
+    return digits(Q.threshold_gap(_predictions(spark, d), ["model"], "pd", "y"), {"expected_cost": 9, "delta": 9})
+
+
+WEIGHTS = {
+    "bureau_count_credits": 0.125,
+    "inst_delay_max": 0.25,
+    "pos_sk_dpd_max": -0.5,
+    "cc_utilization_last": 8.0,
+    "EXT_SOURCE_2": 16.0,
+    "AMT_CREDIT": 0.5,
+    "DAYS_EMPLOYED": -1.0,
+    "prev_refusal_rate": 4.0,
+    "month": 1.0,
+}
+
+
+def _features(spark: SparkSession, d: str) -> DataFrame:
+    o = roles.table(spark, d, "orders")
+    key, customer, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
+    return o.select(
+        key.alias("applicant_id"),
+        (customer % 50).alias("bureau_count_credits"),
+        F.floor(price / 10000).alias("inst_delay_max"),
+        (key % 30 - 10).alias("pos_sk_dpd_max"),
+        F.when(F.col("o_orderstatus") != "F", (key % 64) / 64.0).alias("cc_utilization_last"),
+        ((customer % 100) / 128.0).alias("EXT_SOURCE_2"),
+        F.floor(price / 20000).alias("AMT_CREDIT"),
+        (-(key % 11)).alias("DAYS_EMPLOYED"),
+        ((customer % 8) / 8.0).alias("prev_refusal_rate"),
+        (customer % 12).alias("month"),
+    )
+
+
+def _contributions(spark: SparkSession, d: str) -> DataFrame:
+    return Z.linear_contributions(_features(spark, d), WEIGHTS, ["applicant_id"])
+
+
+@query
+def linear_contributions(spark: SparkSession, d: str) -> DataFrame:
+    return _contributions(spark, d)
+
+
+@query
+def explanation_sample(spark: SparkSession, d: str) -> DataFrame:
+    return Z.sample_rows(_features(spark, d).select("applicant_id", "month"), 1000, "applicant_id")
+
+
+@query
+def global_importance(spark: SparkSession, d: str) -> DataFrame:
+    return Z.global_importance(_contributions(spark, d), list(WEIGHTS))
+
+
+@query
+def topk_contributions(spark: SparkSession, d: str) -> DataFrame:
+    rows = _features(spark, d)
+    values = {f: F.col(f"v_{f}") for f in WEIGHTS}
+    wide = rows.select("applicant_id", *[F.col(f).alias(f"v_{f}") for f in WEIGHTS], *[(F.col(f) * F.lit(w)).alias(f) for f, w in WEIGHTS.items()])
+    top = wide.select("applicant_id", F.posexplode(Z.top_contributions(wide, list(WEIGHTS), 3, values)).alias("i", "c"))
+    return top.select("applicant_id", (F.col("i") + 1).alias("rank"), "c.feature", "c.contribution", "c.value")
+
+
+def _notices(spark: SparkSession, d: str) -> DataFrame:
+    decisions = Q.decide(_applicants(spark, d), segment="segment", flags="policy_flags")
+    wide = _contributions(spark, d).withColumn("applicant_id", F.col("applicant_id").cast("string"))
+    return Z.reason_codes(decisions, wide, list(WEIGHTS))
+
+
+@query
+def reason_codes(spark: SparkSession, d: str) -> DataFrame:
+    def text(c: str) -> Column:
+        return F.array_join(F.transform(c, lambda r: F.concat(r["code"], F.lit("="), (r["contribution"] * 1024).cast("bigint").cast("string"))), ",")
+
+    out = _notices(spark, d)
+    return out.select("applicant_id", "pd", "decision", text("primary_reasons").alias("primary_reasons"), text("additional_reasons").alias("additional_reasons"))
+
+
+@query
+def notice_text(spark: SparkSession, d: str) -> DataFrame:
+    text = Z.notice_text(*[F.col(c) for c in ("applicant_id", "decision", "primary_reasons", "additional_reasons")])
+    return _notices(spark, d).select("applicant_id", text.alias("notice_text"))
+
+
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    """Request maps over all orders: x2 is absent for status F, `other` is not contracted."""
+    o = roles.table(spark, d, "orders")
+    x1, x2 = F.col("o_totalprice") / 100000, (F.col("o_custkey") % 16) / 16.0
+    return o.select(
+        F.col("o_orderkey").alias("applicant_id"),
+        F.when(F.col("o_orderstatus") != "F", F.create_map(F.lit("x1"), x1, F.lit("x2"), x2, F.lit("other"), F.lit(1.0)))
+        .otherwise(F.create_map(F.lit("x1"), x1, F.lit("other"), F.lit(2.0)))
+        .alias("features"),
+        F.create_map(F.lit("vip_customer"), F.col("o_orderpriority") == "1-URGENT").alias("policy_flags"),
+    )
+
+
+def _fixed_model(df: DataFrame) -> DataFrame:
+    return df.withColumn("raw_pd", M.sigmoid(-4.0 + F.col("x1") + F.coalesce("x2", F.lit(0.5))))
+
+
+KNOTS = G.Isotonic((0.03125, 0.125, 0.5), (0.03125, 0.0625, 0.75))
+
+
+@query
+def score_batch(spark: SparkSession, d: str) -> DataFrame:
+    out = Z.score_requests(_requests(spark, d), ["x1", "x2"], _fixed_model, KNOTS.apply, decided_at="2026-01-01T00:00:00Z")
+    return digits(out, {"pd": 5, "expected_cost": 4})
+
+
+@query
+def explain_batch(spark: SparkSession, d: str) -> DataFrame:
+    features = list(WEIGHTS)
+    entries = [x for f in features for x in (F.lit(f), F.col(f).cast("double"))]
+    requests = _features(spark, d).select("applicant_id", F.create_map(*entries).alias("features"))
+    z = -6.0 + sum((F.coalesce(F.col(f), F.lit(0.0)) * F.lit(w) for f, w in WEIGHTS.items()), F.lit(0.0)) / 16
+    out = Z.explain_requests(requests, features, lambda df: df.withColumn("raw_pd", M.sigmoid(z)), WEIGHTS, top_k=3)
+    return out.select(
+        "applicant_id",
+        F.round("pd", 5).alias("pd"),
+        "decision",
+        F.array_join(F.transform("top_contributions", lambda c: c["feature"]), ",").alias("top"),
+        F.array_join(F.transform("primary_reasons", lambda c: c["code"]), ",").alias("reasons"),
+        F.length("notice_text").alias("notice_length"),
+    )
+
+
+# --- sources ----------------------------------------------------------------
+
+
+@query
+def content_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    names = ("customer", "orders", "lineitem")
+    return I.fingerprint_table({n: roles.table(spark, d, n) for n in names})
+
+
+@query
+def file_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    out = T.file_fingerprints(spark, f"{d}/orders.parquet")
+    return out.select("length", "sha256")
