@@ -74,8 +74,8 @@ def attach_groups(df: DataFrame, groups: DataFrame, by: list[str], how: str = "i
     """Attach a per-group table; it has one row per group, so it is always broadcast."""
     if by:
         return df.join(F.broadcast(groups), by, how)
-    key = F.lit(0).alias("_all")
-    return df.select("*", key).join(F.broadcast(groups.select("*", key)), "_all", how).drop("_all")
+    key = F.lit(0).alias("_whole")
+    return df.select("*", key).join(F.broadcast(groups.select("*", key)), "_whole", how).drop("_whole")
 
 
 def running(

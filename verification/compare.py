@@ -22,12 +22,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, bool) or value is None:
+    if value is None or isinstance(value, (bool, int, float)):
         return value
-    if isinstance(value, int):
-        return float(value)
-    if hasattr(value, "as_integer_ratio"):
-        return float(value)
     if hasattr(value, "asDict"):
         return tuple(_plain(v) for v in value)
     if isinstance(value, dict):
@@ -56,11 +52,15 @@ def compare(spark: SparkSession, con, name: str, sf_dir: str) -> str:
     if not mine:
         return "no rows"
     labels = sorted(names, key=str.lower)
+    for i, label in enumerate(labels):
+        kinds = [{type(r[i]).__name__ for r in side if r[i] is not None} for side in (mine, theirs)]
+        if kinds[0] != kinds[1]:
+            return f"types of {label} differ: {kinds}"
     bad: dict[str, int] = {}
     sample = ""
     for a, b in zip(mine, theirs):
         for label, x, y in zip(labels, a, b):
-            if x != y:
+            if repr(x) != repr(y):
                 bad[label] = bad.get(label, 0) + 1
                 sample = sample or f"{label}: {x!r} against {y!r}"
     return f"{bad} e.g. {sample}" if bad else ""

@@ -329,3 +329,143 @@ ORACLE["ks_two_sample"] = f"{_DRIFT} SELECT feature, round(ks, 9) AS ks FROM kss
 ORACLE["feature_drift"] = f"{_DRIFT} SELECT * FROM drift"
 ORACLE["drift_severity"] = f"{_DRIFT} SELECT severity, count(*) AS features FROM drift GROUP BY 1"
 ORACLE["top_drifted"] = f"{_DRIFT} SELECT * FROM drift ORDER BY psi DESC, feature LIMIT 3"
+
+# --- binning ----------------------------------------------------------------
+
+_CUTS = {"price": [50000, 120000, 250000, 400000], "month": [2, 6, 9], "age": [-2000, -1000], "flat": []}
+
+
+def _bin(c: str, cuts: list[int]) -> str:
+    return f"CASE WHEN {c} IS NULL THEN -1 ELSE {' + '.join([f'CAST({c} >= {k} AS INT)' for k in cuts] or ['0'])} END"
+
+
+_WOE = f"""WITH rows AS (SELECT o_orderkey AS k, CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS price, o_custkey % 12 AS month,
+  {RS.days('o_orderdate')} AS age, 1.0 AS flat, CAST(o_totalprice > 300000 + 20000 * (o_custkey % 12) AND o_orderstatus <> 'F' AS INT) AS y
+  FROM orders),
+binned AS ({' UNION ALL '.join(f"SELECT k, '{c}' AS feature, {_bin(c, cuts)} AS bin, y FROM rows" for c, cuts in _CUTS.items())}),
+cells AS (SELECT feature, bin, count(*) AS n, sum(y) AS bad, sum(1 - y) AS good FROM binned GROUP BY ALL),
+shares AS (SELECT *, CASE WHEN bad = 0 OR good = 0 THEN 0.5 ELSE 0 END AS h, (bad + h) / sum(bad) OVER (PARTITION BY feature) AS b,
+  (good + h) / sum(good) OVER (PARTITION BY feature) AS g FROM cells),
+woes AS (SELECT feature, bin, n AS count, n / sum(n) OVER (PARTITION BY feature) AS count_rate, good AS non_event, bad AS event,
+  bad / n AS event_rate, ln(g / b) AS woe, (g - b) * ln(g / b) AS iv FROM shares),
+ivs AS (SELECT feature, sum(iv) AS iv FROM woes GROUP BY 1)"""
+ORACLE["woe_table"] = f"{_WOE} SELECT * REPLACE (round(woe, 9) AS woe, round(iv, 9) AS iv) FROM woes"
+_REASON = "CASE WHEN iv < 0.01 THEN 'low_iv' WHEN iv > 0.5 THEN 'suspicious_iv' ELSE 'kept' END"
+ORACLE["iv_selection"] = f"{_WOE} SELECT feature, round(iv, 9) AS iv, {_REASON} AS reason, {_REASON} = 'kept' AS kept FROM ivs"
+ORACLE["selection_report"] = f"{_WOE} SELECT {_REASON} AS reason, count(*) AS features FROM ivs GROUP BY 1"
+_ENCODED = f"""{_WOE},
+encoded AS (SELECT k AS "SK_ID_CURR", {', '.join(f"max(woe) FILTER (WHERE feature = '{c}') AS {c}" for c in _CUTS)}
+  FROM binned JOIN woes USING (feature, bin) GROUP BY 1)"""
+ORACLE["woe_transform"] = f"""{_ENCODED} SELECT "SK_ID_CURR", {', '.join(f'round({c}, 9) AS {c}' for c in _CUTS)} FROM encoded"""
+ORACLE["corr_pairs"] = _ENCODED + " UNION ALL ".join(
+    f" SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM encoded"
+    for a, b in (("price", "month"), ("price", "age"), ("month", "age"))
+)
+
+# --- calibration and comparison ---------------------------------------------
+
+ORACLE["calibrated_predictions"] = f"""WITH {_LINES}
+SELECT l_orderkey, split, y, model, pd AS raw_pd, round(CASE WHEN model = 'champion' THEN pd WHEN pd <= 0.125 THEN 0.0625
+  WHEN pd >= 0.5 THEN 0.75 WHEN pd < 0.25 THEN 0.0625 + 0.1875::DOUBLE * (pd - 0.125) / 0.125 ELSE 0.25 + 0.5::DOUBLE * (pd - 0.25) / 0.25 END, 9)
+  AS calibrated_pd FROM preds"""
+ORACLE["cross_checks"] = f"""WITH {_LINES},
+s AS (SELECT model, avg((pd - y) * (pd - y)) FILTER (WHERE split = 'dev') AS a, avg((pd - y) * (pd - y)) AS b FROM preds GROUP BY 1)
+SELECT model, round(a, 9) AS stored_value, round(b, 9) AS recomputed_value, round(abs(a - b), 9) AS delta, abs(a - b) <= 0.001 AS passed FROM s"""
+
+# --- decisions and explanations ---------------------------------------------
+
+
+def _outcomes(source: str, limits: bool) -> str:
+    """Decision columns over rows with applicant_id, pd, segment, forced override name."""
+    a = "CASE segment WHEN 'new_customer' THEN 0.06::DOUBLE WHEN 'existing_customer' THEN 0.1 ELSE 0.04 END" if limits else "0.04::DOUBLE"
+    r = "CASE segment WHEN 'new_customer' THEN 0.15::DOUBLE WHEN 'existing_customer' THEN 0.22 ELSE 0.2 END" if limits else "0.2::DOUBLE"
+    return f"""limited AS (SELECT *, {a} AS a, {r} AS r FROM {source}),
+    outcomes AS (SELECT applicant_id, pd, segment, o AS override_applied, y,
+      CASE o WHEN 'fraud_flag' THEN 'Application flagged as potential fraud' WHEN 'vip_customer' THEN 'Pre-approved VIP customer' END AS override_reason,
+      CASE WHEN o = 'fraud_flag' THEN 'DECLINE' WHEN o = 'vip_customer' THEN 'APPROVE' WHEN pd < a THEN 'APPROVE' WHEN pd < r THEN 'REFER'
+        ELSE 'DECLINE' END AS decision,
+      CASE WHEN o IS NOT NULL THEN 0 WHEN pd < a THEN a ELSE r END AS threshold_used,
+      CASE WHEN o IS NOT NULL THEN 0 WHEN pd < a THEN 20 * pd WHEN pd < r THEN 0.1 ELSE 1 - pd END AS cost FROM limited)"""
+
+
+_FIXED = "'challenger' AS model, '0.1.0' AS model_version, '1.0.0' AS config_version, '2026-01-01T00:00:00Z' AS decided_at"
+_DECIDED = f"""WITH people AS (SELECT CAST(o_orderkey AS VARCHAR) AS applicant_id, round(1 / (1 + exp(-(-4.0 + o_totalprice / 150000))), 4) AS pd,
+  coalesce(CASE WHEN o_orderstatus <> 'O' THEN CASE o_orderpriority WHEN '1-URGENT' THEN 'new_customer' WHEN '2-HIGH' THEN 'existing_customer'
+    WHEN '3-MEDIUM' THEN 'default' ELSE 'odd' END END, 'default') AS segment,
+  CASE WHEN day(o_orderdate) <= 2 AND o_orderstatus = 'P' THEN 'fraud_flag' WHEN day(o_orderdate) = 1 THEN 'vip_customer' END AS o,
+  CAST(o_orderstatus = 'P' AS INT) AS y FROM orders), {_outcomes('people', True)}"""
+ORACLE["decide_batch"] = f"""{_DECIDED}
+SELECT applicant_id, pd, decision, threshold_used, segment, override_applied, override_reason, round(cost, 6) AS expected_cost, {_FIXED} FROM outcomes"""
+ORACLE["decision_distribution"] = f"""{_DECIDED}
+SELECT decision, count(*) AS n, round(count(*) / (SELECT count(*) FROM outcomes) * 100, 9) AS percent, round(avg(y), 9) AS default_rate
+FROM outcomes GROUP BY 1"""
+ORACLE["threshold_gap"] = f"""{_COSTS},
+whole AS (SELECT model, t, sum(fn) AS fn, sum(fp) AS fp, sum(n) AS n FROM counts GROUP BY ALL)
+SELECT model, 20.0::DOUBLE AS cost_ratio, t AS threshold, round((20 * fn + fp) / n, 9) AS expected_cost, 0.04::DOUBLE AS configured,
+  round(t - 0.04::DOUBLE, 9) AS delta FROM whole QUALIFY row_number() OVER (PARTITION BY model ORDER BY (20 * fn + fp) / n, t) = 1"""
+
+_FEATURES = """x AS (SELECT o_orderkey AS applicant_id, (o_custkey % 50)::DOUBLE AS bureau_count_credits, floor(o_totalprice / 10000) AS inst_delay_max,
+  (o_orderkey % 30 - 10)::DOUBLE AS pos_sk_dpd_max, CASE WHEN o_orderstatus <> 'F' THEN (o_orderkey % 64) / 64.0 END AS cc_utilization_last,
+  (o_custkey % 100) / 128.0 AS "EXT_SOURCE_2", floor(o_totalprice / 20000) AS "AMT_CREDIT", (-(o_orderkey % 11))::DOUBLE AS "DAYS_EMPLOYED",
+  (o_custkey % 8) / 8.0 AS prev_refusal_rate, (o_custkey % 12)::DOUBLE AS month FROM orders)"""
+_WEIGHTS = {
+    "bureau_count_credits": 0.125,
+    "inst_delay_max": 0.25,
+    "pos_sk_dpd_max": -0.5,
+    "cc_utilization_last": 8,
+    "EXT_SOURCE_2": 16,
+    "AMT_CREDIT": 0.5,
+    "DAYS_EMPLOYED": -1,
+    "prev_refusal_rate": 4,
+    "month": 1,
+}
+_CONTRIB = f"""{_FEATURES},
+long AS ({' UNION ALL '.join(f"SELECT applicant_id, '{f}' AS feature, {i} AS i, (\"{f}\" * {w})::DOUBLE AS c, \"{f}\"::DOUBLE AS v FROM x"
+                             for i, (f, w) in enumerate(_WEIGHTS.items()))})"""
+ORACLE["linear_contributions"] = f"WITH {_FEATURES} SELECT applicant_id, " + ", ".join(
+    f'("{f}" * {w})::DOUBLE AS "{f}"' for f, w in _WEIGHTS.items()
+) + " FROM x"
+ORACLE["explanation_sample"] = """
+SELECT o_orderkey AS applicant_id, o_custkey % 12 AS month FROM orders ORDER BY md5('42-' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 1000"""
+ORACLE["global_importance"] = f"""WITH {_CONTRIB},
+m AS (SELECT feature, avg(abs(c)) AS mean_abs, avg(c) AS mean_signed FROM long GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY mean_abs DESC, feature) AS INT) AS rank, * FROM m"""
+ORACLE["topk_contributions"] = f"""WITH {_CONTRIB}
+SELECT applicant_id, CAST(row_number() OVER (PARTITION BY applicant_id ORDER BY abs(coalesce(c, 0)) DESC, feature) AS INT) AS rank, feature,
+  c AS contribution, v AS value FROM long QUALIFY rank <= 3"""
+_CODES = {
+    "bureau_count_credits": ("HIGH_CREDIT_COUNT", "Large number of existing credit accounts"),
+    "inst_delay_max": ("HIGH_MAX_PAYMENT_DELAY", "Significant maximum delay on prior loan installments"),
+    "pos_sk_dpd_max": ("POS_CASH_DPD", "Days past due on prior POS or cash loans"),
+    "cc_utilization_last": ("HIGH_CREDIT_UTILIZATION", "High utilization of credit card limit"),
+    "AMT_CREDIT": ("HIGH_LOAN_AMOUNT", "Requested loan amount relative to income"),
+    "DAYS_EMPLOYED": ("SHORT_EMPLOYMENT_TENURE", "Limited employment history"),
+    "prev_refusal_rate": ("PRIOR_APPLICATION_REFUSALS", "High rate of prior application refusals"),
+}
+_REASONS = f"""{_DECIDED}, {_CONTRIB},
+codes(feature, code, description) AS (VALUES {', '.join(f"('{f}', '{c}', '{t}')" for f, (c, t) in _CODES.items())}),
+ranked AS (SELECT CAST(applicant_id AS VARCHAR) AS applicant_id, code, description, c, row_number() OVER (PARTITION BY applicant_id ORDER BY c DESC, i) AS k
+  FROM long JOIN codes USING (feature) WHERE c > 0),
+notices AS (SELECT o.applicant_id, pd, decision,
+  coalesce(string_agg(code || '=' || CAST(CAST(c * 1024 AS BIGINT) AS VARCHAR), ',' ORDER BY k) FILTER (WHERE k <= 4 AND decision <> 'APPROVE'), '') AS p,
+  coalesce(string_agg(code || '=' || CAST(CAST(c * 1024 AS BIGINT) AS VARCHAR), ',' ORDER BY k)
+    FILTER (WHERE k BETWEEN 5 AND 10 AND decision <> 'APPROVE'), '') AS a,
+  string_agg('  ' || k || '. ' || description, chr(10) ORDER BY k) FILTER (WHERE k <= 4) AS pt,
+  string_agg('  ' || (k - 4) || '. ' || description, chr(10) ORDER BY k) FILTER (WHERE k BETWEEN 5 AND 10) AS more
+  FROM outcomes o LEFT JOIN ranked r USING (applicant_id) GROUP BY ALL)"""
+ORACLE["reason_codes"] = f"{_REASONS} SELECT applicant_id, pd, decision, p AS primary_reasons, a AS additional_reasons FROM notices"
+ORACLE["notice_text"] = f"""{_REASONS}
+SELECT applicant_id, CASE WHEN decision = 'APPROVE' THEN 'Applicant ' || applicant_id || ': APPROVED' ELSE
+  concat_ws(chr(10), 'Adverse Action Notice', 'Applicant ID: ' || applicant_id, 'Decision: ' || decision, '',
+  'Your application was reviewed and could not be approved at this time. The primary factors considered in this decision were:', '', pt,
+  CASE WHEN more IS NOT NULL THEN concat_ws(chr(10), '', 'Additional factors considered:', '', more) END, '',
+  'This decision was made using an automated system. You have the right to request a human review of this decision.') END AS notice_text
+FROM notices"""
+ORACLE["score_batch"] = f"""WITH z AS (SELECT CAST(o_orderkey AS VARCHAR) AS applicant_id, 'default' AS segment, 0 AS y,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'vip_customer' END AS o,
+  1 / (1 + exp(-(-4.0 + o_totalprice / 100000 + CASE WHEN o_orderstatus = 'F' THEN 0.5 ELSE (o_custkey % 16) / 16.0 END))) AS raw FROM orders),
+people AS (SELECT *, CASE WHEN raw <= 0.03125 THEN 0.03125::DOUBLE WHEN raw >= 0.5 THEN 0.75
+  WHEN raw < 0.125 THEN 0.03125 + 0.03125::DOUBLE * (raw - 0.03125) / 0.09375 ELSE 0.0625 + 0.6875::DOUBLE * (raw - 0.125) / 0.375 END AS pd FROM z),
+{_outcomes('people', False)}
+SELECT applicant_id, round(pd, 6) AS pd, decision, threshold_used, segment, override_applied, override_reason,
+  round(cost, 6) AS expected_cost, {_FIXED} FROM outcomes"""
