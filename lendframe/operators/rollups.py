@@ -263,9 +263,11 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
         }
     )
     p, entry = "inst_prev", F.col("DAYS_ENTRY_PAYMENT")
-    return rows.groupBy(LOAN).agg(
+    # counted apart: inside the wide aggregate a distinct count would send every buffer through two shuffles
+    versions = installments.select(LOAN, "NUM_INSTALMENT_VERSION").distinct()
+    versions = versions.groupBy(LOAN).agg(F.count("NUM_INSTALMENT_VERSION").alias(f"{p}_count_distinct_versions"))
+    out = rows.groupBy(LOAN).agg(
         F.count(F.lit(1)).alias(f"{p}_count_installments"),
-        F.count_distinct("NUM_INSTALMENT_VERSION").alias(f"{p}_count_distinct_versions"),
         *_stats("NUM_INSTALMENT_NUMBER", f"{p}_num_instalment", "max"),
         *_stats("_delay", f"{p}_delay", "max", "mean", "sum", "std"),
         F.sum("_late").alias(f"{p}_delay_positive_count"),
@@ -281,6 +283,7 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
         C.last_non_null(F.col("_ratio"), entry).alias(f"{p}_payment_ratio_last"),
         C.last_non_null(paid, entry).alias(f"{p}_amt_payment_last"),
     )
+    return out.join(versions, LOAN)
 
 
 def rollup_installments(installments: DataFrame, previous: DataFrame) -> DataFrame:
