@@ -60,7 +60,11 @@ def column_contract(profile: DataFrame, table: str, primary_key: str | None) ->
 
 
 def derive_contracts(tables: Mapping[str, DataFrame], primary_keys: Mapping[str, str] = PRIMARY_KEYS) -> tuple[DataFrame, DataFrame]:
-    """(column contracts, table contracts) of all modelling tables (V1)."""
+    """(column contracts, table contracts) of all modelling tables (V1).
+
+    The result is frozen: one local row per column, so later changes of the
+    data cannot move the contract they are checked against.
+    """
     columns, sizes = [], []
     for name, df in tables.items():
         if name in REFERENCE_TABLES:
@@ -76,7 +80,10 @@ def derive_contracts(tables: Mapping[str, DataFrame], primary_keys: Mapping[str,
             )
         )
     spark = next(iter(tables.values())).sparkSession
-    return _all(columns, spark, COLUMN_CONTRACT), _all(sizes, spark, TABLE_CONTRACT)
+    frozen = []
+    for parts, schema in ((columns, COLUMN_CONTRACT), (sizes, TABLE_CONTRACT)):
+        frozen.append(spark.createDataFrame(_all(parts, spark, schema).collect(), schema))
+    return frozen[0], frozen[1]
 
 
 def join_contract(child: str, child_key: str, parent: str, parent_key: str, stats: DataFrame) -> DataFrame:
