@@ -8,16 +8,23 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 50_000
 
 
-def local_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """The table as a local relation marked for broadcast if it has at most `max_rows` rows, else unchanged.
+def local_lookups(table: DataFrame, by: str, names: list[str], max_rows: int = SMALL_ROWS) -> dict[str, DataFrame]:
+    """One lookup table per name: local and marked for broadcast as long as they fit together, else a plain filter.
 
-    At most max_rows + 1 rows reach the driver. Beyond that the caller's join
-    stays a shuffle join, so the result is the same either way.
+    The sizes decide; a name with too many rows keeps a shuffle join.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df, False
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+    sizes = {r[by]: r["count"] for r in table.groupBy(by).count().collect()}
+    small, used = [], 0
+    for name in sorted(names, key=lambda n: sizes.get(n, 0)):
+        if used + sizes.get(name, 0) > max_rows:
+            break
+        small.append(name)
+        used += sizes.get(name, 0)
+    rows: dict[str, list] = {n: [] for n in small}
+    for r in table.where(F.col(by).isin(*small)).collect() if small else []:
+        rows[r[by]].append(r)
+    spark = table.sparkSession
+    return {n: F.broadcast(spark.createDataFrame(rows[n], table.schema)) if n in rows else table.where(F.col(by) == n) for n in names}
 
 
 def step(value: Column, cuts: list[float], results: list[Column]) -> Column:

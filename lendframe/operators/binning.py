@@ -16,7 +16,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lendframe.functions.sizing import local_if_small, step
+from lendframe.functions.sizing import local_lookups, step
 from lendframe.operators.encode import feature_types
 from lendframe.operators.profile import per_column
 
@@ -180,7 +180,7 @@ class Binning:
     """All fitted bins, category scores, and what was left out."""
 
     bins: dict[str, Bins]
-    scores: DataFrame | None
+    scores: Mapping[str, DataFrame]
     categorical: list[str]
     skipped: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
@@ -216,11 +216,11 @@ def category_scores(dev: DataFrame, columns: Sequence[str], target: str = TARGET
     return long.groupBy("feature", "category").agg(F.avg(F.col("_y").cast("double")).alias("score"))
 
 
-def score_categories(df: DataFrame, scores: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+def score_categories(df: DataFrame, scores: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
     """Replace categories by their score; null stays null, unseen becomes UNSEEN."""
     out = df
     for name in columns:
-        table = scores.where(F.col("feature") == name).select(F.col("category").alias("_c"), F.col("score").alias("_s"))
+        table = scores[name].select(F.col("category").alias("_c"), F.col("score").alias("_s"))
         joined = out.join(table, F.col(f"`{name}`").cast("string") == F.col("_c"), "left")
         value = F.when(F.col(f"`{name}`").isNotNull(), F.coalesce("_s", F.lit(UNSEEN)))
         out = joined.withColumn(name, value).drop("_c", "_s")
@@ -306,10 +306,10 @@ def fit_binning(
     skipped = [n for n in names if kinds[n] == "constant"]
     categorical = [n for n in names if kinds[n] == "categorical"]
     used = [n for n in names if n not in skipped]
-    scores = None
+    scores: dict[str, DataFrame] = {}
     ready = dev
     if categorical:
-        scores, _ = local_if_small(category_scores(dev, categorical, target))
+        scores = local_lookups(category_scores(dev, categorical, target), "feature", categorical)
         ready = score_categories(dev, scores, categorical)
     probs = [i / pre_bins for i in range(1, pre_bins)]
     quantiles = per_column(ready, used, {"cuts": lambda c: F.percentile_approx(c.cast("double"), probs, 10000)})

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from lendframe.functions import columns as C
 from lendframe.functions import ordered as O
+from lendframe.functions.sizing import local_lookups
 from lendframe.operators.profile import distinct_values, low_cardinality, per_column
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
@@ -44,12 +45,11 @@ def category_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 def encode_categories(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace categories by their codes; null and unseen become -1.
 
-    The code table may be large for a wide category, so the join strategy is
-    left to the planner, which checks sizes at run time.
+    Code tables that fit are broadcast; a wide category keeps a shuffle join.
     """
     out = df
-    for name in columns:
-        table = codes.where(F.col("feature") == name).select(F.col("category").alias(name), F.col("code").alias("_code"))
+    for name, lookup in local_lookups(codes, "feature", list(columns)).items():
+        table = lookup.select(F.col("category").alias(name), F.col("code").alias("_code"))
         out = out.join(table, name, "left").withColumn(name, F.coalesce("_code", F.lit(-1))).drop("_code")
     return out.select(*df.columns)
 

@@ -61,30 +61,35 @@ def stratified_split(
 
     Sizes of test and val are rounded for the whole table and for the positives;
     the negatives take the rest. The hash is uniform, so its leading hex digits
-    cut every class into equal ranges: only range totals are accumulated per
-    class, keys are ranked inside their own range.
+    cut every class into equal ranges, and the range totals tell the split of
+    every range but those a quota ends in. Only the keys of those few ranges are
+    ranked; all others get their split without a shuffle.
     """
     check_fractions(fractions)
     hashed = df.select(key, F.col(target).cast("int").alias("_y"), F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))).alias("_h"))
     hashed = hashed.withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
     sizes = hashed.groupBy("_y", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    per_class = Window.partitionBy("_y")
-    before = per_class.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # at most 16^4 ranges per class
-    starts = sizes.select("_y", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     counts = sizes.agg(F.sum("_n").alias("all"), F.sum(F.when(F.col("_y") == 1, F.col("_n")).otherwise(0)).alias("pos"))
+    before = Window.partitionBy("_y").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # at most 16^4 ranges per class
+    ranges = attach_groups(sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))), counts, [])
 
     def quota(name: str) -> Column:
         pos = _rounded(fractions[name], F.col("pos"))
         return F.when(F.col("_y") == 1, pos).otherwise(_rounded(fractions[name], F.col("all")) - pos)
 
-    cuts = F.broadcast(counts.withColumn("_k", F.explode(F.array(F.lit(0), F.lit(1)))).withColumnRenamed("_k", "_y"))
-    cuts = cuts.select("_y", quota("test").alias("_test"), (quota("test") + quota("val")).alias("_val"))
+    def named(rank: Column) -> Column:
+        return F.when(rank <= F.col("_test"), "test").when(rank <= F.col("_val"), "val").otherwise("dev")
+
+    ranges = ranges.withColumns({"_test": quota("test"), "_val": quota("test") + quota("val")})
+    first, last = named(F.col("_start") + 1), named(F.col("_start") + F.col("_n"))
+    ranges = ranges.select("_y", "_b", "_start", "_test", "_val", first.alias("_first"), (first == last).alias("_whole_range"))
+    whole = F.broadcast(ranges.where("_whole_range").select("_y", "_b", F.col("_first").alias("split")))
+    broken = F.broadcast(ranges.where("NOT _whole_range"))
     inside = Window.partitionBy("_y", "_b").orderBy("_h", key)
-    ranked = hashed.join(F.broadcast(starts), ["_y", "_b"]).withColumn("_rank", F.col("_start") + F.row_number().over(inside))
-    ranked = ranked.join(F.broadcast(cuts), "_y")
-    name = F.when(F.col("_rank") <= F.col("_test"), "test").when(F.col("_rank") <= F.col("_val"), "val").otherwise("dev")
-    return ranked.select(key, name.alias("split"))
+    ranked = hashed.join(broken, ["_y", "_b"]).withColumn("_rank", F.col("_start") + F.row_number().over(inside))
+    decided = hashed.join(whole, ["_y", "_b"]).select(key, "split")
+    return decided.unionByName(ranked.select(key, named(F.col("_rank")).alias("split")))
 
 
 def split_checks(
