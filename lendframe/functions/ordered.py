@@ -1,8 +1,8 @@
 """Exact order statistics without a single-task sort.
 
 A window over a whole population would put it into one task. Here equal values
-are first counted together (map-side), then each group is cut into value ranges
-at a hash-chosen sample of its own values. Only the per-range totals, a bounded
+are first counted together (map-side) and staged, so the input is scanned once; then
+each group is cut into value ranges at a hash-chosen sample of its own values. Only the per-range totals, a bounded
 table, are accumulated per group; the rows are accumulated inside their range.
 The cut points depend on the values alone, so re-running a lost task gives the
 same ranges.
@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendframe.session import staged
+
 RANGE = "_range"
 
 
@@ -35,37 +37,37 @@ def default_ranges(df: DataFrame) -> int:
     return min(max(partitions, 16), 2048)
 
 
+def counted(df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Column]) -> DataFrame:
+    """Measures per distinct (by, value), null values left out, staged for the passes that follow."""
+    return staged(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()]))
+
+
 def ranged(
-    df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Column], ranges: int | None = None
+    rows: DataFrame, by: Sequence[str], value: str, names: Sequence[str], ranges: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Measures per distinct (by, value), each tagged with its range, and the running range table.
+    """Rows unique on (by, value), each tagged with its range, and the running range table.
 
-    `by` must have few groups (features, models, splits). Null values are left out.
-    The range table holds, per group and range, `<m>_in`, `<m>_before` and `<m>_total`.
+    `by` must have few groups (features, models, splits). The range table holds,
+    per group and range, `<name>_in`, `<name>_before` and `<name>_total`.
     """
     by = list(by)
-    ranges = ranges or default_ranges(df)
-    present = df.where(F.col(value).isNotNull())
-    rows = present.groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()])
-    sizes = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_values"), *[F.sum(n).alias(f"{n}_total") for n in measures]
-    )
+    ranges = ranges or default_ranges(rows)
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_values"))
     stride = F.greatest(F.lit(1), F.ceil(F.col("_values") / F.lit(ranges)))
-    keep = F.pmod(F.xxhash64(value), stride) == 0
-    sample = attach_groups(present.select(*by, value), sizes.select(*by, "_values"), by).where(keep)
-    cuts = sample.groupBy(*by).agg(F.sort_array(F.collect_set(value)).alias("_cuts"))
+    sample = attach_groups(rows.select(*by, value), sizes, by).where(F.pmod(F.xxhash64(value), stride) == 0)
+    cuts = sample.groupBy(*by).agg(F.sort_array(F.collect_list(value)).alias("_cuts"))
     tagged = (
-        attach_groups(rows, cuts, by, "left")
+        attach_groups(rows.select(*by, value, *names), cuts, by, "left")
         .withColumn(RANGE, F.coalesce(position(F.col(value), F.col("_cuts"), 2 * ranges), F.lit(0)))
         .drop("_cuts")
     )
     w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     up_to = w.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    table = tagged.groupBy(*by, RANGE).agg(*[F.sum(n).alias(f"{n}_in") for n in measures])
+    table = tagged.groupBy(*by, RANGE).agg(*[F.sum(n).alias(f"{n}_in") for n in names])
     table = table.select(
         "*",
-        *[F.coalesce(F.sum(f"{n}_in").over(up_to), F.lit(0)).alias(f"{n}_before") for n in measures],
-        *[F.sum(f"{n}_in").over(w).alias(f"{n}_total") for n in measures],
+        *[F.coalesce(F.sum(f"{n}_in").over(up_to), F.lit(0)).alias(f"{n}_before") for n in names],
+        *[F.sum(f"{n}_in").over(w).alias(f"{n}_total") for n in names],
     )
     return tagged, table
 
@@ -78,13 +80,10 @@ def attach_groups(df: DataFrame, groups: DataFrame, by: list[str], how: str = "i
     return df.select("*", key).join(F.broadcast(groups.select("*", key)), "_whole", how).drop("_whole")
 
 
-def running(
-    df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Column], ranges: int | None = None
-) -> DataFrame:
-    """Per distinct (by, value): each measure, its sum over smaller values, and its group total."""
+def running_rows(rows: DataFrame, by: Sequence[str], value: str, names: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """Rows unique on (by, value) with, per name, the sum over smaller values and the group total."""
     by = list(by)
-    tagged, table = ranged(df, by, value, measures, ranges)
-    names = list(measures)
+    tagged, table = ranged(rows, by, value, names, ranges)
     offsets = table.drop(*[f"{n}_in" for n in names])
     inside = Window.partitionBy(*by, RANGE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     joined = tagged.join(F.broadcast(offsets), [*by, RANGE])
@@ -97,21 +96,28 @@ def running(
     )
 
 
+def running(
+    df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Column], ranges: int | None = None
+) -> DataFrame:
+    """Running sums over any rows: equal values are counted together first."""
+    return running_rows(counted(df, by, value, measures), by, value, list(measures), ranges)
+
+
 def quantile_probs(bins: int) -> list[float]:
     """Equally spaced probabilities from 0 to 1."""
     return [i * (1.0 / bins) for i in range(bins)] + [1.0]
 
 
-def quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], weight: Column | None = None
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per group: `by`, `edges` (array in probs order).
+def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per group: `by`, `edges` (array in probs order)."""
+    return quantiles_rows(counted(df, by, value, {"n": F.count(F.lit(1))}), by, value, probs, "n")
 
-    `weight` counts a row several times (or not at all when 0).
-    """
+
+def quantiles_rows(rows: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], weight: str) -> DataFrame:
+    """Quantiles of rows unique on (by, value), each counting `weight` times (not at all when 0)."""
     by = list(by)
-    count = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    tagged, table = ranged(df if weight is None else df.where(weight > 0), by, value, {"n": count})
+    counts = rows.where(F.col(value).isNotNull() & (F.col(weight) > 0)).select(*by, value, F.col(weight).alias("n"))
+    tagged, table = ranged(counts, by, value, ["n"])
 
     def targets(total: Column) -> Column:
         out = []
@@ -127,12 +133,13 @@ def quantiles(
         return F.filter(wanted, lambda t: (t["at"] >= start) & (t["at"] < start + size))
 
     wanted = covering(targets(F.col("n_total")), F.col("n_before"), F.col("n_in"))
+    # ranges without a wanted rank are dropped before anything is sorted
     spots = table.select(*by, RANGE, "n_before", wanted.alias("wanted")).where(F.size("wanted") > 0)
     inside = Window.partitionBy(*by, RANGE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    rows = tagged.join(F.broadcast(spots), [*by, RANGE]).withColumn(
+    near = tagged.join(F.broadcast(spots), [*by, RANGE]).withColumn(
         "start", F.col("n_before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     )
-    hits = rows.select(*by, F.col(value).alias("v"), F.explode(covering(F.col("wanted"), F.col("start"), F.col("n"))).alias("t"))
+    hits = near.select(*by, F.col(value).alias("v"), F.explode(covering(F.col("wanted"), F.col("start"), F.col("n"))).alias("t"))
     pairs = hits.groupBy(*by, F.col("t.i").alias("i")).agg(
         F.max(F.when(F.col("t.side") == 0, F.col("v"))).alias("a"),
         F.max(F.when(F.col("t.side") == 1, F.col("v"))).alias("b"),

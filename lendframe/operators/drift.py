@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendframe.functions import ordered as O
 from lendframe.operators import metrics as M
+from lendframe.session import staged
 
 # Alert levels.
 PSI_STABLE = 0.10
@@ -30,23 +31,28 @@ def both_sides(reference: DataFrame, monitoring: DataFrame, features: Sequence[s
     return sides[0].unionByName(sides[1])
 
 
+def value_counts(long: DataFrame) -> DataFrame:
+    """Rows per (feature, value) and side, null included: one scan serves every drift measure."""
+    return staged(long.groupBy("feature", "value").agg(F.sum("ref").alias("ref"), F.sum("mon").alias("mon")))
+
+
 def severity(psi: Column) -> Column:
     return F.when(psi < PSI_STABLE, "stable").when(psi < PSI_MODERATE, "moderate").otherwise("material")
 
 
-def psi(long: DataFrame, bins: int = 10) -> DataFrame:
-    """Population stability index per feature (G1).
+def psi(cells: DataFrame, bins: int = 10) -> DataFrame:
+    """Population stability index per feature from value counts (G1).
 
     Edges are the distinct reference deciles. Bins are closed on the left, the
     last one on both sides. Monitoring values outside the edges fall into no
     bin but stay in the denominator.
     """
-    cells = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.sum("ref").alias("ref"), F.sum("mon").alias("mon"))
-    edges = O.quantiles(cells, ["feature"], "value", O.quantile_probs(bins), weight=F.col("ref")).select(
+    present = cells.where(F.col("value").isNotNull())
+    edges = O.quantiles_rows(present, ["feature"], "value", O.quantile_probs(bins), "ref").select(
         "feature", O.distinct_edges(F.col("edges")).alias("edges")
     )
     # one row of at most bins + 1 edges per feature
-    rows = cells.join(F.broadcast(edges), "feature")
+    rows = present.join(F.broadcast(edges), "feature")
     at = O.position(F.col("value"), F.col("edges"), bins + 1)
     last = F.size("edges")
     top = F.get("edges", last - 1)
@@ -74,33 +80,34 @@ def psi(long: DataFrame, bins: int = 10) -> DataFrame:
     return totals.select("feature", F.when(usable & (empty >= 0), value).otherwise(0.0).alias("psi"))
 
 
-def ks_two_sample(long: DataFrame) -> DataFrame:
-    """Largest gap between the two empirical distributions per feature."""
-    rows = O.running(long, ["feature"], "value", {"r": F.sum("ref"), "m": F.sum("mon")})
+def ks_two_sample(cells: DataFrame) -> DataFrame:
+    """Largest gap between the two empirical distributions per feature from value counts."""
+    rows = O.running_rows(cells.where(F.col("value").isNotNull()), ["feature"], "value", ["ref", "mon"])
 
     def share(side: str) -> Column:
         return (F.col(f"{side}_before") + F.col(side)) / F.nullif(F.col(f"{side}_total"), F.lit(0))
 
-    return rows.groupBy("feature").agg(F.coalesce(F.max(F.abs(share("r") - share("m"))), F.lit(0.0)).alias("ks"))
+    return rows.groupBy("feature").agg(F.coalesce(F.max(F.abs(share("ref") - share("mon"))), F.lit(0.0)).alias("ks"))
 
 
-def moments(long: DataFrame) -> DataFrame:
-    """Mean and null rate per feature and side."""
+def moments(cells: DataFrame) -> DataFrame:
+    """Mean and null rate per feature and side from value counts."""
 
     def side(mark: str, name: str) -> list[Column]:
-        here = F.col(mark) == 1
+        known = F.when(F.col("value").isNotNull(), F.col(mark))
+        missing = F.when(F.col("value").isNull(), F.col(mark)).otherwise(0)
         return [
-            F.avg(F.when(here, F.col("value"))).alias(f"{name}_mean"),
-            F.avg(F.when(here, F.col("value").isNull().cast("int"))).alias(f"{name}_null_rate"),
+            (F.sum(F.col("value") * F.col(mark)) / F.nullif(F.sum(known), F.lit(0))).alias(f"{name}_mean"),
+            (F.sum(missing) / F.nullif(F.sum(mark), F.lit(0))).alias(f"{name}_null_rate"),
         ]
 
-    return long.groupBy("feature").agg(*side("ref", "reference"), *side("mon", "monitoring"))
+    return cells.groupBy("feature").agg(*side("ref", "reference"), *side("mon", "monitoring"))
 
 
 def feature_drift(reference: DataFrame, monitoring: DataFrame, features: Sequence[str]) -> DataFrame:
     """Drift table, one row per feature."""
-    long = both_sides(reference, monitoring, features)
-    out = moments(long).join(psi(long), "feature", "left").join(ks_two_sample(long), "feature", "left")
+    cells = value_counts(both_sides(reference, monitoring, features))
+    out = moments(cells).join(psi(cells), "feature", "left").join(ks_two_sample(cells), "feature", "left")
     return out.select(
         "feature",
         "reference_mean",

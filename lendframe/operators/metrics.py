@@ -125,12 +125,13 @@ def reliability(df: DataFrame, by: Sequence[str], score: str, label: str, bins:
     A value on an inner edge belongs to the upper bin; empty bins disappear.
     """
     by = list(by)
-    edges = O.quantiles(df, by, score, O.quantile_probs(bins)).select(*by, O.distinct_edges(F.col("edges")).alias("edges"))
+    cells = O.counted(df, by, score, {"_n": F.count(F.lit(1)), "_y": F.sum(F.col(label).cast("bigint"))})
+    edges = O.quantiles_rows(cells, by, score, O.quantile_probs(bins), "_n")
+    edges = edges.select(*by, O.distinct_edges(F.col("edges")).alias("edges"))
     first = F.get("edges", F.lit(0))
     edges = edges.withColumn(
         "edges", F.when(F.size("edges") > 1, F.col("edges")).otherwise(F.array(first - 1e-9, first + 1e-9))
     )
-    cells = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_y"))
     inner = F.slice("edges", F.lit(2), F.greatest(F.lit(0), F.size("edges") - 2))
     rows = O.attach_groups(cells, edges, by).withColumn("_bin", O.position(F.col(score), inner, bins))
     out = rows.groupBy(*by, "_bin").agg(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "lendframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,3 +36,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write a compact intermediate to the shared checkpoint folder and read it back.
+
+    For tables that several later passes need: the input is scanned once, and a
+    lost executor never sends those passes back to the raw data.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/lendframe-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -385,12 +385,12 @@ def _populations(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def psi(spark: SparkSession, d: str) -> DataFrame:
-    return digits(D.psi(D.both_sides(*_populations(spark, d), DRIFT_FEATURES)), {"psi": 9})
+    return digits(D.psi(D.value_counts(D.both_sides(*_populations(spark, d), DRIFT_FEATURES))), {"psi": 9})
 
 
 @query
 def ks_two_sample(spark: SparkSession, d: str) -> DataFrame:
-    return digits(D.ks_two_sample(D.both_sides(*_populations(spark, d), DRIFT_FEATURES)), {"ks": 9})
+    return digits(D.ks_two_sample(D.value_counts(D.both_sides(*_populations(spark, d), DRIFT_FEATURES))), {"ks": 9})
 
 
 def _drift_table(spark: SparkSession, d: str) -> DataFrame:
