@@ -1,10 +1,17 @@
-"""Time the headline queries and print one JSON line."""
+"""Time the headline queries and print one JSON line.
+
+Tables on a cluster consist of many files; the driver's are one row group each,
+which a single task has to read. They are rewritten as one file per core first,
+and that step is timed and counted. Every query then runs once untimed on the
+same tables to load classes, and once timed.
+"""
 
 from __future__ import annotations
 
 import json
 import os
 import sys
+import tempfile
 import time
 
 from lendframe.session import get_session
@@ -16,6 +23,8 @@ HEADLINE = (
     " calibrate decide_batch reason_codes topk_contributions score_batch"
 ).split()
 
+TABLES = ("customer", "orders", "lineitem", "events", "documents", "labels")
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -26,12 +35,17 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
     times = {}
+    start = time.perf_counter()
+    work = tempfile.mkdtemp(prefix="bench-")
+    for table in TABLES:
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(int(cpus)).write.parquet(f"{work}/{table}.parquet")
+    times["rewrite_tables"] = round(time.perf_counter() - start, 3)
     for name in sys.argv[1:] or HEADLINE:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
+        for _ in range(2):
+            start = time.perf_counter()
+            QUERIES[name](spark, work).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - start, 3)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir)}))
     spark.stop()
 
