@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def count_where(condition: Column) -> Column:
     """Rows of the group that satisfy the condition; 0 when none does (A2)."""
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+    return F.count_if(condition)
 
 
 def slug(value: str) -> str:
@@ -82,11 +82,16 @@ def clean_text(column: Column, upper: bool = False) -> Column:
     return F.upper(stripped) if upper else stripped
 
 
+def pick(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Plain projection of many columns; names go over as text, which keeps wide plans quick to build."""
+    return df.selectExpr(*[f"`{n}`" for n in names])
+
+
 def ordered_columns(df: DataFrame, *first: str, last: Iterable[str] = ()) -> DataFrame:
     """Named columns first, the others by name, then the trailing ones."""
     tail = list(last)
     middle = sorted(c for c in df.columns if c not in first and c not in tail)
-    return df.select(*first, *middle, *tail)
+    return pick(df, [*first, *middle, *tail])
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

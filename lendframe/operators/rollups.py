@@ -34,11 +34,15 @@ PRESENCE = {
     "credit_card": "has_credit_card_history",
 }
 
-_STATS = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "std": F.stddev_samp}
+_STATS = {"sum": "sum", "mean": "avg", "max": "max", "min": "min", "std": "stddev_samp"}
+
+
+def _agg(function: str, source: str, name: str) -> Column:
+    return F.expr(f"{function}({source}) AS {name}")
 
 
 def _stats(source: str, name: str, *stats: str) -> list[Column]:
-    return [_STATS[s](source).alias(f"{name}_{s}") for s in stats]
+    return [_agg(_STATS[s], source, f"{name}_{s}") for s in stats]
 
 
 def _finish(df: DataFrame, flag: str) -> DataFrame:
@@ -55,8 +59,8 @@ def bureau_months(bureau_balance: DataFrame) -> DataFrame:
         "level", C.ordinal(F.col("STATUS"), MONTH_STATUS_CODES)
     )
     out = months.groupBy("SK_ID_BUREAU").agg(
-        F.max("level").alias("bb_max_status"),
-        F.avg("level").alias("bb_mean_status"),
+        _agg("max", "level", "bb_max_status"),
+        _agg("avg", "level", "bb_mean_status"),
         F.count(F.lit(1)).alias("bb_count_months"),
         *C.known_counts(F.col("STATUS"), MONTH_STATUS, "bb_count_status_"),
     )
@@ -86,13 +90,13 @@ def rollup_bureau(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
     ]
     credit = "bureau_credit_sum"
     aggs += [
-        F.sum("AMT_CREDIT_SUM").alias(f"{credit}_total"),
+        _agg("sum", "AMT_CREDIT_SUM", f"{credit}_total"),
         *_stats("AMT_CREDIT_SUM", credit, "mean", "max", "min", "std"),
-        F.sum("AMT_CREDIT_SUM_DEBT").alias(f"{credit}_debt_total"),
+        _agg("sum", "AMT_CREDIT_SUM_DEBT", f"{credit}_debt_total"),
         *_stats("AMT_CREDIT_SUM_DEBT", f"{credit}_debt", "mean", "max"),
-        F.sum("AMT_CREDIT_SUM_LIMIT").alias(f"{credit}_limit_total"),
+        _agg("sum", "AMT_CREDIT_SUM_LIMIT", f"{credit}_limit_total"),
         *_stats("AMT_CREDIT_SUM_LIMIT", f"{credit}_limit", "mean"),
-        F.sum("AMT_CREDIT_SUM_OVERDUE").alias(f"{credit}_overdue_total"),
+        _agg("sum", "AMT_CREDIT_SUM_OVERDUE", f"{credit}_overdue_total"),
         *_stats("AMT_CREDIT_SUM_OVERDUE", f"{credit}_overdue", "max"),
         *_stats("AMT_CREDIT_MAX_OVERDUE", "bureau_credit_max_overdue", "max"),
         *_stats("CNT_CREDIT_PROLONG", "bureau_cnt_prolong", "sum", "max"),
@@ -102,7 +106,7 @@ def rollup_bureau(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
         *_stats("DAYS_CREDIT_UPDATE", "bureau_days_credit_update", "min", "max"),
         *_stats("bb_max_status", "bb_max_status", "max", "mean"),
         *_stats("bb_mean_status", "bb_mean_status", "mean"),
-        *[F.sum(c).alias(f"{c}_total") for c in ("bb_count_months", "bb_months_at_1_plus", "bb_months_at_3_plus")],
+        *[_agg("sum", c, f"{c}_total") for c in ("bb_count_months", "bb_months_at_1_plus", "bb_months_at_3_plus")],
         *_stats("bb_ever_closed", "bb_ever_closed", "sum"),
         *_stats("bb_ever_unknown", "bb_ever_unknown", "sum"),
     ]
@@ -199,9 +203,9 @@ def pos_cash_per_loan(pos_cash: DataFrame) -> DataFrame:
     out = rows.groupBy(LOAN).agg(
         F.count(F.lit(1)).alias(f"{p}_count_months"),
         *_stats("SK_DPD", f"{p}_sk_dpd", "max", "mean", "sum"),
-        F.sum("_dpd").alias(f"{p}_sk_dpd_positive_months"),
+        _agg("sum", "_dpd", f"{p}_sk_dpd_positive_months"),
         *_stats("SK_DPD_DEF", f"{p}_sk_dpd_def", "max", "mean", "sum"),
-        F.sum("_dpd_def").alias(f"{p}_sk_dpd_def_positive_months"),
+        _agg("sum", "_dpd_def", f"{p}_sk_dpd_def_positive_months"),
         *_stats("CNT_INSTALMENT", f"{p}_cnt_instalment", "max", "mean"),
         *_stats("CNT_INSTALMENT_FUTURE", f"{p}_cnt_instalment_future", "max", "mean"),
         C.last_non_null(F.col("CNT_INSTALMENT_FUTURE"), F.col("MONTHS_BALANCE")).alias(f"{p}_cnt_instalment_future_last"),
@@ -217,22 +221,22 @@ def rollup_pos_cash(pos_cash: DataFrame, previous: DataFrame) -> DataFrame:
     rows = through_parent(pos_cash_per_loan(pos_cash), previous, LOAN, APPLICANT)
     p, q = "pos_prev", "pos"
     slugs = [C.slug(s) for s in POS_STATUS]
-    aggs = [F.count(F.lit(1)).alias(f"{q}_count_prev_loans"), F.sum(f"{p}_count_months").alias(f"{q}_count_total_months")]
+    aggs = [F.count(F.lit(1)).alias(f"{q}_count_prev_loans"), _agg("sum", f"{p}_count_months", f"{q}_count_total_months")]
     for dpd in ("sk_dpd", "sk_dpd_def"):
         aggs += [
-            F.max(f"{p}_{dpd}_max").alias(f"{q}_{dpd}_max"),
-            F.avg(f"{p}_{dpd}_mean").alias(f"{q}_{dpd}_mean"),
-            F.sum(f"{p}_{dpd}_sum").alias(f"{q}_{dpd}_sum"),
-            F.sum(f"{p}_{dpd}_positive_months").alias(f"{q}_{dpd}_positive_months_total"),
+            _agg("max", f"{p}_{dpd}_max", f"{q}_{dpd}_max"),
+            _agg("avg", f"{p}_{dpd}_mean", f"{q}_{dpd}_mean"),
+            _agg("sum", f"{p}_{dpd}_sum", f"{q}_{dpd}_sum"),
+            _agg("sum", f"{p}_{dpd}_positive_months", f"{q}_{dpd}_positive_months_total"),
         ]
     for name in ("cnt_instalment", "cnt_instalment_future"):
-        aggs += [F.max(f"{p}_{name}_max").alias(f"{q}_{name}_max"), F.avg(f"{p}_{name}_mean").alias(f"{q}_{name}_mean")]
+        aggs += [_agg("max", f"{p}_{name}_max", f"{q}_{name}_max"), _agg("avg", f"{p}_{name}_mean", f"{q}_{name}_mean")]
     aggs += [
-        F.sum(f"{p}_cnt_instalment_future_last").alias(f"{q}_cnt_instalment_future_current"),
-        F.min(f"{p}_months_balance_min").alias(f"{q}_months_balance_min"),
-        F.max(f"{p}_months_balance_max").alias(f"{q}_months_balance_max"),
-        *[F.sum(f"{p}_status_{s}").alias(f"{q}_count_status_{s}") for s in (*slugs, "other")],
-        *[F.sum(f"{p}_ever_{s}").alias(f"{q}_count_ever_{s}") for s in slugs],
+        _agg("sum", f"{p}_cnt_instalment_future_last", f"{q}_cnt_instalment_future_current"),
+        _agg("min", f"{p}_months_balance_min", f"{q}_months_balance_min"),
+        _agg("max", f"{p}_months_balance_max", f"{q}_months_balance_max"),
+        *[_agg("sum", f"{p}_status_{s}", f"{q}_count_status_{s}") for s in (*slugs, "other")],
+        *[_agg("sum", f"{p}_ever_{s}", f"{q}_count_ever_{s}") for s in slugs],
     ]
     out = rows.groupBy(APPLICANT).agg(*aggs).withColumns(
         {
@@ -270,11 +274,11 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias(f"{p}_count_installments"),
         *_stats("NUM_INSTALMENT_NUMBER", f"{p}_num_instalment", "max"),
         *_stats("_delay", f"{p}_delay", "max", "mean", "sum", "std"),
-        F.sum("_late").alias(f"{p}_delay_positive_count"),
+        _agg("sum", "_late", f"{p}_delay_positive_count"),
         *_stats("_short", f"{p}_underpayment", "max", "mean", "sum"),
-        F.sum("_short_flag").alias(f"{p}_underpayment_positive_count"),
+        _agg("sum", "_short_flag", f"{p}_underpayment_positive_count"),
         *_stats("_ratio", f"{p}_payment_ratio", "mean", "min", "max"),
-        F.sum("_underpaid").alias(f"{p}_underpaid_count"),
+        _agg("sum", "_underpaid", f"{p}_underpaid_count"),
         *_stats("AMT_INSTALMENT", f"{p}_amt_instalment", "sum", "mean"),
         *_stats("AMT_PAYMENT", f"{p}_amt_payment", "sum", "mean", "max"),
         *_stats("DAYS_INSTALMENT", f"{p}_days_instalment", "min", "max"),
@@ -291,10 +295,10 @@ def rollup_installments(installments: DataFrame, previous: DataFrame) -> DataFra
     rows = through_parent(installments_per_loan(installments), previous, LOAN, APPLICANT)
     p, q = "inst_prev", "inst"
     same = {
-        F.max: ("num_instalment_max", "delay_max", "underpayment_max", "amt_payment_max", "days_instalment_max", "days_entry_max"),
-        F.min: ("payment_ratio_min", "days_instalment_min", "days_entry_min"),
-        F.avg: ("delay_mean", "underpayment_mean", "payment_ratio_mean", "amt_instalment_mean", "amt_payment_mean"),
-        F.sum: (
+        "max": ("num_instalment_max", "delay_max", "underpayment_max", "amt_payment_max", "days_instalment_max", "days_entry_max"),
+        "min": ("payment_ratio_min", "days_instalment_min", "days_entry_min"),
+        "avg": ("delay_mean", "underpayment_mean", "payment_ratio_mean", "amt_instalment_mean", "amt_payment_mean"),
+        "sum": (
             "delay_sum",
             "delay_positive_count",
             "underpayment_sum",
@@ -306,10 +310,10 @@ def rollup_installments(installments: DataFrame, previous: DataFrame) -> DataFra
     }
     aggs = [
         F.count(F.lit(1)).alias(f"{q}_count_prev_loans"),
-        F.sum(f"{p}_count_installments").alias(f"{q}_count_installments_total"),
-        F.sum(f"{p}_count_distinct_versions").alias(f"{q}_count_distinct_versions_total"),
+        _agg("sum", f"{p}_count_installments", f"{q}_count_installments_total"),
+        _agg("sum", f"{p}_count_distinct_versions", f"{q}_count_distinct_versions_total"),
     ]
-    aggs += [agg(f"{p}_{n}").alias(f"{q}_{n}") for agg, names in same.items() for n in names]
+    aggs += [_agg(fn, f"{p}_{n}", f"{q}_{n}") for fn, names in same.items() for n in names]
     aggs += [
         C.last_non_null(F.col(f"{p}_{n}"), F.col(f"{p}_days_entry_max")).alias(f"{q}_{n}")
         for n in ("delay_last", "payment_ratio_last", "amt_payment_last")
@@ -377,8 +381,8 @@ def credit_card_per_loan(credit_card: DataFrame) -> DataFrame:
     for stem, (source, stats) in _CARD_STATS.items():
         aggs += _stats(source, f"{p}_{stem}", *stats)
     aggs += [
-        F.sum("_dpd").alias(f"{p}_sk_dpd_positive_months"),
-        F.sum("_dpd_def").alias(f"{p}_sk_dpd_def_positive_months"),
+        _agg("sum", "_dpd", f"{p}_sk_dpd_positive_months"),
+        _agg("sum", "_dpd_def", f"{p}_sk_dpd_def_positive_months"),
         *C.known_counts(F.col("_status"), CARD_STATUS, f"{p}_status_"),
         C.residual_count(F.col("_status"), CARD_STATUS).alias(f"{p}_status_other"),
         *[C.last_non_null(F.col(source), F.col("MONTHS_BALANCE")).alias(f"{p}_{n}_last") for n, source in _CARD_LAST.items()],
@@ -390,13 +394,13 @@ def rollup_credit_card(credit_card: DataFrame, previous: DataFrame) -> DataFrame
     """Cards to one row per applicant."""
     rows = through_parent(credit_card_per_loan(credit_card), previous, LOAN, APPLICANT)
     p, q = "cc_prev", "cc"
-    aggs = [F.count(F.lit(1)).alias(f"{q}_count_prev_loans"), F.sum(f"{p}_count_months").alias(f"{q}_count_total_months")]
+    aggs = [F.count(F.lit(1)).alias(f"{q}_count_prev_loans"), _agg("sum", f"{p}_count_months", f"{q}_count_total_months")]
     for stem, (_, stats) in _CARD_STATS.items():
-        aggs += [_STATS[s](f"{p}_{stem}_{s}").alias(f"{q}_{stem}_{s}") for s in stats]
+        aggs += [_agg(_STATS[s], f"{p}_{stem}_{s}", f"{q}_{stem}_{s}") for s in stats]
     aggs += [
-        F.sum(f"{p}_{dpd}_positive_months").alias(f"{q}_{dpd}_positive_months_total") for dpd in ("sk_dpd", "sk_dpd_def")
+        _agg("sum", f"{p}_{dpd}_positive_months", f"{q}_{dpd}_positive_months_total") for dpd in ("sk_dpd", "sk_dpd_def")
     ]
-    aggs += [F.sum(f"{p}_status_{s}").alias(f"{q}_count_status_{s}") for s in (*map(C.slug, CARD_STATUS), "other")]
+    aggs += [_agg("sum", f"{p}_status_{s}", f"{q}_count_status_{s}") for s in (*map(C.slug, CARD_STATUS), "other")]
     aggs += [
         C.last_non_null(F.col(f"{p}_{n}_last"), F.col(f"{p}_months_balance_max")).alias(f"{q}_{n}_last") for n in _CARD_LAST
     ]

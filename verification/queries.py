@@ -38,7 +38,7 @@ def query(fn: Query) -> Query:
 
 def digits(df: DataFrame, spec: dict[str, int]) -> DataFrame:
     """Round the columns whose last bits depend on summation order."""
-    return df.select(*[F.round(c, spec[c]).alias(c) if c in spec else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"round(`{c}`, {spec[c]}) AS `{c}`" if c in spec else f"`{c}`" for c in df.columns])
 
 
 # --- roll-ups ---------------------------------------------------------------
