@@ -73,11 +73,11 @@ def ranged(
 
 
 def attach_groups(df: DataFrame, groups: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
-    """Attach a per-group table; it has one row per group, so it is always broadcast."""
+    """Attach a per-group table. It has one row per group, so it is always broadcast; without groups it is a scalar."""
     if by:
         return df.join(F.broadcast(groups), by, how)
-    key = F.lit(0).alias("_whole")
-    return df.select("*", key).join(F.broadcast(groups.select("*", key)), "_whole", how).drop("_whole")
+    row = groups.select(F.struct(*groups.columns).alias("_whole")).scalar()
+    return df.select("*", row.alias("_whole")).select(*df.columns, "_whole.*")
 
 
 def running_rows(rows: DataFrame, by: Sequence[str], value: str, names: Sequence[str], ranges: int | None = None) -> DataFrame:
