@@ -134,15 +134,12 @@ def prediction_drift(reference: DataFrame, monitoring: DataFrame, score: str) ->
     base = feature_drift(reference, monitoring, [score])
 
     def high(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.avg((F.col(score) > 0.5).cast("int")).alias(name)).withColumn("feature", F.lit(score))
+        return df.agg(F.avg((F.col(score) > 0.5).cast("int")).alias(name))
 
-    return (
-        base.join(high(reference, "reference_positive_rate"), "feature")
-        .join(high(monitoring, "monitoring_positive_rate"), "feature")
-        .select(
-            "reference_mean", "monitoring_mean", "reference_positive_rate", "monitoring_positive_rate", "psi", "ks", "severity"
-        )
-    )
+    row = O.attach_groups(base, high(reference, "reference_positive_rate"), [])
+    row = O.attach_groups(row, high(monitoring, "monitoring_positive_rate"), [])
+    names = "reference_mean monitoring_mean reference_positive_rate monitoring_positive_rate psi ks severity"
+    return row.select(*names.split())
 
 
 def calibration_drift(reference: DataFrame, monitoring: DataFrame, score: str, label: str) -> DataFrame:
@@ -157,12 +154,12 @@ def calibration_drift(reference: DataFrame, monitoring: DataFrame, score: str, l
     def of(name: str, column: str) -> Column:
         return F.max(F.when(F.col("side") == name, F.col(column))).alias(f"{name}_{column}")
 
-    row = joined.agg(*[of(s, c) for c in ("auc", "brier") for s in ("reference", "monitoring")]).withColumn("_k", F.lit(1))
+    row = joined.agg(*[of(s, c) for c in ("auc", "brier") for s in ("reference", "monitoring")])
     fit = M.calibration_fit(monitoring, [], score, label).select(
-        F.lit(1).alias("_k"), F.col("slope").alias("monitoring_slope"), F.col("intercept").alias("monitoring_intercept")
+        F.col("slope").alias("monitoring_slope"), F.col("intercept").alias("monitoring_intercept")
     )
     ok = F.col("monitoring_slope").between(*SLOPE_RANGE) & (F.abs("monitoring_intercept") <= INTERCEPT_LIMIT)
-    return row.join(fit, "_k").drop("_k").withColumn("calibration_ok", ok)
+    return O.attach_groups(row, fit, []).withColumn("calibration_ok", ok)
 
 
 def alert_notes(drift: DataFrame, prediction: DataFrame, calibration: DataFrame) -> DataFrame:
@@ -171,12 +168,8 @@ def alert_notes(drift: DataFrame, prediction: DataFrame, calibration: DataFrame)
         F.count_if(F.col("severity") == "material").alias("material"),
         F.count_if(F.col("severity") == "moderate").alias("moderate"),
     )
-    key = F.lit(1).alias("_k")
-    row = (
-        found.select(key, "*")
-        .join(prediction.select(key, F.col("severity").alias("prediction_severity"), F.col("psi").alias("prediction_psi")), "_k")
-        .join(calibration.select(key, "*"), "_k")
-    )
+    level = prediction.select(F.col("severity").alias("prediction_severity"), F.col("psi").alias("prediction_psi"))
+    row = O.attach_groups(O.attach_groups(found, level, []), calibration, [])
     drop = F.col("reference_auc") - F.col("monitoring_auc")
     alerts = {
         "feature_material": (F.col("material") > 0, F.col("material").cast("double")),

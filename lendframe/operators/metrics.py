@@ -236,12 +236,12 @@ def cross_checks(stored: DataFrame, recomputed: DataFrame, keys: Sequence[str],
 def recommendation(metrics: DataFrame, sweep: DataFrame, failed_checks: Column | int = 0, ratio: float = 20.0) -> DataFrame:
     """Promotion advice from two rows of metrics and the cost sweep."""
 
-    def side(name: str) -> DataFrame:
-        cols = ("auc", "gini", "brier", "slope", "intercept")
-        return metrics.where(F.col("model") == name).select(F.lit(1).alias("_k"), *[F.col(c).alias(f"{name}_{c}") for c in cols])
+    def of(name: str, column: str) -> Column:
+        return F.max(F.when(F.col("model") == name, F.col(column))).alias(f"{name}_{column}")
 
-    middle = sweep.where(F.col("cost_ratio") == ratio).select(F.lit(1).alias("_k"), "cost_ratio", "challenger_cost_savings_pct")
-    row = side("champion").join(side("challenger"), "_k").join(middle, "_k", "left")
+    row = metrics.agg(*[of(m, c) for m in ("champion", "challenger") for c in ("auc", "gini", "brier", "slope", "intercept")])
+    middle = sweep.where(F.col("cost_ratio") == ratio).agg(F.max("challenger_cost_savings_pct").alias("challenger_cost_savings_pct"))
+    row = O.attach_groups(row, middle, [])
 
     def in_tolerance(name: str) -> Column:
         return (F.abs(F.col(f"{name}_slope") - 1) <= CALIBRATION_TOLERANCE) & (
