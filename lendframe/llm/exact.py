@@ -151,27 +151,30 @@ def batch_of(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(2)) == 1
 
 
-def mark(docs: DataFrame, is_new: Column | None = None) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
+def _marked(docs: DataFrame, is_new: Column | None) -> DataFrame:
     is_new = batch_of(F.col("doc_id")) if is_new is None else is_new
     digests = staged(docs.select("doc_id", digest(F.col("text")).alias("text_sha256"), is_new.alias("new")))
-    found = groups(docs, digests, is_new)
-    out = digests.join(found, "text_sha256")
+    out = digests.join(groups(docs, digests, is_new), "text_sha256")
     is_keep = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     once = out.where(~is_keep | (F.col("n_keep") == 1)).withColumn("kept", is_keep)
     nth = F.row_number().over(Window.partitionBy("text_sha256").orderBy("new"))
     again = out.where(is_keep & (F.col("n_keep") > 1)).withColumn("kept", nth == 1)
-    return once.unionByName(again).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return once.unionByName(again)
+
+
+def mark(docs: DataFrame, is_new: Column | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
+    return _marked(docs, is_new).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns: of equal texts the one with the largest id."""
-    names = docs.columns
-    marked = mark(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "group_size")
-    keyed = docs.withColumn("_d", digest(F.col("text")))
-    both = keyed.join(marked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_sha")))
-    nth = F.row_number().over(Window.partitionBy("_d", "doc_id").orderBy(F.lit(0)))
-    return both.withColumn("_nth", nth).where("_nth = 1").select(*names)
+    kept = staged(_marked(docs, None).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n_keep").alias("__copies")))
+    keyed = docs.withColumn("__digest", digest(docs["text"]))
+    both = keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")))
+    if not kept.where("__copies > 1").isEmpty():  # rows that repeat both id and text
+        both = both.withColumn("__nth", F.row_number().over(Window.partitionBy("__sha", "__id").orderBy(F.lit(0)))).where("__nth = 1")
+    return both.select(*docs.columns)
 
 
 def op8_exact(spark, sf_dir: str) -> DataFrame:

@@ -91,21 +91,42 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return staged(state.join(closing, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "need").withColumnRenamed("low", "below"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """Every document with its size, its source's size and target, and how many copies (0 to 3) the mix takes."""
+def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Narrow rows of all documents, and per source its size, target, whole copies and thresholds."""
     sized = staged(docs.select("doc_id", "source", words(F.col("text")).alias("size"), place(F.col("doc_id")).alias("place")))
     sources = staged(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     budgets = sources.withColumn("copies", whole).withColumn("budget", F.col("target") - F.col("copies") * F.col("source_size"))
-    found = thresholds(sized, budgets).withColumnRenamed("source", "s")
-    extra = (F.col("place") < F.col("below")) | F.coalesce(F.col("place") == F.col("closing"), F.lit(False))
+    return sized, thresholds(sized, budgets)
+
+
+def _copies(place_: Column, copies: Column, below: Column, closing: Column) -> Column:
+    extra = (place_ < below) | F.coalesce(place_ == closing, F.lit(False))
+    return F.when(extra & (copies < MOST), copies + 1).otherwise(copies)
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """Every document with its size, its source's size and target, and how many copies (0 to 3) the mix takes."""
+    sized, found = _plan(docs)
+    copies = _copies(F.col("place"), F.col("copies"), F.col("below"), F.col("closing"))
     return (
-        sized.join(F.broadcast(found), F.col("source").eqNullSafe(F.col("s")), "left")
-        .withColumn("copies", F.when(extra & (F.col("copies") < MOST), F.col("copies") + 1).otherwise(F.col("copies")))
+        sized.join(F.broadcast(found.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")), "left")
+        .withColumn("copies", copies)
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
     )
 
 
+def stage(docs: DataFrame) -> DataFrame:
+    """The rows of docs, each as many times as the mix takes it, with their own columns."""
+    bare = docs.select("doc_id", "source", "text")
+    sized, found = _plan(bare)
+    keyed = docs.withColumn("__place", place(docs["doc_id"]))
+    limits = found.select(F.col("source").alias("__source"), *(F.col(c).alias(f"__{c}") for c in ("copies", "below", "closing")))
+    joined = keyed.join(F.broadcast(limits), keyed["source"].eqNullSafe(F.col("__source")), "left")
+    copies = _copies(F.col("__place"), F.col("__copies"), F.col("__below"), F.col("__closing"))
+    return joined.withColumn("__n", F.explode(F.sequence(F.lit(0), copies))).where("__n > 0").select(*docs.columns)
+
+
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
     """Size, target and words taken of each document."""
     return mix(table(spark, sf_dir, "documents")).drop("source", "copies")

@@ -1,12 +1,20 @@
 """Registered queries of this subpackage and their SQL, where SQL can express them."""
 
-from lendframe.llm import exact, mixing, packing, sharding
+import corpus_pipeline
+from lendframe.llm import ann, exact, interpolation, langid, minhash, mixing, packing, quality, sharding, substrings
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_quality": quality.op2_quality,
+    "op3_substrings": substrings.op3_substrings,
     "op4_mixing": mixing.op4_mixing,
+    "op5_interpolation": interpolation.op5_interpolation,
+    "op6_langid": langid.op6_langid,
+    "op7_minhash": minhash.op7_minhash,
     "op8_exact": exact.op8_exact,
+    "op9_ann": ann.op9_ann,
     "op10_sharding": sharding.op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {"op4_mixing": mixing.OP4_SQL, "op8_exact": exact.OP8_SQL}
