@@ -5,8 +5,11 @@ Everything works on whole Arrow batches with numpy; no Python object is made per
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lendframe.session import staged
 
-__all__ = ["staged", "utf8", "slices", "mix", "word_spans", "word_hashes", "window_hashes", "ascii_lower", "crc_of", "table"]
+__all__ = ["staged", "utf8", "slices", "mix", "word_spans", "word_hashes", "window_hashes", "ascii_lower", "crc_of", "ship", "table"]
 
 #: White space of the word definition `[^\x20\x09-\x0D]+`.
 SPACE = np.zeros(256, bool)
@@ -28,7 +31,21 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
+def ship(spark) -> None:
+    """Send this package to the executors' Python workers, once for each application, as `spark-submit --py-files` does."""
+    context = spark.sparkContext
+    if not getattr(context, "_lendframe_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="lendframe-")) / "lendframe.zip"  # on the driver, which serves it to the executors
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._lendframe_shipped = True
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -78,7 +78,7 @@ def dart_signatures(element: np.ndarray, owner: np.ndarray, count: int, k: int =
         e, doc = element[pick], owner[pick]
         time, i, darts = np.zeros(len(e)), 0, []
         while len(e):
-            h = mix(e + np.uint64(i) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+            h = mix(e + np.uint64((i * BASE + 1) % (1 << 64)))
             time = time - np.log(((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / k
             on = time <= limit[doc]
             e, doc, time, h, i = e[on], doc[on], time[on], h[on], i + 1
@@ -127,7 +127,7 @@ def _compare(left, right):
     """Similarity of the one text of `right` (a) to each text of `left` (b)."""
     if not left.num_rows or not right.num_rows:
         return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary()), "similarity": pa.array([], pa.float64())})
-    mine, _ = elements(*utf8(right.column("text").slice(0, 1)))
+    mine, _ = elements(*utf8(right.column("whole").slice(0, 1)))
     data, offsets = utf8(left.column("text"))
     found = np.zeros(left.num_rows)
     mine = np.sort(mine)
@@ -143,10 +143,10 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Exact similarity of pairs (a, b) of nodes; a node in many pairs meets its partners in groups of about FAN."""
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN).alias("groups"))
     dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "groups").alias("part"))
-    left = dealt.join(texts.select(F.col("node").alias("b"), "text"), "b")
-    right = dealt.select("a", "part").distinct().join(texts.select(F.col("node").alias("a"), "text"), "a")
-    by = ["a", "part"]
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_compare, "a binary, b binary, similarity double")
+    left = dealt.join(texts.select(F.col("node").alias("b"), "text"), "b").select("a", "b", "part", "text")
+    asked = dealt.select(F.col("a").alias("of"), F.col("part").alias("in_part")).distinct()
+    right = asked.join(texts.select(F.col("node").alias("of"), F.col("text").alias("whole")), "of")
+    return left.groupBy("a", "part").cogroup(right.groupBy("of", "in_part")).applyInArrow(_compare, "a binary, b binary, similarity double")
 
 
 def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
