@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Metadata key of `made`, and the order that stands for null.
+MADE = "aggregation"
+OPEN_ORDER = 9_999_999
+
+
 def count_where(condition: Column) -> Column:
     """Rows of the group that satisfy the condition; 0 when none does (A2)."""
     return F.count_if(condition)
@@ -20,7 +25,7 @@ def slug(value: str) -> str:
 
 def known_counts(column: Column, values: Iterable[str], prefix: str) -> list[Column]:
     """One zero-filled count per known value, so the schema never depends on the data."""
-    return [count_where(column == v).alias(prefix + slug(v)) for v in values]
+    return [made(count_where(column == v), prefix + slug(v), "count") for v in values]
 
 
 def residual_count(column: Column, values: Iterable[str]) -> Column:
@@ -53,15 +58,29 @@ def rate(part: Column, whole: Column) -> Column:
     return part / F.nullif(whole, F.lit(0))
 
 
+def made(column: Column, name: str, kind: str) -> Column:
+    """Named column that carries how it was made; the mark survives projections, joins and Parquet."""
+    return column.alias(name, metadata={MADE: kind})
+
+
+def _tie_key(order: Column, value: Column) -> Column:
+    """One decimal that sorts by `order` (whole numbers of up to 7 digits, null last), then by value (14 digits before the point, 16 after).
+
+    A decimal is a buffer the hash aggregate can update in place; a struct would make it sort all rows.
+    """
+    at = (F.coalesce(order.cast("bigint"), F.lit(OPEN_ORDER)) * F.lit(10**14).cast("decimal(15,0)")).cast("decimal(21,0)")
+    limit = 10.0**13
+    tie = F.greatest(F.lit(-limit), F.least(F.lit(limit), F.nanvl(value.cast("double"), F.lit(limit))))
+    return at + tie.cast("decimal(30,16)")
+
+
 def last_non_null(value: Column, order: Column) -> Column:
     """Last non-null value of the group by `order`, null orders last.
 
     Each column skips its own nulls, so two columns of one group may come from
-    different rows. Rows that tie on `order` resolve to the largest value. The
-    whole thing is one max over a struct, so it combines map-side.
+    different rows. Rows that tie on `order` resolve to the largest value.
     """
-    ranked = F.struct(order.isNull().alias("open"), order.alias("at"), value.alias("value"))
-    return F.max(F.when(value.isNotNull(), ranked)).getField("value")
+    return F.max_by(value, F.when(value.isNotNull(), _tie_key(order, value)))
 
 
 def row_at_max(fields: Iterable[str], order: str, *ties: str) -> Column:
@@ -70,6 +89,15 @@ def row_at_max(fields: Iterable[str], order: str, *ties: str) -> Column:
     return F.max_by(F.struct(*fields), F.when(F.col(order).isNotNull(), key))
 
 
+def last_by(order: Column, tie: Column) -> Column:
+    """Key of the row with the largest whole-number `order`, then the largest `tie` (a bigint); null where the order is.
+
+    With it, `max_by` of single columns picks them all from one row (A16) and stays in the hash aggregate.
+    """
+    at = (order.cast("bigint") * F.lit("2e19").cast("decimal(20,0)")).cast("decimal(37,0)")
+    return at + F.coalesce(tie.cast("bigint"), F.lit(-(2**63))).cast("decimal(20,0)")
+
+
 def ordinal(column: Column, codes: Mapping[str, int]) -> Column:
     """Code of a known value, null for anything else."""
     table = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])

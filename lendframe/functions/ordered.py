@@ -32,9 +32,18 @@ def position(value: Column, cuts: Column, capacity: int) -> Column:
 
 
 def default_ranges(df: DataFrame) -> int:
-    """Ranges per group: as many as shuffle partitions, within bounds that keep the range table small."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(max(partitions, 16), 2048)
+    """Ranges per group: as many as shuffle partitions, so that a range is no larger than a partition of the session."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 16)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """Join on `by`, where null equals null: a group named null is a group. `small`: the right side has one row per group."""
+    keys = {c: f"_right_{c}" for c in by}
+    right = right.withColumnsRenamed(keys)
+    on = F.lit(True)
+    for c, r in keys.items():
+        on = on & F.col(f"`{c}`").eqNullSafe(F.col(f"`{r}`"))
+    return left.join(F.broadcast(right) if small else right, on, how).drop(*keys.values())
 
 
 def counted(df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Column]) -> DataFrame:
@@ -75,7 +84,7 @@ def ranged(
 def attach_groups(df: DataFrame, groups: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
     """Attach a per-group table. It has one row per group, so it is always broadcast; without groups it is a scalar."""
     if by:
-        return df.join(F.broadcast(groups), by, how)
+        return null_safe_join(df, groups, by, how, small=True)
     row = groups.select(F.struct(*groups.columns).alias("_whole")).scalar()
     return df.select("*", row.alias("_whole")).select(*df.columns, "_whole.*")
 
@@ -86,7 +95,7 @@ def running_rows(rows: DataFrame, by: Sequence[str], value: str, names: Sequence
     tagged, table = ranged(rows, by, value, names, ranges)
     offsets = table.drop(*[f"{n}_in" for n in names])
     inside = Window.partitionBy(*by, RANGE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    joined = tagged.join(F.broadcast(offsets), [*by, RANGE])
+    joined = null_safe_join(tagged, offsets, [*by, RANGE], small=True)
     return joined.select(
         *by,
         value,
@@ -136,7 +145,7 @@ def quantiles_rows(rows: DataFrame, by: Sequence[str], value: str, probs: Sequen
     # ranges without a wanted rank are dropped before anything is sorted
     spots = table.select(*by, RANGE, "n_before", wanted.alias("wanted")).where(F.size("wanted") > 0)
     inside = Window.partitionBy(*by, RANGE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    near = tagged.join(F.broadcast(spots), [*by, RANGE]).withColumn(
+    near = null_safe_join(tagged, spots, [*by, RANGE], small=True).withColumn(
         "start", F.col("n_before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     )
     hits = near.select(*by, F.col(value).alias("v"), F.explode(covering(F.col("wanted"), F.col("start"), F.col("n"))).alias("t"))

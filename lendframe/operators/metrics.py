@@ -69,6 +69,7 @@ def calibration_fit(
     returns five numbers per group. Only those reach the driver.
     """
     spark, by = df.sparkSession, list(by)
+    df = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     cells = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("double")).alias("_y"))
     cells = cells.select(*by, logit(F.col(score)).alias("_x"), "_n", "_y").persist()
     try:
@@ -155,17 +156,16 @@ def metrics_cube(df: DataFrame, by: Sequence[str], score: str, label: str) -> Da
     """All measures per group: size, rate, AUC, Gini, KS, Brier, slope, intercept."""
     by = list(by)
     base = brier(df, by, score, label)
-    return base.join(discrimination(df, by, score, label).drop("positives", "negatives"), by).join(
-        F.broadcast(calibration_fit(df, by, score, label)), by
-    )
+    ranked = discrimination(df, by, score, label).drop("positives", "negatives")
+    return O.null_safe_join(O.null_safe_join(base, ranked, by, "left"), calibration_fit(df, by, score, label), by, "left", small=True)
 
 
 def threshold_costs(df: DataFrame, by: Sequence[str], score: str, label: str) -> DataFrame:
     """False negatives and positives at each threshold 0.01 ... 0.99 (E12), one pass over the rows.
 
-    A row is approved when its score is below the threshold.
+    A row is approved when its score is below the threshold. Rows without a score are left out, as in AUC.
     """
-    by = list(by)
+    df, by = df.where(F.col(score).isNotNull()), list(by)
     step = F.floor(F.col(score) * 100).cast("int")
     passed = step + (F.col(score) >= (step + 1) / 100).cast("int") - (F.col(score) < step / 100).cast("int")
     cell = F.greatest(F.lit(0), F.least(F.lit(THRESHOLDS), passed))
@@ -174,7 +174,7 @@ def threshold_costs(df: DataFrame, by: Sequence[str], score: str, label: str) ->
     )
     grid = counts.select(*by).distinct() if by else df.sparkSession.range(1).select()
     grid = grid.select(*by, F.explode(F.sequence(F.lit(0), F.lit(THRESHOLDS))).alias("_cell"))
-    rows = grid.join(counts, [*by, "_cell"], "left").na.fill(0, ["_pos", "_neg"])
+    rows = O.null_safe_join(grid, counts, [*by, "_cell"], "left").na.fill(0, ["_pos", "_neg"])
     w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = w.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     out = rows.select(

@@ -170,8 +170,13 @@ def tree_importance(search: Search, n: int | None = None) -> DataFrame:
     return out.limit(n) if n else out
 
 
+def coefficient_weights(search: Search) -> dict[str, float]:
+    """Every feature's coefficient, zeros included: what scoring and explaining use."""
+    return dict(zip(search.features, search.model.coefficients.toArray().tolist()))
+
+
 def coefficient_importance(search: Search, n: int = 20) -> DataFrame:
-    """Largest coefficients by absolute value (M6)."""
+    """Largest coefficients by absolute value, for display (M6); `coefficient_weights` has all of them."""
     weights = search.model.coefficients.toArray().tolist()
     out = search.trials.sparkSession.createDataFrame(list(zip(search.features, weights)), "feature string, coefficient double")
     return out.withColumn("abs_coefficient", F.abs("coefficient")).orderBy(F.col("abs_coefficient").desc(), "feature").limit(n)

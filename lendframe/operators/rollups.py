@@ -36,9 +36,15 @@ PRESENCE = {
 
 _STATS = {"sum": "sum", "mean": "avg", "max": "max", "min": "min", "std": "stddev_samp"}
 
+_KINDS = {"avg": "mean", "stddev_samp": "std"}
+
 
 def _agg(function: str, source: str, name: str) -> Column:
-    return F.expr(f"{function}({source}) AS {name}")
+    return C.made(F.expr(f"{function}({source})"), name, _KINDS.get(function, function))
+
+
+def _rows(name: str) -> Column:
+    return C.made(F.count(F.lit(1)), name, "count")
 
 
 def _stats(source: str, name: str, *stats: str) -> list[Column]:
@@ -46,7 +52,7 @@ def _stats(source: str, name: str, *stats: str) -> list[Column]:
 
 
 def _finish(df: DataFrame, flag: str) -> DataFrame:
-    return C.ordered_columns(df.withColumn(flag, F.lit(1)), APPLICANT)
+    return C.ordered_columns(df.withColumn(flag, C.made(F.lit(1), flag, "presence")), APPLICANT)
 
 
 # --- bureau -----------------------------------------------------------------
@@ -61,7 +67,7 @@ def bureau_months(bureau_balance: DataFrame) -> DataFrame:
     out = months.groupBy("SK_ID_BUREAU").agg(
         _agg("max", "level", "bb_max_status"),
         _agg("avg", "level", "bb_mean_status"),
-        F.count(F.lit(1)).alias("bb_count_months"),
+        _rows("bb_count_months"),
         *C.known_counts(F.col("STATUS"), MONTH_STATUS, "bb_count_status_"),
     )
     late = {n: sum((F.col(f"bb_count_status_{i}") for i in range(n + 1, 6)), F.col(f"bb_count_status_{n}")) for n in (1, 3)}
@@ -83,9 +89,9 @@ def bureau_enriched(bureau: DataFrame, per_credit: DataFrame) -> DataFrame:
 def rollup_bureau(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
     """Bureau credits and their months to one row per applicant (F1)."""
     rows = bureau_enriched(bureau, bureau_months(bureau_balance))
-    aggs = [F.count(F.lit(1)).alias("bureau_count_credits")]
+    aggs = [_rows("bureau_count_credits")]
     aggs += [
-        C.count_where(F.col("CREDIT_ACTIVE") == value).alias(f"bureau_count_{name}")
+        C.made(C.count_where(F.col("CREDIT_ACTIVE") == value), f"bureau_count_{name}", "count")
         for name, value in CREDIT_STATES.items()
     ]
     credit = "bureau_credit_sum"
@@ -162,7 +168,7 @@ def rollup_previous(previous: DataFrame) -> DataFrame:
         "NAME_CLIENT_TYPE": ("New", "Repeater", "Refreshed"),
     }
     prefix = {"NAME_CONTRACT_STATUS": "prev_count_", "NAME_CONTRACT_TYPE": "prev_count_", "NAME_CLIENT_TYPE": "prev_count_client_"}
-    aggs = [F.count(F.lit(1)).alias("prev_count_total")]
+    aggs = [_rows("prev_count_total")]
     for source, values in group_counts.items():
         if source in have:
             aggs += C.known_counts(F.col(source), values, prefix[source])
@@ -171,20 +177,22 @@ def rollup_previous(previous: DataFrame) -> DataFrame:
         for source, name in table.items():
             if source in have:
                 aggs += _stats(source, f"prev_{name}", *stats)
-    last = [c for c in (*_PREV_LAST, *_PREV_LAST_CODES) if c in have]
-    out = previous.groupBy(APPLICANT).agg(*aggs, C.row_at_max(last, "DAYS_DECISION", LOAN).alias("_last"))
+    key = C.last_by(F.col("DAYS_DECISION"), F.col(LOAN))
+    for source in (*_PREV_LAST, *_PREV_LAST_CODES):
+        if source in have:
+            codes = _PREV_LAST_CODES.get(source)  # texts are coded first: a number fits the hash aggregate
+            value = C.ordinal(F.col(source), codes) if codes else F.col(source)
+            aggs.append(C.made(F.max_by(value, key), f"prev_last_{source.lower()}", "last"))
+    out = previous.groupBy(APPLICANT).agg(*aggs)
     derived: dict[str, Column] = {}
     if "NAME_CONTRACT_TYPE" in have:
         known = [F.col(f"prev_count_{C.slug(v)}") for v in group_counts["NAME_CONTRACT_TYPE"]]
-        derived["prev_count_other_contract_type"] = F.col("prev_count_total") - sum(known[1:], known[0])
+        name = "prev_count_other_contract_type"
+        derived[name] = C.made(F.col("prev_count_total") - sum(known[1:], known[0]), name, "count")
     if "NAME_CONTRACT_STATUS" in have:
-        derived["prev_approval_rate"] = F.col("prev_count_approved") / F.col("prev_count_total")
-        derived["prev_refusal_rate"] = F.col("prev_count_refused") / F.col("prev_count_total")
-    for source in last:
-        value = F.col("_last").getField(source)
-        codes = _PREV_LAST_CODES.get(source)
-        derived[f"prev_last_{source.lower()}"] = C.ordinal(value, codes) if codes else value
-    return _finish(out.withColumns(derived).drop("_last"), PRESENCE["previous_application"])
+        for name, part in (("prev_approval_rate", "approved"), ("prev_refusal_rate", "refused")):
+            derived[name] = C.made(F.col(f"prev_count_{part}") / F.col("prev_count_total"), name, "rate")
+    return _finish(out.withColumns(derived) if derived else out, PRESENCE["previous_application"])
 
 
 # --- POS and cash balances --------------------------------------------------
@@ -201,17 +209,17 @@ def pos_cash_per_loan(pos_cash: DataFrame) -> DataFrame:
     )
     p = "pos_prev"
     out = rows.groupBy(LOAN).agg(
-        F.count(F.lit(1)).alias(f"{p}_count_months"),
+        _rows(f"{p}_count_months"),
         *_stats("SK_DPD", f"{p}_sk_dpd", "max", "mean", "sum"),
         _agg("sum", "_dpd", f"{p}_sk_dpd_positive_months"),
         *_stats("SK_DPD_DEF", f"{p}_sk_dpd_def", "max", "mean", "sum"),
         _agg("sum", "_dpd_def", f"{p}_sk_dpd_def_positive_months"),
         *_stats("CNT_INSTALMENT", f"{p}_cnt_instalment", "max", "mean"),
         *_stats("CNT_INSTALMENT_FUTURE", f"{p}_cnt_instalment_future", "max", "mean"),
-        C.last_non_null(F.col("CNT_INSTALMENT_FUTURE"), F.col("MONTHS_BALANCE")).alias(f"{p}_cnt_instalment_future_last"),
+        C.made(C.last_non_null(F.col("CNT_INSTALMENT_FUTURE"), F.col("MONTHS_BALANCE")), f"{p}_cnt_instalment_future_last", "last"),
         *_stats("MONTHS_BALANCE", f"{p}_months_balance", "min", "max"),
         *C.known_counts(F.col("_status"), POS_STATUS, f"{p}_status_"),
-        C.residual_count(F.col("_status"), POS_STATUS).alias(f"{p}_status_other"),
+        C.made(C.residual_count(F.col("_status"), POS_STATUS), f"{p}_status_other", "count"),
     )
     return out.withColumns({f"{p}_ever_{C.slug(s)}": C.ever(F.col(f"{p}_status_{C.slug(s)}")) for s in POS_STATUS})
 
@@ -221,7 +229,7 @@ def rollup_pos_cash(pos_cash: DataFrame, previous: DataFrame) -> DataFrame:
     rows = through_parent(pos_cash_per_loan(pos_cash), previous, LOAN, APPLICANT)
     p, q = "pos_prev", "pos"
     slugs = [C.slug(s) for s in POS_STATUS]
-    aggs = [F.count(F.lit(1)).alias(f"{q}_count_prev_loans"), _agg("sum", f"{p}_count_months", f"{q}_count_total_months")]
+    aggs = [_rows(f"{q}_count_prev_loans"), _agg("sum", f"{p}_count_months", f"{q}_count_total_months")]
     for dpd in ("sk_dpd", "sk_dpd_def"):
         aggs += [
             _agg("max", f"{p}_{dpd}_max", f"{q}_{dpd}_max"),
@@ -240,8 +248,8 @@ def rollup_pos_cash(pos_cash: DataFrame, previous: DataFrame) -> DataFrame:
     ]
     out = rows.groupBy(APPLICANT).agg(*aggs).withColumns(
         {
-            f"{q}_rate_dpd_positive": C.rate(F.col(f"{q}_sk_dpd_positive_months_total"), F.col(f"{q}_count_total_months")),
-            f"{q}_rate_dpd_def_positive": C.rate(F.col(f"{q}_sk_dpd_def_positive_months_total"), F.col(f"{q}_count_total_months")),
+            f"{q}_rate_dpd_positive": C.made(C.rate(F.col(f"{q}_sk_dpd_positive_months_total"), F.col(f"{q}_count_total_months")), f"{q}_rate_dpd_positive", "rate"),
+            f"{q}_rate_dpd_def_positive": C.made(C.rate(F.col(f"{q}_sk_dpd_def_positive_months_total"), F.col(f"{q}_count_total_months")), f"{q}_rate_dpd_def_positive", "rate"),
         }
     )
     return _finish(out, PRESENCE["pos_cash"])
@@ -271,7 +279,7 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
     versions = installments.select(LOAN, "NUM_INSTALMENT_VERSION").distinct()
     versions = versions.groupBy(LOAN).agg(F.count("NUM_INSTALMENT_VERSION").alias(f"{p}_count_distinct_versions"))
     out = rows.groupBy(LOAN).agg(
-        F.count(F.lit(1)).alias(f"{p}_count_installments"),
+        _rows(f"{p}_count_installments"),
         *_stats("NUM_INSTALMENT_NUMBER", f"{p}_num_instalment", "max"),
         *_stats("_delay", f"{p}_delay", "max", "mean", "sum", "std"),
         _agg("sum", "_late", f"{p}_delay_positive_count"),
@@ -283,9 +291,9 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
         *_stats("AMT_PAYMENT", f"{p}_amt_payment", "sum", "mean", "max"),
         *_stats("DAYS_INSTALMENT", f"{p}_days_instalment", "min", "max"),
         *_stats("DAYS_ENTRY_PAYMENT", f"{p}_days_entry", "min", "max"),
-        C.last_non_null(F.col("_delay"), entry).alias(f"{p}_delay_last"),
-        C.last_non_null(F.col("_ratio"), entry).alias(f"{p}_payment_ratio_last"),
-        C.last_non_null(paid, entry).alias(f"{p}_amt_payment_last"),
+        C.made(C.last_non_null(F.col("_delay"), entry), f"{p}_delay_last", "last"),
+        C.made(C.last_non_null(F.col("_ratio"), entry), f"{p}_payment_ratio_last", "last"),
+        C.made(C.last_non_null(paid, entry), f"{p}_amt_payment_last", "last"),
     )
     return out.join(versions, LOAN)
 
@@ -309,20 +317,20 @@ def rollup_installments(installments: DataFrame, previous: DataFrame) -> DataFra
         ),
     }
     aggs = [
-        F.count(F.lit(1)).alias(f"{q}_count_prev_loans"),
+        _rows(f"{q}_count_prev_loans"),
         _agg("sum", f"{p}_count_installments", f"{q}_count_installments_total"),
         _agg("sum", f"{p}_count_distinct_versions", f"{q}_count_distinct_versions_total"),
     ]
     aggs += [_agg(fn, f"{p}_{n}", f"{q}_{n}") for fn, names in same.items() for n in names]
     aggs += [
-        C.last_non_null(F.col(f"{p}_{n}"), F.col(f"{p}_days_entry_max")).alias(f"{q}_{n}")
+        C.made(C.last_non_null(F.col(f"{p}_{n}"), F.col(f"{p}_days_entry_max")), f"{q}_{n}", "last")
         for n in ("delay_last", "payment_ratio_last", "amt_payment_last")
     ]
     total = F.col(f"{q}_count_installments_total")
     out = rows.groupBy(APPLICANT).agg(*aggs).withColumns(
         {
-            f"{q}_delay_positive_rate": C.rate(F.col(f"{q}_delay_positive_count"), total),
-            f"{q}_underpaid_rate": C.rate(F.col(f"{q}_underpaid_count"), total),
+            f"{q}_delay_positive_rate": C.made(C.rate(F.col(f"{q}_delay_positive_count"), total), f"{q}_delay_positive_rate", "rate"),
+            f"{q}_underpaid_rate": C.made(C.rate(F.col(f"{q}_underpaid_count"), total), f"{q}_underpaid_rate", "rate"),
         }
     )
     return _finish(out, PRESENCE["installments"])
@@ -377,15 +385,15 @@ def credit_card_per_loan(credit_card: DataFrame) -> DataFrame:
         }
     )
     p = "cc_prev"
-    aggs = [F.count(F.lit(1)).alias(f"{p}_count_months")]
+    aggs = [_rows(f"{p}_count_months")]
     for stem, (source, stats) in _CARD_STATS.items():
         aggs += _stats(source, f"{p}_{stem}", *stats)
     aggs += [
         _agg("sum", "_dpd", f"{p}_sk_dpd_positive_months"),
         _agg("sum", "_dpd_def", f"{p}_sk_dpd_def_positive_months"),
         *C.known_counts(F.col("_status"), CARD_STATUS, f"{p}_status_"),
-        C.residual_count(F.col("_status"), CARD_STATUS).alias(f"{p}_status_other"),
-        *[C.last_non_null(F.col(source), F.col("MONTHS_BALANCE")).alias(f"{p}_{n}_last") for n, source in _CARD_LAST.items()],
+        C.made(C.residual_count(F.col("_status"), CARD_STATUS), f"{p}_status_other", "count"),
+        *[C.made(C.last_non_null(F.col(source), F.col("MONTHS_BALANCE")), f"{p}_{n}_last", "last") for n, source in _CARD_LAST.items()],
     ]
     return rows.groupBy(LOAN).agg(*aggs)
 
@@ -394,7 +402,7 @@ def rollup_credit_card(credit_card: DataFrame, previous: DataFrame) -> DataFrame
     """Cards to one row per applicant."""
     rows = through_parent(credit_card_per_loan(credit_card), previous, LOAN, APPLICANT)
     p, q = "cc_prev", "cc"
-    aggs = [F.count(F.lit(1)).alias(f"{q}_count_prev_loans"), _agg("sum", f"{p}_count_months", f"{q}_count_total_months")]
+    aggs = [_rows(f"{q}_count_prev_loans"), _agg("sum", f"{p}_count_months", f"{q}_count_total_months")]
     for stem, (_, stats) in _CARD_STATS.items():
         aggs += [_agg(_STATS[s], f"{p}_{stem}_{s}", f"{q}_{stem}_{s}") for s in stats]
     aggs += [
@@ -402,13 +410,13 @@ def rollup_credit_card(credit_card: DataFrame, previous: DataFrame) -> DataFrame
     ]
     aggs += [_agg("sum", f"{p}_status_{s}", f"{q}_count_status_{s}") for s in (*map(C.slug, CARD_STATUS), "other")]
     aggs += [
-        C.last_non_null(F.col(f"{p}_{n}_last"), F.col(f"{p}_months_balance_max")).alias(f"{q}_{n}_last") for n in _CARD_LAST
+        C.made(C.last_non_null(F.col(f"{p}_{n}_last"), F.col(f"{p}_months_balance_max")), f"{q}_{n}_last", "last") for n in _CARD_LAST
     ]
     total = F.col(f"{q}_count_total_months")
     out = rows.groupBy(APPLICANT).agg(*aggs).withColumns(
         {
-            f"{q}_rate_dpd_positive": C.rate(F.col(f"{q}_sk_dpd_positive_months_total"), total),
-            f"{q}_rate_dpd_def_positive": C.rate(F.col(f"{q}_sk_dpd_def_positive_months_total"), total),
+            f"{q}_rate_dpd_positive": C.made(C.rate(F.col(f"{q}_sk_dpd_positive_months_total"), total), f"{q}_rate_dpd_positive", "rate"),
+            f"{q}_rate_dpd_def_positive": C.made(C.rate(F.col(f"{q}_sk_dpd_def_positive_months_total"), total), f"{q}_rate_dpd_def_positive", "rate"),
         }
     )
     return _finish(out, PRESENCE["credit_card"])

@@ -13,6 +13,8 @@ FRACTIONS = {"dev": 0.70, "val": 0.15, "test": 0.15}
 RATE_TOLERANCE = 0.005
 RATE_NOTE = 0.002
 BUCKET_DIGITS = 4
+#: Class of the rows without a target.
+NO_TARGET = -(2**31)
 
 
 def check_fractions(fractions: dict[str, float]) -> None:
@@ -63,20 +65,23 @@ def stratified_split(
     the negatives take the rest. The hash is uniform, so its leading hex digits
     cut every class into equal ranges, and the range totals tell the split of
     every range but those a quota ends in. Only the keys of those few ranges are
-    ranked; all others get their split without a shuffle.
+    ranked; all others get their split without a shuffle. Rows without a target
+    are a class of their own with its own quotas.
     """
     check_fractions(fractions)
-    hashed = df.select(key, F.col(target).cast("int").alias("_y"), F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))).alias("_h"))
+    hashed = df.select(key, F.coalesce(F.col(target).cast("int"), F.lit(NO_TARGET)).alias("_y"), F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))).alias("_h"))
     hashed = hashed.withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
     sizes = hashed.groupBy("_y", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    counts = sizes.agg(F.sum("_n").alias("all"), F.sum(F.when(F.col("_y") == 1, F.col("_n")).otherwise(0)).alias("pos"))
+    known = F.when(F.col("_y") != NO_TARGET, F.col("_n")).otherwise(0)
+    counts = sizes.agg(F.sum(known).alias("all"), *(F.sum(F.when(F.col("_y") == y, F.col("_n")).otherwise(0)).alias(n) for y, n in ((1, "pos"), (NO_TARGET, "open"))))
     before = Window.partitionBy("_y").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     # at most 16^4 ranges per class
     ranges = attach_groups(sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))), counts, [])
 
     def quota(name: str) -> Column:
         pos = _rounded(fractions[name], F.col("pos"))
-        return F.when(F.col("_y") == 1, pos).otherwise(_rounded(fractions[name], F.col("all")) - pos)
+        open_ = _rounded(fractions[name], F.col("open"))
+        return F.when(F.col("_y") == 1, pos).when(F.col("_y") == NO_TARGET, open_).otherwise(_rounded(fractions[name], F.col("all")) - pos)
 
     def named(rank: Column) -> Column:
         return F.when(rank <= F.col("_test"), "test").when(rank <= F.col("_val"), "val").otherwise("dev")
@@ -133,6 +138,18 @@ def split_checks(
     )
 
 
+def require_splits(df: DataFrame, splits: DataFrame, key: str = KEY, target: str = TARGET) -> DataFrame:
+    """Raise unless every split has its planned size and class rate and each key lies in exactly one (B5). This is an action.
+
+    In tables so small that a whole row moves the rate by more than the tolerance, the rate is not held against them.
+    """
+    for row in split_checks(df, splits, key, target).collect():
+        odd = row["overlapping_keys"] or row["extra_keys"] or row["missing_keys"] or not row["size_ok"]
+        if odd or (not row["rate_ok"] and row["n"] * RATE_TOLERANCE >= 1):
+            raise ValueError(f"split check failed: {row.asDict()}")
+    return splits
+
+
 def apply_splits(df: DataFrame, splits: DataFrame, key: str = KEY) -> DataFrame:
     """Rows with their split, by key."""
     return df.join(splits, key, "inner")

@@ -49,12 +49,13 @@ def build_rollups(tables: Mapping[str, DataFrame], out: str) -> dict[str, DataFr
 def build_features(tables: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """Wide train and test matrices, catalogue and splits."""
     families = build_rollups(tables, out)
-    train = _store(A.assemble(tables["application_train"], families), f"{out}/application_train_features")
+    train = _store(A.assemble(tables["application_train"], families, check=True), f"{out}/application_train_features")
     done = {"train": train, "catalogue": _store(A.catalogue(train, families), f"{out}/catalogue")}
     if "application_test" in tables:
         done["test"] = _store(A.assemble(tables["application_test"], families, train=False), f"{out}/application_test_features")
     S.require_target(train, KEY, TARGET)
     done["splits"] = _store(S.stratified_split(train.select(KEY, TARGET)), f"{out}/splits")
+    S.require_splits(train, done["splits"], KEY, TARGET)
     return done
 
 
@@ -107,6 +108,7 @@ def train_and_compare(
         "recommendation": M.recommendation(cube, sweep),
         "importance": X.tree_importance(trees),
         "coefficients": X.coefficient_importance(simple),
+        "weights": X.coefficient_weights(simple),
     }
 
 
@@ -134,10 +136,13 @@ def decide_holdout(predictions: DataFrame, out: str, policy: D.Policy | None = N
 
 
 def explain_champion(matrix: DataFrame, weights: Mapping[str, float], decisions: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Exact contributions of the linear model, their ranking on a sample, and notices matched by applicant."""
+    """Exact contributions of the linear model, their ranking over all rows, and notices matched by applicant.
+
+    The whole matrix goes in, so a feature without a weight is an error and not a silent gap.
+    """
     features = list(weights)
-    parts = Z.linear_contributions(matrix.select(KEY, *features), weights)
-    ranking = Z.global_importance(Z.sample_rows(parts), features)
+    parts = Z.linear_contributions(matrix.drop(TARGET), weights)
+    ranking = Z.global_importance(parts, features)
     wide = parts.withColumn("applicant_id", F.col(KEY).cast("string")).drop(KEY)
     notices = Z.reason_codes(decisions, wide, features)
     text = Z.notice_text(*[F.col(c) for c in ("applicant_id", "decision", "primary_reasons", "additional_reasons")])
@@ -152,7 +157,6 @@ def run(spark: SparkSession, tables: Mapping[str, DataFrame], out: str, binning_
     compared = train_and_compare(champion, challenger, out, champion_options, challenger_options)
     watched = monitor(challenger, compared["predictions"], out)
     decided = decide_holdout(compared["predictions"], out)
-    weights = {r["feature"]: r["coefficient"] for r in compared["coefficients"].collect()}
     chosen = decided["decisions"].where("source_model = 'champion'")
-    explained = explain_champion(champion[HOLDOUT], weights, chosen, out)
+    explained = explain_champion(champion[HOLDOUT], compared["weights"], chosen, out)
     return {**built, **compared, **watched, **decided, **explained}

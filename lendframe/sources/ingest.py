@@ -41,9 +41,10 @@ def ingest(
     read = {name: T.read_csv(spark, path) for name, path in paths.items()}
     frames = {name: df for name, (df, _) in read.items()}
     violations, _ = K.validate(frames, columns, sizes, joins)
-    errors = violations.where("severity = 'error'").limit(20).collect()
+    report = T.write_json(violations, f"{out_dir.rstrip('/')}-violations")
+    errors = T.read_violations(spark, report).where("severity = 'error'").count()
     if errors:
-        raise GateError("validation failed: " + "; ".join(f"{e['table']}.{e['column']} {e['check']}" for e in errors))
+        raise GateError(f"validation failed: {errors} errors, all listed in {report}")
     if recorded is not None:
         stale = T.stale_inputs(fingerprint_table(frames), recorded).where("state = 'mismatch'").collect()
         if stale:

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 CP1252 = "cp1252"
 # The five byte values that the Windows code page leaves undefined.
 CP1252_UNDEFINED = "\x81\x8d\x8f\x90\x9d"
-SHA_LIMIT_BYTES = 1 << 30
+#: Leading hex digits of a row digest that are summed: 60 bits, the same number in any SQL engine.
+ROW_DIGITS = 15
 
 
 def contract_schema(columns: Sequence[Mapping]) -> T.StructType:
@@ -81,19 +82,27 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def content_fingerprint(df: DataFrame) -> Column | DataFrame:
-    """(rows, fingerprint) of a table regardless of row order (S11, any size)."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    total = F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)"))
-    return df.agg(F.count(F.lit(1)).alias("rows"), total.cast("string").alias("fingerprint"))
+def row_digest(columns: Sequence[str]) -> Column:
+    """60 bits of the MD5 of a row: every value with its length, nulls marked, so no two rows spell alike."""
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, ROW_DIGITS), 16, 10).cast("decimal(38,0)")
 
 
-def file_fingerprints(spark: SparkSession, path: str, limit: int = SHA_LIMIT_BYTES) -> DataFrame:
-    """(path, length, sha256) per file (S11). Larger files get a null hash: use content_fingerprint for those."""
-    files = spark.read.format("binaryFile").load(path)
-    small = files.where(F.col("length") <= limit).select("path", "length", F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") > limit).select("path", "length", F.lit(None).cast("string").alias("sha256"))
-    return small.unionByName(large)
+def content_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, rows, fingerprint) of a table regardless of row order (S11, any size); nulls count by their place."""
+    total = F.coalesce(F.sum(row_digest([c for c in df.columns if c not in by])), F.lit(0).cast("decimal(38,0)"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), total.cast("string").alias("fingerprint"))
+
+
+def file_fingerprints(df: DataFrame) -> DataFrame:
+    """(path, rows, fingerprint) per file of a scan (S11), in the scan's own tasks, whatever the size of a file."""
+    return content_fingerprint(df.select("*", F.col("_metadata.file_path").alias("path")), ["path"])
+
+
+def read_violations(spark: SparkSession, path: str) -> DataFrame:
+    """Violations that the ingestion gate wrote."""
+    return spark.read.schema("`table` string, check string, `column` string, expected string, observed string, severity string").json(path)
 
 
 def stale_inputs(current: DataFrame, recorded: DataFrame, key: str = "table", value: str = "fingerprint") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lendframe.operators import contracts as K
 from lendframe.operators import encode as E
+from lendframe.operators import metrics as M
 from lendframe.operators import models as X
 from lendframe.operators import profile as P
 from lendframe.operators import splits as S
@@ -104,8 +105,29 @@ def test_sinks_and_models_round_trip(spark, tmp_path):
     T.save_model(model, str(tmp_path / "m"), {"version": "0.1.0"})
     loaded, meta = T.load_model(spark, str(tmp_path / "m"), LogisticRegressionModel)
     assert meta == {"version": "0.1.0"} and loaded.coefficients == model.coefficients
-    hashes = T.file_fingerprints(spark, str(tmp_path / "j" / "*.json")).collect()
-    assert all(len(r["sha256"]) == 64 for r in hashes)
+    hashes = T.file_fingerprints(spark.read.schema("feature string, gain double").json(str(tmp_path / "j"))).collect()
+    assert sum(r["rows"] for r in hashes) == 2 and len({r["path"] for r in hashes}) == len(hashes)
+
+
+def test_fingerprint_sees_where_a_null_is(spark):
+    prints = [T.content_fingerprint(spark.createDataFrame(rows, "a int, b int")).first()["fingerprint"] for rows in ([(None, 1), (2, None)], [(1, None), (None, 2)], [(2, None), (None, 1)])]
+    assert prints[0] != prints[1] and prints[0] == prints[2]
+
+
+def test_null_target_is_a_class_of_its_own(spark):
+    df = spark.range(400).select(F.col("id").alias("SK_ID_CURR"), F.when(F.col("id") % 10 > 0, (F.col("id") % 4 == 0).cast("int")).alias("TARGET"))
+    out = S.stratified_split(df).join(df, "SK_ID_CURR")
+    assert out.count() == 400
+    assert {(r["split"], r["n"]) for r in out.where("TARGET is null").groupBy("split").agg(F.count("*").alias("n")).collect()} == {("dev", 28), ("val", 6), ("test", 6)}
+
+
+def test_null_groups_and_scores_are_kept_apart(spark):
+    rows = [("a", 0.2, 0), ("a", 0.8, 1), (None, 0.3, 0), (None, 0.6, 1), (None, None, 1), ("a", 0.5, 0)]
+    df = spark.createDataFrame(rows, "g string, p double, y int")
+    for out in (M.discrimination(df, ["g"], "p", "y"), M.metrics_cube(df, ["g"], "p", "y"), M.reliability(df, ["g"], "p", "y"), M.cost_optimal(df, ["g"], "p", "y")):
+        assert {r["g"] for r in out.collect()} == {"a", None}
+    costs = M.threshold_costs(df, ["g"], "p", "y").where("g is null and threshold = 0.99").first()
+    assert (costs["n"], costs["false_negatives"]) == (2, 1)
 
 
 def test_split_quotas_and_determinism(spark):

@@ -45,3 +45,7 @@ def test_end_to_end(spark, sf_dir, tmp_path):
     assert out["decisions"].count() == 2 * n["test"]
     notices = out["notices"].collect()
     assert len(notices) == n["test"] and all(r["notice_text"].startswith("Applicant") or "Decision: " in r["notice_text"] for r in notices)
+    # every feature of the champion is explained, however many there are
+    names = set(spark.read.parquet(f"{tmp_path}/champion_dev").columns) - {"SK_ID_CURR", "TARGET"}
+    assert set(out["weights"]) == names == {r["feature"] for r in out["importance"].collect()}
+    assert out["coefficients"].count() == min(20, len(names))

@@ -1,11 +1,14 @@
 """Null, tie and empty-group edges of the roll-up primitives."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lendframe.functions import columns as C
 from lendframe.operators import assemble as A
 from lendframe.operators import joins as J
 from lendframe.operators import rollups as R
+from verification import roles
+from verification.queries import QUERIES
 
 
 def one(df):
@@ -91,10 +94,33 @@ def test_checked_join_raises_on_duplicates(spark):
     J.assert_unique(df.distinct(), "k")
 
 
-def test_catalogue_names_aggregations(spark):
-    df = spark.createDataFrame([], "SK_ID_CURR int, prev_last_amt_credit double, prev_refusal_rate double, prev_count_total bigint, has_previous_application int")
-    kinds = {r[0]: r[2] for r in A.family_catalogue(df, "previous_application")}
-    assert kinds == {"prev_last_amt_credit": "last", "prev_refusal_rate": "rate", "prev_count_total": "count", "has_previous_application": "presence"}
+def test_catalogue_names_aggregations(spark, sf_dir, tmp_path):
+    df = R.rollup_previous(roles.previous_application(spark, sf_dir))
+    df.write.parquet(str(tmp_path / "rolled"))
+    for rolled in (df, spark.read.parquet(str(tmp_path / "rolled"))):  # the marks survive a file
+        kinds = {r[0]: r[2] for r in A.family_catalogue(rolled, "previous_application")}
+        want = {"prev_last_amt_credit": "last", "prev_refusal_rate": "rate", "prev_count_total": "count", "prev_amt_credit_mean": "mean", "prev_amt_credit_sum": "sum", "has_previous_application": "presence"}
+        assert {k: kinds[k] for k in want} == want and "derived" not in kinds.values()
+
+
+@pytest.mark.parametrize("family", ["installments", "bureau", "previous", "pos_cash", "credit_card"])
+def test_rollups_use_the_hash_aggregate(spark, sf_dir, family):
+    plan = QUERIES[f"rollup_{family}"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_last_non_null_ties(spark):
+    rows = [(1, 5, 2.5), (1, 5, 2.25), (1, 4, 9.0), (2, 3, None), (2, 1, -1.5), (2, 1, -1.25), (3, None, 0.1), (3, 7, 8.0), (4, 1, None), (5, -3, float("nan")), (5, -4, 1.0)]
+    df = spark.createDataFrame(rows, "k int, o int, v double")
+    got = {r.k: r.v for r in df.groupBy("k").agg(C.last_non_null(F.col("v"), F.col("o")).alias("v")).collect()}
+    assert got.pop(5) != got[1] and got == {1: 2.5, 2: -1.25, 3: 0.1, 4: None}
+
+
+def test_repeated_rollup_key_is_refused(spark):
+    base = spark.createDataFrame([(1, 0), (2, 1)], "SK_ID_CURR int, TARGET int")
+    rolled = spark.createDataFrame([(1, 5, 1), (1, 6, 1)], "SK_ID_CURR int, x int, has_bureau_history int")
+    with pytest.raises(J.CardinalityError):
+        A.assemble(base, {"bureau": rolled}, check=True)
 
 
 def test_hot_applicant(spark):

@@ -469,3 +469,20 @@ people AS (SELECT *, CASE WHEN raw <= 0.03125 THEN 0.03125::DOUBLE WHEN raw >= 0
 {_outcomes('people', False)}
 SELECT applicant_id, round(pd, 6) AS pd, decision, threshold_used, segment, override_applied, override_reason,
   round(cost, 6) AS expected_cost, {_FIXED} FROM outcomes"""
+
+# --- sources -----------------------------------------------------------------
+
+_COLUMNS = {
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+}
+
+
+def _fingerprint(table: str) -> str:
+    parts = ", ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in _COLUMNS[table].split())
+    return f"SELECT count(*) AS rows, sum(('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT)::VARCHAR AS fingerprint FROM {table}"
+
+
+ORACLE["content_fingerprint"] = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", * FROM ({_fingerprint(t)})" for t in _COLUMNS)
+ORACLE["file_fingerprint"] = _fingerprint("orders")

@@ -727,5 +727,4 @@ def content_fingerprint(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def file_fingerprint(spark: SparkSession, d: str) -> DataFrame:
-    out = T.file_fingerprints(spark, f"{d}/orders.parquet")
-    return out.select("length", "sha256")
+    return T.file_fingerprints(roles.table(spark, d, "orders")).select("rows", "fingerprint")
