@@ -470,6 +470,78 @@ people AS (SELECT *, CASE WHEN raw <= 0.03125 THEN 0.03125::DOUBLE WHEN raw >= 0
 SELECT applicant_id, round(pd, 6) AS pd, decision, threshold_used, segment, override_applied, override_reason,
   round(cost, 6) AS expected_cost, {_FIXED} FROM outcomes"""
 
+# --- fitted slopes by Newton steps in SQL -------------------------------------
+
+
+def _newton(rows: str, keys: str) -> str:
+    """Slope and intercept of y on the log odds of pd per `keys`, by 25 damped Newton steps: table `fitted` (needs WITH RECURSIVE)."""
+    k = keys.split(", ")
+    join = " AND ".join(f"c.{c} = s.{c}" for c in k)
+    return f"""points AS (SELECT {keys}, ln(greatest(1e-9, least(1 - 1e-9, pd)) / (1 - greatest(1e-9, least(1 - 1e-9, pd)))) AS x,
+  count(*)::DOUBLE AS n, sum(y)::DOUBLE AS y FROM {rows} GROUP BY ALL),
+steps AS (SELECT {keys}, 0 AS i, 1.0::DOUBLE AS slope, 0.0::DOUBLE AS intercept FROM points GROUP BY ALL
+  UNION ALL
+  SELECT {keys}, i + 1, slope + least(1.0, 2.0 / nullif(greatest(abs(ds), abs(di)), 0)) * ds, intercept + least(1.0, 2.0 / nullif(greatest(abs(ds), abs(di)), 0)) * di
+  FROM (SELECT {keys}, i, slope, intercept, (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS ds, (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS di
+    FROM (SELECT {', '.join(f's.{c}' for c in k)}, i, slope, intercept, sum(y - n * p) AS g0, sum((y - n * p) * x) AS g1,
+        sum(n * p * (1 - p)) AS h00, sum(n * p * (1 - p) * x) AS h01, sum(n * p * (1 - p) * x * x) AS h11
+      FROM (SELECT s.*, c.x, c.n, c.y, 1 / (1 + exp(-(s.slope * c.x + s.intercept))) AS p FROM steps s JOIN points c ON {join} WHERE s.i < 25) s GROUP BY ALL))
+  WHERE ds IS NOT NULL),
+fitted AS (SELECT {keys}, arg_max(slope, i) AS slope, arg_max(intercept, i) AS intercept FROM steps WHERE slope IS NOT NULL GROUP BY ALL)"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLE["calibration_slope"] = f"""WITH RECURSIVE {_LINES}, {_newton('preds', 'model, split')}
+SELECT model, split, round(slope, 6) AS slope, round(intercept, 6) AS intercept FROM fitted"""
+ORACLE["metrics_cube"] = f"""{_recursive(_CELLS)}, {_newton('preds', 'model, split')},
+ranked AS (SELECT model, split, {_AUC} AS auc, max(abs(cpos / tpos - cneg / tneg)) AS ks FROM cum GROUP BY ALL),
+base AS (SELECT model, split, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_positive, avg(y) AS positive_rate, avg(pd) AS mean_predicted,
+  avg((pd - y) * (pd - y)) AS brier FROM preds GROUP BY ALL)
+SELECT model, split, n, n_positive, round(positive_rate, 6) AS positive_rate, round(mean_predicted, 6) AS mean_predicted, round(brier, 6) AS brier,
+  round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini, round(ks, 6) AS ks, round(slope, 6) AS slope, round(intercept, 6) AS intercept
+FROM base JOIN ranked USING (model, split) JOIN fitted USING (model, split)"""
+
+_SIDES = "sides AS (SELECT split, y, pd FROM preds WHERE model = 'challenger' AND split IN ('val', 'holdout'))"
+_PREDICTION = _DRIFT.replace(_LONG, f"{_LINES}, {_SIDES}, long AS (SELECT 'pd' AS feature, CAST(split = 'val' AS INT) AS ref, pd AS value FROM sides)") + """,
+prediction AS (SELECT reference_mean, monitoring_mean,
+  round((SELECT avg((pd > 0.5)::INT) FROM sides WHERE split = 'val'), 6) AS reference_positive_rate,
+  round((SELECT avg((pd > 0.5)::INT) FROM sides WHERE split = 'holdout'), 6) AS monitoring_positive_rate, psi, ks, severity FROM drift)"""
+ORACLE["prediction_drift"] = f"{_PREDICTION} SELECT * FROM prediction"
+_CALIBRATION = f"""RECURSIVE {_LINES}, {_SIDES},
+ranks AS (SELECT split, pd, y, rank() OVER (PARTITION BY split ORDER BY pd) + (count(*) OVER (PARTITION BY split, pd) - 1) / 2.0 AS r FROM sides),
+aucs AS (SELECT split, (sum(r) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)) AS auc, avg((pd - y) * (pd - y)) AS brier FROM ranks GROUP BY 1),
+late AS (SELECT 1 AS one, pd, y FROM sides WHERE split = 'holdout'), {_newton('late', 'one')},
+calibration AS (SELECT r.auc AS reference_auc, m.auc AS monitoring_auc, r.brier AS reference_brier, m.brier AS monitoring_brier,
+  slope AS monitoring_slope, intercept AS monitoring_intercept, slope BETWEEN 0.90 AND 1.10 AND abs(intercept) <= 0.15 AS calibration_ok
+  FROM (SELECT * FROM aucs WHERE split = 'val') r, (SELECT * FROM aucs WHERE split = 'holdout') m, fitted)"""
+ORACLE["calibration_drift"] = f"""WITH {_CALIBRATION}
+SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in 'reference_auc monitoring_auc reference_brier monitoring_brier monitoring_slope monitoring_intercept'.split())})
+FROM calibration"""
+ORACLE["alert_notes"] = f"""WITH {_CALIBRATION},
+counts AS (SELECT count(*) FILTER (WHERE severity = 'material') AS material, count(*) FILTER (WHERE severity = 'moderate') AS moderate FROM ({ORACLE['feature_drift']})),
+p AS (SELECT * FROM ({ORACLE['prediction_drift']})),
+notes(alert, raised, amount) AS (
+  SELECT 'feature_material', material > 0, material::DOUBLE FROM counts UNION ALL SELECT 'feature_moderate', moderate > 0, moderate::DOUBLE FROM counts
+  UNION ALL SELECT 'prediction_material', severity = 'material', psi FROM p UNION ALL SELECT 'calibration', NOT calibration_ok, monitoring_slope FROM calibration
+  UNION ALL SELECT 'auc_drop', reference_auc - monitoring_auc > 0.03, reference_auc - monitoring_auc FROM calibration)
+SELECT alert, round(amount, 6) AS amount FROM notes WHERE raised
+UNION ALL SELECT 'all_stable', 0.0::DOUBLE WHERE NOT EXISTS (SELECT * FROM notes WHERE raised)"""
+ORACLE["recommendation"] = f"""WITH RECURSIVE {_LINES}, {_newton('preds', 'model')},
+ranks AS (SELECT model, pd, y, rank() OVER (PARTITION BY model ORDER BY pd) + (count(*) OVER (PARTITION BY model, pd) - 1) / 2.0 AS r FROM preds),
+m AS (SELECT model, (sum(r) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)) AS auc, avg((pd - y) * (pd - y)) AS brier,
+  any_value(abs(slope - 1) <= 0.1 AND abs(intercept) <= 0.1) AS fits FROM ranks JOIN fitted USING (model) GROUP BY 1),
+d AS (SELECT b.auc - a.auc AS gain, a.brier - b.brier AS brier_delta, a.fits AS a_fits, b.fits AS b_fits
+  FROM (SELECT * FROM m WHERE model = 'champion') a, (SELECT * FROM m WHERE model = 'challenger') b),
+s AS (SELECT challenger_cost_savings_pct AS pct FROM ({ORACLE['cost_sweep']}) WHERE cost_ratio = 20),
+v AS (SELECT *, CASE WHEN gain > 0.005 AND a_fits AND b_fits THEN 'challenger_superior' WHEN gain > 0.005 AND NOT b_fits THEN 'recalibrate_challenger'
+  WHEN abs(gain) <= 0.005 THEN 'equivalent_prefer_champion' ELSE 'keep_champion' END AS statistical FROM d, s)
+SELECT round(gain, 6) AS auc_delta, round(2 * gain, 6) AS gini_delta, round(brier_delta, 6) AS brier_delta, round(pct, 6) AS challenger_cost_savings_pct,
+  0 AS failed_checks, statistical, CASE WHEN statistical <> 'challenger_superior' THEN 'champion' WHEN pct > 0.5 THEN 'challenger' ELSE 'challenger_marginal_cost' END AS operational
+FROM v"""
+
 # --- sources -----------------------------------------------------------------
 
 _COLUMNS = {
