@@ -1,30 +1,17 @@
-"""Small tables: checked before they are broadcast."""
+"""Lookup tables and decision trees of comparisons."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 50_000
+from lendframe.session import staged
 
 
-def local_lookups(table: DataFrame, by: str, names: list[str], max_rows: int = SMALL_ROWS) -> dict[str, DataFrame]:
-    """One lookup table per name: local and marked for broadcast as long as they fit together, else a plain filter.
-
-    The sizes decide; a name with too many rows keeps a shuffle join.
-    """
-    sizes = {r[by]: r["count"] for r in table.groupBy(by).count().collect()}
-    small, used = [], 0
-    for name in sorted(names, key=lambda n: sizes.get(n, 0)):
-        if used + sizes.get(name, 0) > max_rows:
-            break
-        small.append(name)
-        used += sizes.get(name, 0)
-    rows: dict[str, list] = {n: [] for n in small}
-    for r in table.where(F.col(by).isin(*small)).collect() if small else []:
-        rows[r[by]].append(r)
-    spark = table.sparkSession
-    return {n: F.broadcast(spark.createDataFrame(rows[n], table.schema)) if n in rows else table.where(F.col(by) == n) for n in names}
+def lookups(table: DataFrame, by: str, names: list[str]) -> dict[str, DataFrame]:
+    """One lookup table per name, read from one written table: its plan runs once, and Spark knows its size when it picks the join."""
+    written = staged(table)
+    return {n: written.where(F.col(by) == n) for n in names}
 
 
 def step(value: Column, cuts: list[float], results: list[Column]) -> Column:

@@ -16,7 +16,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lendframe.functions.sizing import local_lookups, step
+from lendframe.functions import ordered as O
+from lendframe.functions.sizing import lookups, step
 from lendframe.operators.encode import feature_types
 from lendframe.operators.profile import per_column
 
@@ -309,11 +310,12 @@ def fit_binning(
     scores: dict[str, DataFrame] = {}
     ready = dev
     if categorical:
-        scores = local_lookups(category_scores(dev, categorical, target), "feature", categorical)
+        scores = lookups(category_scores(dev, categorical, target), "feature", categorical)
         ready = score_categories(dev, scores, categorical)
     probs = [i / pre_bins for i in range(1, pre_bins)]
-    quantiles = per_column(ready, used, {"cuts": lambda c: F.percentile_approx(c.cast("double"), probs, 10000)})
-    cuts = {r["feature"]: sorted(set(r["cuts"] or [])) for r in quantiles.collect()}
+    # exact quantiles: the same cut points whatever the order in which partitions arrive
+    quantiles = O.quantiles(O.long_form(ready, [], used), ["feature"], "value", probs) if used else None
+    cuts = dict.fromkeys(used, []) | {r["feature"]: sorted(set(r["edges"])) for r in (quantiles.collect() if used else [])}
     found: dict[str, dict[int, tuple[int, int]]] = {}
     for r in bin_counts(ready, cuts, target).collect():
         found.setdefault(r["feature"], {})[r["bin"]] = (r["n"], r["event"])

@@ -6,7 +6,7 @@ raised, so one run reports every problem of every table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +22,15 @@ PRIMARY_KEYS = {
     "bureau": "SK_ID_BUREAU",
     "previous_application": "SK_ID_PREV",
 }
+# Child table, its key, parent table, its key.
+JOINS = (
+    ("bureau", "SK_ID_CURR", "application_train", "SK_ID_CURR"),
+    ("bureau_balance", "SK_ID_BUREAU", "bureau", "SK_ID_BUREAU"),
+    ("previous_application", "SK_ID_CURR", "application_train", "SK_ID_CURR"),
+    ("pos_cash_balance", "SK_ID_PREV", "previous_application", "SK_ID_PREV"),
+    ("installments_payments", "SK_ID_PREV", "previous_application", "SK_ID_PREV"),
+    ("credit_card_balance", "SK_ID_PREV", "previous_application", "SK_ID_PREV"),
+)
 REFERENCE_TABLES = ("sample_submission", "columns_description")
 
 VIOLATION = "`table` string, `check` string, `column` string, expected string, observed string, severity string"
@@ -98,6 +107,15 @@ def join_contract(child: str, child_key: str, parent: str, parent_key: str, stat
     )
 
 
+def derive_joins(tables: Mapping[str, DataFrame], joins: Sequence[tuple[str, str, str, str]] = JOINS) -> DataFrame:
+    """Join contracts between the tables that are there (V1), frozen like the others."""
+    parts = [
+        join_contract(c, ck, p, pk, P.join_stats(tables[c], tables[p], ck, pk)) for c, ck, p, pk in joins if c in tables and p in tables
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(_all(parts, spark, JOIN_CONTRACT).collect(), JOIN_CONTRACT)
+
+
 # --- validation -------------------------------------------------------------
 
 

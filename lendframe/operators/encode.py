@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lendframe.functions import columns as C
 from lendframe.functions import ordered as O
-from lendframe.functions.sizing import local_lookups
+from lendframe.functions.sizing import lookups
 from lendframe.operators.profile import distinct_values, low_cardinality, per_column
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
@@ -45,10 +45,10 @@ def category_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 def encode_categories(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace categories by their codes; null and unseen become -1.
 
-    Code tables that fit are broadcast; a wide category keeps a shuffle join.
+    The code table is written once; by its size Spark broadcasts a narrow category and shuffles a wide one.
     """
     out = df
-    for name, lookup in local_lookups(codes, "feature", list(columns)).items():
+    for name, lookup in lookups(codes, "feature", list(columns)).items():
         table = lookup.select(F.col("category").alias(name), F.col("code").alias("_code"))
         out = out.join(table, name, "left").withColumn(name, F.coalesce("_code", F.lit(-1))).drop("_code")
     return out.select(*df.columns)

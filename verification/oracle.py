@@ -193,6 +193,16 @@ SELECT 'lineitem' AS table_name, 'orphan_rate' AS check_name, 'l_orderkey' AS "c
   CAST(round(orphan_keys / greatest(child_unique_keys, 1), 4) AS VARCHAR) AS observed, 'error' AS severity
 FROM s WHERE abs(orphan_keys / greatest(child_unique_keys, 1) - 0.05) > 0.02"""
 
+ORACLE["derive_joins"] = f"""
+WITH s AS ({ORACLE['join_stats']}), c AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
+SELECT 'lineitem' AS child, 'l_orderkey' AS child_key, 'loans' AS parent, 'SK_ID_PREV' AS parent_key, orphan_rate AS orphan_rate_reference,
+  0.02::DOUBLE AS orphan_rate_tolerance FROM s
+UNION ALL SELECT 'lineitem', 'l_orderkey', 'orders', 'o_orderkey', round((SELECT count(*) FROM c ANTI JOIN orders ON k = o_orderkey) / greatest(1, count(*)), 6), 0.02::DOUBLE FROM c"""
+ORACLE["value_preview"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, array_to_string(list(v ORDER BY v)[1:5], ',') AS sample_values FROM (SELECT DISTINCT {c} AS v FROM customer WHERE {c} IS NOT NULL)"
+    for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+)
+
 # --- splits and encodings ---------------------------------------------------
 
 _SPLIT = """

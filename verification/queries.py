@@ -243,6 +243,18 @@ def validation_verdict(spark: SparkSession, d: str) -> DataFrame:
     return K.verdict(*K.validate(*_contract_pair(spark, d)))
 
 
+@query
+def derive_joins(spark: SparkSession, d: str) -> DataFrame:
+    tables = {"lineitem": roles.table(spark, d, "lineitem"), "loans": roles.booked_loans(spark, d), "orders": roles.table(spark, d, "orders")}
+    return K.derive_joins(tables, [("lineitem", "l_orderkey", "loans", "SK_ID_PREV"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("orders", "o_custkey", "absent", "k")])
+
+
+@query
+def value_preview(spark: SparkSession, d: str) -> DataFrame:
+    out = P.value_preview(roles.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    return out.select("feature", F.array_join("sample_values", ",").alias("sample_values"))
+
+
 @query
 def validate_joins(spark: SparkSession, d: str) -> DataFrame:
     child, parent = roles.table(spark, d, "lineitem"), roles.booked_loans(spark, d)
