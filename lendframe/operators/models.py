@@ -73,7 +73,7 @@ class Search:
 def fit_logistic(train: DataFrame, rows: int, c: float, l1_ratio: float, max_iter: int = 200) -> LogisticRegressionModel:
     """Elastic-net logistic regression without class weights (M1); the penalty is 1 / (C n)."""
     return LogisticRegression(
-        regParam=1.0 / (c * rows), elasticNetParam=l1_ratio, standardization=False, maxIter=max_iter, tol=1e-8
+        regParam=1.0 / (c * rows), elasticNetParam=l1_ratio, standardization=False, maxIter=max_iter, tol=1e-6
     ).fit(train)
 
 
@@ -86,7 +86,7 @@ def champion_search(
     target: str = TARGET,
     max_iter: int = 200,
 ) -> Search:
-    """Grid search by validation AUC; the first of equal fits wins (M2)."""
+    """Grid search by validation AUC; the first of equal fits wins (M2). Each trial records whether its solver converged."""
     features = feature_columns(train, key, target)
     x = vectors(train, features, key, target).persist(StorageLevel.MEMORY_AND_DISK)
     v = vectors(val, features, key, target).persist(StorageLevel.MEMORY_AND_DISK)
@@ -97,13 +97,14 @@ def champion_search(
             for l1 in l1_grid:
                 model = fit_logistic(x, rows, c, l1, max_iter)
                 auc = validation_auc(model.transform(v).select("label", probability().alias("pd")))
-                log.append((c, l1, auc, 2 * auc - 1, int(sum(1 for b in model.coefficients.toArray() if b != 0))))
+                rounds = int(model.summary.totalIterations)
+                log.append((c, l1, auc, 2 * auc - 1, int(sum(1 for b in model.coefficients.toArray() if b != 0)), rounds, rounds < max_iter))
                 if best is None or auc > best[0]:
                     best = (auc, model, {"C": c, "l1_ratio": l1})
     finally:
         x.unpersist()
         v.unpersist()
-    trials = train.sparkSession.createDataFrame(log, "C double, l1_ratio double, val_auc double, val_gini double, n_nonzero int")
+    trials = train.sparkSession.createDataFrame(log, "C double, l1_ratio double, val_auc double, val_gini double, n_nonzero int, iterations int, converged boolean")
     return Search(best[1], best[2], trials, features)
 
 

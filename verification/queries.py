@@ -525,7 +525,7 @@ def champion_fit(spark: SparkSession, d: str) -> DataFrame:
     parts = _matrix(spark, d)
     fit = B.fit_binning(parts["dev"], min_events=20)
     encoded = {n: fit.transform(p, ["SK_ID_CURR", "TARGET"]) for n, p in parts.items()}
-    return X.champion_search(encoded["dev"], encoded["val"], c_grid=(0.01, 1.0), l1_grid=(0.0, 1.0), max_iter=30).trials
+    return X.champion_search(encoded["dev"], encoded["val"]).trials
 
 
 @query
