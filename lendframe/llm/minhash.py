@@ -7,9 +7,12 @@ few darts a region and about k * (ln k + 2) in all; of those for one coordinate
 documents agree on a coordinate with the probability of their weighted Jaccard similarity. Where a coordinate got no dart,
 the time is doubled for that document.
 
-Texts that are equal (lower-cased in A to Z) are one node. Nodes that share a band of the signature form a bucket. Each node is compared
-with the first node of its bucket, then components still apart within a bucket are compared pair by pair; all comparisons
-are exact, on whole texts. A class is a component of links of similarity 0.8 or more, named by its smallest doc_id.
+Texts that are equal (lower-cased in A to Z) are one node. Nodes that share a band of the signature form a bucket. The centres of
+a bucket are the CENTRES nodes that share bands with most others: of an original and its copies, the original. Each node is compared
+with the centre it shares most bands with, then with every centre of its buckets that is still in another component. All comparisons are
+exact, on whole texts. So buckets of up to CENTRES + 1 nodes are settled pair by pair, and the work on larger ones grows with
+their size and not with its square; a node of a large bucket that resembles only nodes which are no centre in any
+of the bands they share would stay apart. A class is a component of links of similarity 0.8 or more, named by its smallest doc_id.
 
 Null text counts as empty. Texts without words are only ever in a class with equal ones. Repeated rows are in one class.
 Null ids: the class has a null id only if it has no other. Extra columns are ignored. An empty table gives an empty result.
@@ -30,8 +33,8 @@ from lendframe.llm.common import BASE, ascii_lower, mix, slices, staged, table,
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 SIMILARITY = 0.8
-#: Bands that a pair from different components must share before its texts are compared; one of similarity 0.8 shares fewer with probability 2e-6.
-SHARED = 3
+#: Nodes of a bucket that all its others are compared with: those that share bands with most nodes.
+CENTRES = 5
 #: Comparisons with one node that a single task makes.
 FAN = 256
 SLICE = 1 << 21
@@ -177,13 +180,17 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"))
     one = signed.join(nodes.withColumnRenamed("node", "n"), (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first")))
     keys = one.select("doc_id", "node", F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
+    buckets = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("nodes")).where("a <> z").select("key", "nodes")
     shared = staged(keys.join(buckets, "key"))
+    known = shared.groupBy("node").agg(F.sum("nodes").alias("met"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "node"))
+    centres = staged(shared.select("key", "node").join(known, "node").withColumn("rank", rank).where(F.col("rank") <= CENTRES).select("key", F.col("node").alias("a")))
     labels = staged(shared.select("node").distinct().select("node", F.col("node").alias("root")))
     wanted = shared.select("node", "doc_id").distinct()
     full = docs.select(F.col("doc_id").alias("id"), node_of(F.col("text")).alias("n"), "text")
     texts = staged(full.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("n") == F.col("node")), "left_semi").select(F.col("n").alias("node"), "text"))
-    stars = staged(shared.where("node <> a").groupBy("a", F.col("node").alias("b")).agg(F.countDistinct("key").alias("bands")))
+    met = shared.select("key", F.col("node").alias("b")).join(centres, "key").where("a <> b")
+    stars = staged(met.groupBy("a", "b").agg(F.count("*").alias("bands")))
 
     def link(pairs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
         tested = staged(verify(pairs.select("a", "b"), texts))
@@ -194,19 +201,11 @@ def classes(docs: DataFrame) -> DataFrame:
         y = labels.select(F.col("node").alias("b"), F.col("root").alias("y"))
         return pairs.join(x, "a").join(y, "b").where("x <> y").drop("x", "y")
 
-    # each node with the bucket's first that it shares most bands with, then with the others that are not in its component yet
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("bands", "a")).alias("a")).select("a", "b")
     tested, labels = link(best, labels)
-    more, labels = link(apart(stars.join(tested.select("a", "b"), ["a", "b"], "left_anti")), labels)
-    tested = tested.unionByName(more)
-    # buckets that still hold several components: all pairs across them that share enough bands
-    rooted = shared.select("key", "node").join(labels, "node")
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-    rest = staged(rooted.join(open_, "key"))
-    left, right = rest.select("key", F.col("node").alias("a"), F.col("root").alias("x")), rest.select("key", F.col("node").alias("b"), F.col("root").alias("y"))
-    across = left.join(right, "key").where("a < b and x <> y").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED)
-    known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    _, labels = link(across.join(known, ["a", "b"], "left_anti"), labels)
+    pairs = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    _, labels = link(apart(pairs.join(done, ["a", "b"], "left_anti")), labels)
 
     rows = signed.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per = staged(rows.groupBy("root", "node", "doc_id").agg(F.count("*").alias("n")))
