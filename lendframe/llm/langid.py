@@ -34,14 +34,16 @@ FOLD[128:] = np.arange(128, 256)
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed trigram at each byte, with a space around each text, and where the trigrams of each text begin."""
+    """Hashed trigram around each byte, with a space on either side of each text, and where the trigrams of each text begin.
+
+    Texts are a space apart; the trigram around that space belongs to none.
+    """
     n = len(offsets) - 1
-    lengths = np.diff(offsets)
     line = np.full(len(data) + n + 1, 32, np.uint32)
-    line[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), lengths)] = FOLD[data]
+    line[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(offsets))] = FOLD[data]
     h = np.zeros(len(line), np.uint32)
     h[1:-1] = (line[:-2] * np.uint32(0x9E3779B1) + line[1:-1] * np.uint32(0x85EBCA77) + line[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(16)
-    return h, offsets + np.arange(n + 1) + 1
+    return h, offsets[:-1] + np.arange(1, n + 1)
 
 
 def codebook(k: int) -> np.ndarray:
@@ -67,10 +69,11 @@ def _count(batches):
         lang = batch.column(1).to_numpy()
         for low, high in slices(offsets, SLICE):
             h, first = trigrams(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-            owner = np.zeros(len(h), np.int32)
-            owner[first[0] : first[-1]] = np.repeat(lang[low:high], np.diff(first))
+            lengths = np.diff(offsets[low : high + 1])
+            inner = h[np.repeat(first - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
+            owner = np.repeat(lang[low:high], lengths)
             for k in np.unique(lang[low:high]).tolist():
-                n = np.bincount(h[first[0] : first[-1]][owner[first[0] : first[-1]] == k], minlength=HASHES)
+                n = np.bincount(inner[owner == k], minlength=HASHES)
                 totals[k] = totals[k] + n if k in totals else n
     for k, n in totals.items():
         seen = np.flatnonzero(n)
@@ -83,8 +86,9 @@ def margins_of(weights: np.ndarray, column: pa.Array) -> np.ndarray:
     out = np.zeros((len(column), weights.shape[1]))
     for low, high in slices(offsets, SLICE // 4):
         h, first = trigrams(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-        sums = np.add.reduceat(weights[h], np.minimum(first[:-1], len(h) - 1), axis=0)
-        out[low:high] = sums / np.diff(first)[:, None]
+        lengths = np.diff(offsets[low : high + 1])
+        sums = np.add.reduceat(weights[h], np.stack([first, first + lengths], axis=1).ravel(), axis=0)[::2]
+        out[low:high] = np.where(lengths[:, None] > 0, sums / np.maximum(lengths, 1)[:, None], 0)
     return out
 
 
