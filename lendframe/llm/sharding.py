@@ -1,8 +1,8 @@
 """Sharding by Karmarkar-Karp differencing: shards of near-equal bytes from groups that must not be split.
 
 Documents with equal texts form a group, and a group goes to one shard. Groups are summed first; in hash buckets of a few
-thousand, differencing joins them to units of near-equal bytes, several hundred for each shard and buckets whose number
-is bounded, so the units are a bounded table at any input size. Differencing then deals the units to the shards: of all partial
+thousand, differencing joins them to units of near-equal bytes, some hundreds for each shard and buckets whose number
+is bounded, and the smallest groups stay single; so the units are a bounded table at any input size. Differencing then deals the units to the shards: of all partial
 partitions the two with the largest spread are combined, the fullest part of one with the emptiest of the other, until
 one is left. A group larger than a shard's share is not split; all others balance around it.
 
@@ -24,8 +24,8 @@ from lendframe.llm.common import staged, table
 SHARDS = 40
 #: Groups of one hash bucket, and the most buckets there are.
 BUCKET, MOST_BUCKETS = 4000, 4096
-#: Units a shard is made of, about.
-UNITS = 200
+#: Units a shard is made of, about, and the smallest groups of a bucket that stay single, to level out the rest.
+UNITS, LOOSE = 200, 16
 
 
 def difference(sizes: np.ndarray, parts: int) -> np.ndarray:
@@ -70,8 +70,11 @@ def _units(groups: DataFrame, total: int, count: int, shards: int) -> DataFrame:
 
     def bundle(key, group):
         sizes = group["bytes"].to_numpy()
-        parts = min(len(sizes), max(1, int(sizes.sum() // share)))
-        unit = difference(sizes, parts) if count > shards * UNITS else np.arange(len(sizes))
+        unit = np.arange(len(sizes))
+        joined = np.lexsort((group["g"].to_numpy(zero_copy_only=False), sizes))[LOOSE:]
+        if count > shards * UNITS and len(joined):
+            parts = min(len(joined), max(1, int(sizes[joined].sum() // share)))
+            unit[joined] = len(sizes) + difference(sizes[joined], parts)
         return pa.table({"g": group["g"], "bytes": group["bytes"], "bucket": pa.array(np.full(len(sizes), key[0].as_py(), np.int32)), "unit": pa.array(unit)})
 
     by = F.pmod(F.xxhash64("g"), F.lit(buckets)).cast("int")
