@@ -32,7 +32,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's own. Only a local session, where there is one machine, gets a fresh one."""
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="lendframe-checkpoint-")
     if spark.sparkContext.getCheckpointDir() is None:
