@@ -24,6 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,9 @@ SLICE = 1 << 19
 LAST = np.iinfo(np.int64).max
 #: Columns of what is sent for a digit, with the types of the compressed arrays.
 ITEM = {"key": np.uint64, "chunk": np.uint32, "id": np.int64, "at": np.int64, "more": np.uint8, "block": np.int64}
-ASK = "shard int, key binary, chunk binary, id binary, at binary, more binary, block binary"
+ASK = "shard int, key binary, chunk binary, id binary, at binary, more binary, block binary, kind int"
+#: What a row holds: items to be compared, items that are known to be open, windows known to be repeats.
+COMPARE, OPEN, REPEAT = 0, 1, 2
 
 
 def _both(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,25 +101,28 @@ def _firsts(key: np.ndarray, *order: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return by, new
 
 
-def _sent(shards: int, items: dict[str, np.ndarray]) -> pa.Table:
+def _sent(shards: int, items: dict[str, np.ndarray], kind: int = COMPARE) -> pa.Table:
     """Rows that send items (columns of ITEM) to the shards of their keys."""
     shard = shard_of(items["key"], shards)
     by = np.argsort(shard.astype(np.int32), kind="stable")
     cuts = np.searchsorted(shard[by], np.arange(shards + 1))
     full = np.flatnonzero(np.diff(cuts))
     packed = {c: pa.array([put(items[c][by[cuts[s] : cuts[s + 1]]].astype(t)) for s in full], pa.binary()) for c, t in ITEM.items()}
-    return pa.table({"shard": pa.array(full.astype(np.int32)), **packed})
+    return pa.table({"shard": pa.array(full.astype(np.int32)), **packed, "kind": pa.array(np.full(len(full), kind, np.int32))})
 
 
-def _repeats(block: int, at: np.ndarray, more: np.ndarray) -> pa.Table:
-    """The row that keeps windows of a block that are known to be repeats."""
+def _repeats(shards: int, block: int, at: np.ndarray, more: np.ndarray) -> pa.Table:
+    """The row that carries windows of a block that are known to be repeats through the exchange."""
     n = len(at)
-    return _sent(1, {"key": np.zeros(n, np.uint64), "chunk": np.zeros(n), "id": np.zeros(n), "at": at, "more": more, "block": np.full(n, block)})
+    key = np.full(n, mix(np.array([block], np.uint64))[0])
+    return _sent(shards, {"key": key, "chunk": np.zeros(n), "id": np.zeros(n), "at": at, "more": more, "block": np.full(n, block)}, REPEAT)
 
 
-def _received(rows: pa.Table) -> dict[str, np.ndarray]:
-    """All items that a shard was sent."""
-    return {c: np.concatenate([get(x, t) for x in rows[c].to_pylist()]) for c, t in ITEM.items()}
+def _received(rows: pa.Table, *kinds: int) -> dict[str, np.ndarray]:
+    """All items of these kinds that a shard was sent."""
+    mine = np.flatnonzero(np.isin(rows["kind"].to_numpy(), kinds)).tolist()
+    columns = {c: rows[c].to_pylist() for c in ITEM}
+    return {c: np.concatenate([np.zeros(0, t), *(get(columns[c][i], t) for i in mine)]) for c, t in ITEM.items()}
 
 
 def _split(block: np.ndarray, **columns: np.ndarray):
@@ -140,8 +146,14 @@ def _answer(block, at, more, what) -> tuple:
     return block, put(at.astype(np.int64)), put(more.astype(np.uint8)), put(what.astype(np.uint8))
 
 
+def _carried(rows: pa.Table) -> list[tuple]:
+    """Repeats that a shard only passes on."""
+    items = _received(rows, REPEAT)
+    return [_answer(name, x["at"], x["more"], np.zeros(len(x["at"]))) for name, x in _split(items["block"], at=items["at"], more=items["more"])]
+
+
 def first_digit(shards: int):
-    """Of each block its distinct chunks for the anchors' shards; kind 1: rows that need not be counted; kind 2: repeats within the block."""
+    """Of each block its distinct chunks for the anchors' shards, and what needs no comparison: sure to be open, or a repeat."""
 
     def run(batches):
         for batch in batches:
@@ -150,19 +162,16 @@ def first_digit(shards: int):
                 found = chunks(data, offsets)
                 found["id"] = _ids(row, offsets, found["at"])
                 by, new = _firsts(found["whole"], found["id"], found["at"])
-                again = by[~new]
-                yield from _kind(2, _repeats(row["block"], found["at"][again], found["more"][again]))
-                once = np.sort(by[new])
+                again, once = by[~new], np.sort(by[new])
                 mine = {c: x[once] for c, x in found.items()}
                 mine |= {"chunk": mine["whole"] >> np.uint64(32), "block": np.full(len(once), row["block"])}
                 by, new = _firsts(mine["key"], np.arange(len(once)))
                 nth = np.arange(len(by)) - np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
                 hot = np.zeros(len(once), bool)
                 hot[by] = nth >= HOT
-                yield from _kind(0, _sent(shards, {c: x[~hot] for c, x in mine.items()}))
-                if hot.any():
-                    sure = {c: x[hot] for c, x in mine.items()}
-                    yield from _kind(1, _sent(shards, _chunk_items(sure, np.ones(hot.sum(), bool))))
+                sure = _chunk_items({c: x[hot] for c, x in mine.items()}, np.ones(hot.sum(), bool))
+                sent = [_sent(shards, {c: x[~hot] for c, x in mine.items()}), _sent(shards, sure, OPEN), _repeats(shards, row["block"], found["at"][again], found["more"][again])]
+                yield from pa.concat_tables(sent).to_batches(max_chunksize=64)
 
     return run
 
@@ -173,16 +182,11 @@ def _chunk_items(items: dict[str, np.ndarray], open_: np.ndarray) -> dict[str, n
     return items | {"key": whole, "chunk": open_}
 
 
-def _kind(kind: int, sent: pa.Table):
-    if sent.num_rows:
-        yield from sent.append_column("kind", pa.array(np.full(sent.num_rows, kind, np.int32))).to_batches(max_chunksize=64)
-
-
 def second_digit(shards: int):
     """Chunks whose anchor occurs again, for the shards of the whole chunks."""
 
     def run(rows):
-        items = _received(rows)
+        items = _received(rows, COMPARE)
         by, new = _firsts(items["key"], items["chunk"])
         group = np.cumsum(new) - 1
         size = np.bincount(group)
@@ -192,21 +196,22 @@ def second_digit(shards: int):
         different = np.bincount(group, other)
         keep = size[group] > 1
         by, open_ = by[keep], different[group][keep] > 1
-        return _sent(shards, _chunk_items({c: x[by] for c, x in items.items()}, open_))
+        passed = rows.filter(pc.not_equal(rows["kind"], COMPARE))
+        return pa.concat_tables([_sent(shards, _chunk_items({c: x[by] for c, x in items.items()}, open_), OPEN), passed])
 
     return run
 
 
 def third_digit(rows):
     """For each block the chunks that occur earlier (repeats) and the first ones that stay open."""
-    items = _received(rows)
+    items = _received(rows, OPEN)
     block = items["block"]
     by, new = _firsts(items["key"], items["id"], block, items["at"])
     group = np.cumsum(new) - 1
     open_ = np.bincount(group, items["chunk"][by].astype(np.int64)) > 0
     keep = ~new | open_[group]
     by, what = by[keep], new[keep]
-    return _marks([_answer(name, x["at"], x["more"], x["what"]) for name, x in _split(block[by], at=items["at"][by], more=items["more"][by], what=what)])
+    return _marks([_answer(name, x["at"], x["more"], x["what"]) for name, x in _split(block[by], at=items["at"][by], more=items["more"][by], what=what)] + _carried(rows))
 
 
 def windows(shards: int):
@@ -233,19 +238,18 @@ def windows(shards: int):
         again, once = by[~new], np.sort(by[new])
         n = len(once)
         asked = _sent(shards, {"key": h[once], "chunk": np.zeros(n), "id": ids[once], "at": p[once], "more": np.zeros(n), "block": np.full(n, row["block"])})
-        tables = [x.append_column("kind", pa.array(np.full(x.num_rows, k, np.int32))) for k, x in ((0, asked), (2, _repeats(row["block"], p[again], np.zeros(len(again)))))]
-        return pa.concat_tables(tables)
+        return pa.concat_tables([asked, _repeats(shards, row["block"], p[again], np.zeros(len(again)))])
 
     return run
 
 
 def last_digit(rows):
     """For each block the windows that also start earlier."""
-    items = _received(rows)
+    items = _received(rows, COMPARE)
     block = items["block"]
     by, new = _firsts(items["key"], items["id"], block, items["at"])
     by = by[~new]
-    return _marks([_answer(name, x["at"], x["more"], np.zeros(len(x["at"]))) for name, x in _split(block[by], at=items["at"][by], more=items["more"][by])])
+    return _marks([_answer(name, x["at"], x["more"], np.zeros(len(x["at"]))) for name, x in _split(block[by], at=items["at"][by], more=items["more"][by])] + _carried(rows))
 
 
 def cut(left, right):
@@ -258,13 +262,14 @@ def cut(left, right):
         at, more = at[what == 0], more[what == 0]
         np.add.at(change, at, 1)
         np.add.at(change, at + more + WIDTH, -1)
-    gone = np.cumsum(change[:-1]) > 0
+    gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+    del change
     start = gone.copy()
     start[1:] &= ~gone[:-1]
     start[offsets[:-1][np.diff(offsets) > 0]] |= gone[offsets[:-1][np.diff(offsets) > 0]]
-    sums, runs = np.concatenate([[0], np.cumsum(gone)]), np.concatenate([[0], np.cumsum(start)])
-    removed, spans = np.diff(sums[offsets]), np.diff(runs[offsets])
-    rest, at = data[~gone].tobytes(), offsets - sums[offsets]
+    before, spans = (np.concatenate([[0], np.cumsum(x, dtype=np.int32)])[offsets].astype(np.int64) for x in (gone, start))
+    removed, spans = np.diff(before), np.diff(spans)
+    rest, at = data[~gone].tobytes(), offsets - before
     kept = [rest[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
     return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed.astype(np.int64)), "n_spans": pa.array(spans.astype(np.int64)), "kept": pa.array(kept, pa.binary())})
 
@@ -273,27 +278,13 @@ def remove_repeats(docs: DataFrame, finish=cut, kind: str = "doc_id long, n_byte
     """doc_id, n_bytes, n_removed, n_spans and kept, the remaining bytes, of every document."""
     written = blocks(docs.select("doc_id", F.lit(0).cast("long").alias("mark"), "text"))
     shards = shards_for(written)
-    sent = staged(written.mapInArrow(first_digit(shards), f"{ASK}, kind int"))
-    counted = sent.where("kind = 0").drop("kind").groupBy("shard").applyInArrow(second_digit(shards), ASK)
-    whole = counted.unionByName(sent.where("kind = 1").drop("kind"))
-    marks = staged(whole.groupBy("shard").applyInArrow(third_digit, MARKS))
-    opened_ = staged(written.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(windows(shards), f"{ASK}, kind int"))
-    last = opened_.where("kind = 0").drop("kind").groupBy("shard").applyInArrow(last_digit, MARKS)
-    local = sent.unionByName(opened_).where("kind = 2").select("block", "at", "more")
-    found = marks.unionByName(last).unionByName(local.mapInArrow(_local, MARKS))
+    counted = written.mapInArrow(first_digit(shards), ASK).groupBy("shard").applyInArrow(second_digit(shards), ASK)
+    marks = staged(counted.groupBy("shard").applyInArrow(third_digit, MARKS))
+    asked = written.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(windows(shards), ASK)
+    found = marks.unionByName(asked.groupBy("shard").applyInArrow(last_digit, MARKS))
     return written.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, kind)
 
 
-def _local(batches):
-    """Repeats found within a block as marks."""
-    for batch in batches:
-        rows = []
-        for block, at, more in zip(*(batch.column(c).to_pylist() for c in ("block", "at", "more"))):
-            at = get(at, np.int64)
-            rows.append(_answer(int(get(block, np.int64)[0]), at, get(more, np.uint8), np.zeros(len(at))))
-        yield from _marks(rows).to_batches()
-
-
 def _digest(left, right):
     done = cut(left, right)
     sha = pa.array([hashlib.sha256(x).hexdigest() for x in done["kept"].to_pylist()])
