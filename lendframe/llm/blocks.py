@@ -1,6 +1,6 @@
 """Blocks of whole documents, and sharded exchanges between blocks and keys.
 
-A block is some 16 MB of documents in one row: ids, offsets, and the bytes compressed. Operators that look up something for every
+A block is some 8 MB of documents in one row: ids, offsets, and the bytes compressed. Operators that look up something for every
 place of every text ask for the distinct keys of a block at a time: a block sends each shard of the key space the keys it holds, as
 one array; the shard puts the arrays of all blocks together and answers each. So no key is sent more often than there are
 blocks, whatever its frequency, shards are even because keys are hashes, and the work is numpy on arrays of bounded size.
@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 
 from lendframe.llm.common import staged, utf8
 
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 DDL = "block long, ids array<long>, marks array<long>, offsets binary, text binary"
 
 
 def put(array: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(array).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(array).tobytes())
 
 
 def get(blob: bytes, dtype) -> np.ndarray:
