@@ -10,7 +10,7 @@ neighbours in the sample, in proportion to all vectors.
 
 Vectors that are null, zero, or hold null or non-finite components take no part; nor do those of another dimension than the
 commonest. Equal vectors are one entry with its 6 smallest ids, which is exact for 5 neighbours, so a vector that a third of all rows share is
-one entry. Rows that repeat a vec_id are the query's own row for that id. A large cell is split into chunks.
+one entry. Rows that repeat a vec_id are the query's own row for that id. Cells are dealt to groups of bounded size.
 An empty table, and a query without candidates, give no rows. Extra columns are ignored.
 """
 
@@ -28,8 +28,8 @@ from lendframe.llm.common import staged, table
 NEAREST = 5
 SAMPLE = 20_000
 RECALL = 0.97
-#: Entries of a cell that one task compares with all its queries at a time.
-CHUNK = 20_000
+#: Entries that one group of cells holds at most in a task, and the fewest groups.
+CHUNK, GROUPS = 20_000, 16
 #: Most centroids of a half; cells are at most its square.
 MOST_CENTROIDS = 256
 
@@ -140,35 +140,44 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFra
                 yield batch.append_column("cell", pa.array(index.value.cells(_matrix(batch.column("v"))).astype(np.int64)))
 
     placed = staged(entries.select("vec_id", "v", "nth").mapInArrow(place, "vec_id long, v array<double>, nth int, cell long"))
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    held = sizes.toPandas()  # at most MOST_CENTROIDS squared rows
-    counts = np.zeros(len(index.value.books[0]) * len(index.value.books[1]), np.int64)
-    counts[held["cell"]] = held["n"]
-    counts = spark.sparkContext.broadcast(counts)
+    n_cells = len(index.value.books[0]) * len(index.value.books[1])
+    groups = max(GROUPS, -(-total // CHUNK))  # cells are dealt to groups, and a group that holds more than CHUNK entries is split
+    held = placed.groupBy("cell").count().toPandas()  # at most MOST_CENTROIDS squared rows
+    sizes = np.zeros(n_cells, np.int64)
+    sizes[held["cell"]] = held["count"]
+    counts = spark.sparkContext.broadcast(sizes)
+    group = F.pmod("cell", F.lit(groups)).cast("int")
+    placed = placed.withColumn("group", group)
+    chunks = placed.groupBy("group").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
 
     def probe(batches):
+        need = max(index.value.enough * counts.value.sum(), k + 1)
         for batch in batches:
             ids, v = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"))
             if len(v):
                 left, right = index.value.halves(v / np.linalg.norm(v, axis=1, keepdims=True))
-                need = max(index.value.enough * counts.value.sum(), k + 1)
                 for i in range(len(v)):
-                    cells = walk(left[i], right[i], counts.value, need)
-                    n = len(cells)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, ids[i])), pa.array([v[i]] * n), pa.array(cells, pa.int64())], names=["query_id", "q", "cell"])
+                    cells = np.array(walk(left[i], right[i], counts.value, need), np.int64)
+                    at = cells % groups
+                    names = np.unique(at)
+                    n = len(names)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, ids[i])), pa.array([v[i]] * n), pa.array(names.astype(np.int32)), pa.array([cells[at == g] for g in names])], names=["query_id", "q", "group", "cells"]
+                    )
 
     def rerank(left, right):
         e, q = _matrix(left["v"]), _matrix(right["q"])
         if not len(e) or not len(q):
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        ids, own = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
-        length, out = np.sqrt((e**2).sum(axis=1)), []
-        for i in range(len(q)):
+        ids, cell, own = left["vec_id"].to_numpy(), left["cell"].to_numpy(), right["query_id"].to_numpy()
+        length, out, wanted = np.sqrt((e**2).sum(axis=1)), [], np.zeros(n_cells, bool)
+        for i, cells in enumerate(right["cells"].to_pylist()):
+            wanted[:] = False
+            wanted[cells] = True
+            near = np.flatnonzero(wanted[cell] & (ids != own[i]))
             size = np.sqrt((q[i] ** 2).sum())
-            rough = e @ q[i] / (length * size)
-            rough[ids == own[i]] = -2
-            pick = np.flatnonzero(rough >= (np.partition(rough, len(rough) - k)[len(rough) - k] - 1e-9 if len(rough) > k else -1.5))
-            pick = pick[ids[pick] != own[i]]
+            rough = e[near] @ q[i] / (length[near] * size)
+            pick = near[rough >= (np.partition(rough, len(rough) - k)[len(rough) - k] - 1e-9 if len(rough) > k else -1.5)]
             exact = (e[pick] * q[i]).sum(axis=1) / (length[pick] * size)
             order = np.lexsort((ids[pick], -exact))[:k]
             out.append((np.full(len(order), own[i]), ids[pick][order], exact[order]))
@@ -176,10 +185,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFra
         return pa.table({"query_id": pa.array(a), "vec_id": pa.array(b), "score": pa.array(c)})
 
     chunk = F.pmod(F.xxhash64("vec_id"), "chunks")
-    left = placed.join(F.broadcast(sizes), "cell").select("vec_id", "v", "cell", chunk.alias("chunk"))
-    asked = queries.dropDuplicates(["vec_id"]).select("vec_id", "v").repartition(64).mapInArrow(probe, "query_id long, q array<double>, cell long")
-    right = asked.join(F.broadcast(sizes), "cell").select("query_id", "q", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
-    found = left.groupBy("cell", "chunk").cogroup(right.groupBy("cell", "chunk")).applyInArrow(rerank, kind)
+    left = placed.join(F.broadcast(chunks), "group").select("vec_id", "v", "cell", "group", chunk.alias("chunk"))
+    asked = queries.dropDuplicates(["vec_id"]).select("vec_id", "v").repartition(64).mapInArrow(probe, "query_id long, q array<double>, group int, cells array<long>")
+    right = asked.join(F.broadcast(chunks), "group").select("query_id", "q", "cells", "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+    found = left.groupBy("group", "chunk").cogroup(right.groupBy("group", "chunk")).applyInArrow(rerank, kind)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
