@@ -30,7 +30,7 @@ END_ID = 1
 #: Unfinished sequences that one task of the final merge takes.
 FAN = 512
 #: Words a task keeps with their ids.
-CACHE = 300_000
+CACHE = 200_000
 OUT = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
      ("sequence_id", pa.int64()), ("offset", pa.int64()), ("part", pa.int64())]
