@@ -177,18 +177,19 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """Every row with its node, class_id, class_size, and kept: whether it is the one that stays of its class."""
     signed = staged(docs.select("doc_id", node_of(F.col("text")).alias("node"), "text").mapInArrow(_sign, "doc_id long, node binary, bands array<long>"))
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first"))
-    one = signed.join(nodes.withColumnRenamed("node", "n"), (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first")))
-    keys = one.select("doc_id", "node", F.explode("bands").alias("key"))
+    one = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.count("*").alias("copies"))
+    keys = one.select("doc_id", "node", "copies", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("nodes")).where("a <> z").select("key", "nodes")
     shared = staged(keys.join(buckets, "key"))
     known = shared.groupBy("node").agg(F.sum("nodes").alias("met"))
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "node"))
     centres = staged(shared.select("key", "node").join(known, "node").withColumn("rank", rank).where(F.col("rank") <= CENTRES).select("key", F.col("node").alias("a")))
     labels = staged(shared.select("node").distinct().select("node", F.col("node").alias("root")))
-    wanted = shared.select("node", "doc_id").distinct()
+    wanted = shared.select("node", "doc_id", "copies").distinct()
     full = docs.select(F.col("doc_id").alias("id"), node_of(F.col("text")).alias("n"), "text")
-    texts = staged(full.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("n") == F.col("node")), "left_semi").select(F.col("n").alias("node"), "text"))
+    found = staged(full.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("n") == F.col("node"))).select("node", "text", "copies"))
+    again = found.where("copies > 1").groupBy("node").agg(F.any_value("text").alias("text"))  # rows may repeat both id and text
+    texts = found.where("copies = 1").select("node", "text").unionByName(again)
     met = shared.select("key", F.col("node").alias("b")).join(centres, "key").where("a <> b")
     stars = staged(met.groupBy("a", "b").agg(F.count("*").alias("bands")))
 

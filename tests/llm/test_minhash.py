@@ -84,3 +84,20 @@ def test_agreement_is_weighted_jaccard():
     s = M.dart_signatures(both, owner, 3, k)
     assert abs((s[0] == s[1]).mean() - 0.8) < 0.03
     assert (s[2] == 0).all() and (s[:2] != 0).all()
+
+
+def test_repeated_rows_are_one_node(spark, monkeypatch):
+    """A text in ten equal rows, with an id and without, beside two near copies: each node has one text and is counted once."""
+    words = [f"w{i}" for i in range(300)]
+    x, y = " ".join(words), " ".join(w if i % 40 else f"y{i}" for i, w in enumerate(words))
+    z = y.replace("w299", "z299")
+    rows = [(1, x)] * 10 + [(None, x + " null")] * 10 + [(2, y), (3, z)]
+    seen, verify = [], M.verify
+
+    def spy(pairs, texts):
+        seen.append((texts.groupBy("node").count().agg({"count": "max"}).first()[0], pairs.groupBy("a", "b").count().agg({"count": "max"}).first()[0]))
+        return verify(pairs, texts)
+
+    monkeypatch.setattr(M, "verify", spy)
+    check(rows, M.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert seen and {n for both in seen for n in both} <= {None, 1}
