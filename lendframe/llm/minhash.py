@@ -9,10 +9,12 @@ the time is doubled for that document.
 
 Texts that are equal (lower-cased in A to Z) are one node. Nodes that share a band of the signature form a bucket. The centres of
 a bucket are the CENTRES nodes that share bands with most others: of an original and its copies, the original. Each node is compared
-with the centre it shares most bands with, then with every centre of its buckets that is still in another component. All comparisons are
-exact, on whole texts. So buckets of up to CENTRES + 1 nodes are settled pair by pair, and the work on larger ones grows with
-their size and not with its square; a node of a large bucket that resembles only nodes which are no centre in any
-of the bands they share would stay apart. A class is a component of links of similarity 0.8 or more, named by its smallest doc_id.
+with the centre it shares most bands with, then with every centre of its buckets that is still in another component. What is still
+apart in a bucket is then compared pair by pair across components, but for pairs that cannot be alike: of a node's units of weight only those that
+also occur in another component can be in common, and that bounds its similarity to any text of a given size. Nodes that no partner is
+left for go, the units are counted anew among the others, and so on (`across`). The bound is exact, so every pair that shares a band is
+either compared or in one component or known to be below 0.8. All comparisons are exact, on whole texts. A class is a component of links of
+similarity 0.8 or more, named by its smallest doc_id.
 
 Null text counts as empty. Texts without words are only ever in a class with equal ones. Repeated rows are in one class.
 Null ids: the class has a null id only if it has no other. Extra columns are ignored. An empty table gives an empty result.
@@ -33,10 +35,12 @@ from lendframe.llm.common import BASE, ascii_lower, mix, slices, staged, table,
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 SIMILARITY = 0.8
-#: Nodes of a bucket that all its others are compared with: those that share bands with most nodes.
+#: Nodes of a bucket that all its others are compared with first: those that share bands with most nodes.
 CENTRES = 5
 #: Comparisons with one node that a single task makes.
 FAN = 256
+#: The bound is tightened while a round leaves at most this share of the rows.
+FEWER = 0.9
 SLICE = 1 << 21
 
 
@@ -126,6 +130,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([cut.column("doc_id"), cut.column("node"), lists], names=["doc_id", "node", "bands"])
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = utf8(batch.column("text"))
+        for low, high in slices(offsets, SLICE):
+            e, owner = elements(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=high - low))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(e.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(low, high - low), lists], names=["node", "elements"])
+
+
 def _compare(left, right):
     """Similarity of the one text of `right` (a) to each text of `left` (b)."""
     if not left.num_rows or not right.num_rows:
@@ -174,6 +188,49 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
         labels = staged(labels.join(hooks.select(F.col("x").alias("root"), F.col("y").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
 
 
+def across(rooted: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a < b) of nodes that share a bucket but no component, without those that are surely below SIMILARITY.
+
+    rooted: key, node, root. Texts of sizes x and y with n units in common are alike if n * (1 + 1 / SIMILARITY) >= x + y, and n is
+    at most the units of either that occur in other components too. So the size and that count give a node's reach: the largest
+    partner it can have. Rows whose bucket has no partner in reach of another component go, and the units of the others are counted anew.
+    """
+    open_ = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
+    rest = staged(rooted.join(open_, "key"))
+    sets = staged(texts.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_sets, "node binary, elements array<long>"))
+    left = rest.count()
+    while True:
+        nodes = sets.join(rest.select("node", F.xxhash64("root").alias("r")).distinct(), "node").withColumn("id", F.xxhash64("node"))
+        units = nodes.select("id", "r", F.explode("elements").alias("e"))
+        common = units.groupBy("e").agg(F.min("r").alias("r"), F.max("r").alias("s")).where("r <> s").select("e")
+        counted = units.select("id", "e").join(common, "e", "left_semi").groupBy("id").agg(F.count("*").alias("n"))
+        size = F.size("elements")
+        bounds = nodes.select("node", "id", size.alias("size")).join(counted, "id").select("node", "size", (F.col("n") * (1 + 1 / SIMILARITY) - F.col("size")).alias("reach"))
+        near = staged(rest.select("key", "node", "root").join(bounds, "node"))
+        # the smallest text and the furthest reach of each bucket, and the next ones of another component
+        per = near.groupBy("key", "root").agg(F.min("size").alias("size"), F.max("reach").alias("reach"))
+        small, far = (F.row_number().over(Window.partitionBy("key").orderBy(c, "root")) for c in (F.col("size"), F.desc("reach")))
+        ends = per.withColumn("i", small).withColumn("j", far).where("i <= 2 or j <= 2").groupBy("key").agg(
+            *(F.max(F.when(F.col(i) == k, F.col(c))).alias(f"{c}_{i}{k}") for i, c in (("i", "size"), ("j", "reach")) for k in (1, 2)),
+            *(F.max(F.when(F.col(i) == 1, F.col("root"))).alias(f"root_{i}") for i in "ij"),
+        )
+        least = F.when(F.col("root") == F.col("root_i"), F.col("size_i2")).otherwise(F.col("size_i1"))
+        most = F.when(F.col("root") == F.col("root_j"), F.col("reach_j2")).otherwise(F.col("reach_j1"))
+        rest = staged(near.join(ends, "key").where((least <= F.col("reach")) & (most >= F.col("size"))).select("key", "node", "root", "size", "reach"))
+        before, left = left, rest.count()
+        if left > FEWER * before or not left:
+            break
+    # each pair once, in the lowest of the buckets both are in; large buckets are dealt to groups of FAN
+    groups = rest.groupBy("key").agg(F.ceil(F.count("*") / FAN).cast("int").alias("groups"))
+    rows = rest.join(groups, "key").join(rest.groupBy("node").agg(F.collect_list("key").alias("keys")), "node")
+    a, b = (rows.select("key", "groups", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size", "reach", "keys"))) for x in "ab")
+    a = a.withColumn("part", F.pmod(F.xxhash64("node_a"), "groups").cast("int")).drop("groups")
+    b = b.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
+    fits = F.expr("node_a < node_b and root_a <> root_b and size_a <= reach_b and size_b <= reach_a")
+    once = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
+    return a.join(b, ["key", "part"]).where(fits & once).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """Every row with its node, class_id, class_size, and kept: whether it is the one that stays of its class."""
     signed = staged(docs.select("doc_id", node_of(F.col("text")).alias("node"), "text").mapInArrow(_sign, "doc_id long, node binary, bands array<long>"))
@@ -207,6 +264,8 @@ def classes(docs: DataFrame) -> DataFrame:
     pairs = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     _, labels = link(apart(pairs.join(done, ["a", "b"], "left_anti")), labels)
+    more = staged(across(shared.select("key", "node").join(labels, "node"), texts))
+    _, labels = link(more.join(pairs, ["a", "b"], "left_anti"), labels)  # pairs with a centre are settled
 
     rows = signed.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per = staged(rows.groupBy("root", "node", "doc_id").agg(F.count("*").alias("n")))

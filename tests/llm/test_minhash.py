@@ -101,3 +101,16 @@ def test_repeated_rows_are_one_node(spark, monkeypatch):
     monkeypatch.setattr(M, "verify", spy)
     check(rows, M.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
     assert seen and {n for both in seen for n in both} <= {None, 1}
+
+
+def test_partners_that_are_no_centres(spark):
+    """In large buckets, where all share a frame and a few pairs chose nearly the same words, each such pair is a link."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in range(150):
+        words = [f"w{i}" for i in range(300)]
+        for i, side in enumerate(rng.integers(0, 2, 24)):
+            words[12 * i + 6] = f"{'lr'[side]}{i}"
+        rows.append((n, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(rows, M.classes(df).collect())
