@@ -109,8 +109,8 @@ def test_partners_that_are_no_centres(spark):
     rows = []
     for n in range(150):
         words = [f"w{i}" for i in range(300)]
-        for i, side in enumerate(rng.integers(0, 2, 24)):
-            words[12 * i + 6] = f"{'lr'[side]}{i}"
+        for i, side in enumerate(rng.integers(0, 2, 22)):
+            words[13 * i + 6] = f"{'lr'[side]}{i}"
         rows.append((n, " ".join(words)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     check(rows, M.classes(df).collect())
