@@ -1,7 +1,7 @@
 """Registered queries of this subpackage and their SQL, where SQL can express them."""
 
 import corpus_pipeline
-from lendframe.llm import ann, exact, interpolation, langid, minhash, mixing, packing, quality, sharding, substrings
+from lendframe.llm import ann, exact, interpolation, langid, minhash, mixing, packing, quality, sharding, substrings, windows
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -14,7 +14,8 @@ QUERIES = {
     "op8_exact": exact.op8_exact,
     "op9_ann": ann.op9_ann,
     "op10_sharding": sharding.op10_sharding,
+    "op11_windows": windows.op11_windows,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op4_mixing": mixing.OP4_SQL, "op8_exact": exact.OP8_SQL}
+ORACLE = {"op4_mixing": mixing.OP4_SQL, "op8_exact": exact.OP8_SQL, "op11_windows": windows.OP11_SQL}
