@@ -16,10 +16,9 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lendframe.functions import ordered as O
+from lendframe.functions.radix import Distributions
 from lendframe.functions.sizing import lookups, step
 from lendframe.operators.encode import feature_types
-from lendframe.operators.profile import per_column
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
 MAX_BINS = 6
@@ -314,8 +313,8 @@ def fit_binning(
         ready = score_categories(dev, scores, categorical)
     probs = [i / pre_bins for i in range(1, pre_bins)]
     # exact quantiles: the same cut points whatever the order in which partitions arrive
-    quantiles = O.quantiles(O.long_form(ready, [], used), ["feature"], "value", probs) if used else None
-    cuts = dict.fromkeys(used, []) | {r["feature"]: sorted(set(r["edges"])) for r in (quantiles.collect() if used else [])}
+    edges = Distributions(ready.select("*", F.lit(1).alias("_row")), used, ["_row"]).quantiles("_row", probs) if used else {}
+    cuts = dict.fromkeys(used, []) | {n: sorted(set(e)) for n, e in edges.items()}
     found: dict[str, dict[int, tuple[int, int]]] = {}
     for r in bin_counts(ready, cuts, target).collect():
         found.setdefault(r["feature"], {})[r["bin"]] = (r["n"], r["event"])

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendframe.functions import ordered as O
+from lendframe.functions.radix import Distributions, counted
+from lendframe.functions.sizing import step
 from lendframe.operators import metrics as M
-from lendframe.session import staged
 
 # Alert levels.
 PSI_STABLE = 0.10
@@ -19,105 +21,106 @@ INTERCEPT_LIMIT = 0.15
 AUC_DROP_LIMIT = 0.03
 TOP_DRIFTED = 20
 SHARE_FLOOR = 1e-6
+#: Columns that count a row for the reference or the monitoring side.
+REF, MON = "_ref", "_mon"
 
 
-def both_sides(reference: DataFrame, monitoring: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Long form of both populations with 0/1 side markers; features absent on one side are left out."""
-    shared = [f for f in features if f in reference.columns and f in monitoring.columns]
-    sides = []
-    for df, is_ref in ((reference, 1), (monitoring, 0)):
-        long = O.long_form(df, [], shared)
-        sides.append(long.select("feature", F.nanvl("value", F.lit(None)).alias("value"), F.lit(is_ref).alias("ref"), F.lit(1 - is_ref).alias("mon")))
-    return sides[0].unionByName(sides[1])
+class Sides:
+    """Two populations of the same columns side by side: exact distributions of both from one set of counted value ranges.
 
+    Columns that one side lacks are left out; NaN counts as null.
+    """
+
+    def __init__(self, reference: DataFrame, monitoring: DataFrame, features: Sequence[str]):
+        self.features = [f for f in features if f in reference.columns and f in monitoring.columns]
+        self.spark = reference.sparkSession
+
+        def side(df: DataFrame, is_ref: int) -> DataFrame:
+            values = [F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None)).alias(f) for f in self.features]
+            return df.select(*values, F.lit(is_ref).alias(REF), F.lit(1 - is_ref).alias(MON))
+
+        self.rows = side(reference, 1).unionByName(side(monitoring, 0))
 
-def value_counts(long: DataFrame) -> DataFrame:
-    """Rows per (feature, value) and side, null included: one scan serves every drift measure."""
-    return staged(long.groupBy("feature", "value").agg(F.sum("ref").alias("ref"), F.sum("mon").alias("mon")))
+        def known(mark: str):
+            return lambda c: F.count_if((F.col(mark) == 1) & c.isNotNull())
+
+        also = {"n_ref": known(REF), "n_mon": known(MON), "rows_ref": lambda c: F.sum(REF), "rows_mon": lambda c: F.sum(MON)}
+        also |= {"mean_ref": lambda c: F.avg(F.when(F.col(REF) == 1, c)), "mean_mon": lambda c: F.avg(F.when(F.col(MON) == 1, c))}
+        self.distributions = Distributions(self.rows, self.features, [REF, MON], also)
+
+    def table(self, values: Mapping[str, Sequence], names: str) -> DataFrame:
+        return self.spark.createDataFrame([(f, *values[f]) for f in self.features if f in values], f"feature string, {names}")
 
 
 def severity(psi: Column) -> Column:
     return F.when(psi < PSI_STABLE, "stable").when(psi < PSI_MODERATE, "moderate").otherwise("material")
 
 
-def psi(cells: DataFrame, bins: int = 10) -> DataFrame:
-    """Population stability index per feature from value counts (G1).
+def bin_counts(sides: Sides, edges: Mapping[str, Sequence[float]]) -> dict[str, dict[int, tuple[int, int]]]:
+    """Rows of either side in each bin, bins closed on the left and the last one on both sides; values outside are in none."""
 
-    Edges are the distinct reference deciles. Bins are closed on the left, the
-    last one on both sides. Monitoring values outside the edges fall into no
-    bin but stay in the denominator.
-    """
-    present = cells.where(F.col("value").isNotNull())
-    edges = O.quantiles_rows(present, ["feature"], "value", O.quantile_probs(bins), "ref").select(
-        "feature", O.distinct_edges(F.col("edges")).alias("edges")
-    )
-    # one row of at most bins + 1 edges per feature
-    rows = present.join(F.broadcast(edges), "feature")
-    at = O.position(F.col("value"), F.col("edges"), bins + 1)
-    last = F.size("edges")
-    top = F.get("edges", last - 1)
-    rows = rows.withColumn("bin", F.when(F.col("value") == top, last - 1).when((at > 0) & (at < last), at))
-    # binless rows keep the totals complete
-    per_bin = rows.groupBy("feature", "bin").agg(F.sum("ref").alias("ref"), F.sum("mon").alias("mon"), F.max(last).alias("edges"))
-    totals = per_bin.groupBy("feature").agg(
-        F.sum("ref").alias("n_ref"),
-        F.sum("mon").alias("n_mon"),
-        F.max("edges").alias("edges"),
-        F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "ref", "mon"))).alias("cells"),
-    )
+    def place(cuts: Sequence[float]):
+        # no bin below the first edge, and none above the last; the last edge itself is in the last bin
+        inner = [F.lit(i) for i in range(len(cuts) - 1)]
+        at = lambda x: step(x, list(cuts), [F.lit(None).cast("int"), *inner, F.lit(None).cast("int")])
+        return lambda x: F.when(x == cuts[-1], len(cuts) - 2).otherwise(at(x))
 
-    def part(count: Column, total: Column) -> Column:
-        return F.greatest(F.lit(SHARE_FLOOR), count / total)
+    out: dict[str, dict[int, tuple[int, int]]] = {f: {} for f in edges}
+    if edges:
+        for r in counted(sides.rows, {f: place(c) for f, c in edges.items()}, [REF, MON]).collect():
+            out[r["feature"]][r["at"]] = (r[REF], r[MON])
+    return out
 
-    def term(c: Column) -> Column:
-        r, m = part(c["ref"], F.col("n_ref")), part(c["mon"], F.col("n_mon"))
-        return (r - m) * F.ln(r / m)
 
-    usable = (F.col("n_ref") > 0) & (F.col("n_mon") > 0) & (F.col("edges") >= 2)
-    value = F.reduce(F.sort_array("cells"), F.lit(0.0), lambda acc, c: acc + term(c))
-    empty = F.col("edges") - 1 - F.size("cells")
-    # a bin without any row on either side adds nothing: both shares sit on the floor
-    return totals.select("feature", F.when(usable & (empty >= 0), value).otherwise(0.0).alias("psi"))
+def psi_values(sides: Sides, bins: int = 10) -> dict[str, float]:
+    """PSI of each feature over the distinct reference deciles; 0 where a side is empty or all values are equal.
+
+    Monitoring values outside the edges fall into no bin but stay in the denominator. A bin without any row adds nothing.
+    """
+    totals = sides.distributions.totals()
+    found = sides.distributions.quantiles(REF, O.quantile_probs(bins))
+    edges = {f: sorted(set(e)) for f, e in found.items() if all(totals[f])}
+    out = dict.fromkeys(sides.features, 0.0)
+    for f, cells in bin_counts(sides, {f: e for f, e in edges.items() if len(e) > 1}).items():
+        for _, (ref, mon) in sorted(cells.items()):
+            r, m = max(SHARE_FLOOR, ref / totals[f][0]), max(SHARE_FLOOR, mon / totals[f][1])
+            out[f] += (r - m) * math.log(r / m)
+    return out
 
 
-def ks_two_sample(cells: DataFrame) -> DataFrame:
-    """Largest gap between the two empirical distributions per feature from value counts."""
-    rows = O.running_rows(cells.where(F.col("value").isNotNull()), ["feature"], "value", ["ref", "mon"])
+def psi(sides: Sides, bins: int = 10) -> DataFrame:
+    """Population stability index per feature (G1)."""
+    return sides.table({f: (v,) for f, v in psi_values(sides, bins).items()}, "psi double")
 
-    def share(side: str) -> Column:
-        return (F.col(f"{side}_before") + F.col(side)) / F.nullif(F.col(f"{side}_total"), F.lit(0))
 
-    return rows.groupBy("feature").agg(F.coalesce(F.max(F.abs(share("ref") - share("mon"))), F.lit(0.0)).alias("ks"))
+def ks_values(sides: Sides) -> dict[str, float]:
+    return dict.fromkeys(sides.features, 0.0) | sides.distributions.largest_gaps(REF, MON)
 
 
-def moments(cells: DataFrame) -> DataFrame:
-    """Mean and null rate per feature and side from value counts."""
+def ks_two_sample(sides: Sides) -> DataFrame:
+    """Largest gap between the two empirical distributions per feature."""
+    return sides.table({f: (v,) for f, v in ks_values(sides).items()}, "ks double")
 
-    def side(mark: str, name: str) -> list[Column]:
-        known = F.when(F.col("value").isNotNull(), F.col(mark))
-        missing = F.when(F.col("value").isNull(), F.col(mark)).otherwise(0)
-        return [
-            (F.sum(F.col("value") * F.col(mark)) / F.nullif(F.sum(known), F.lit(0))).alias(f"{name}_mean"),
-            (F.sum(missing) / F.nullif(F.sum(mark), F.lit(0))).alias(f"{name}_null_rate"),
-        ]
 
-    return cells.groupBy("feature").agg(*side("ref", "reference"), *side("mon", "monitoring"))
+def moments(sides: Sides) -> dict[str, tuple]:
+    """Mean and null rate per feature and side (G3), from the pass that finds the ends of the value ranges."""
+
+    def rate(nulls: int, rows: int) -> float | None:
+        return nulls / rows if rows else None
+
+    out = {}
+    for f, r in sides.distributions.ends.items():
+        rows = r["rows_ref"] or 0, r["rows_mon"] or 0
+        out[f] = (r["mean_ref"], r["mean_mon"], rate(rows[0] - r["n_ref"], rows[0]), rate(rows[1] - r["n_mon"], rows[1]))
+    return out
 
 
 def feature_drift(reference: DataFrame, monitoring: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Drift table, one row per feature."""
-    cells = value_counts(both_sides(reference, monitoring, features))
-    out = moments(cells).join(psi(cells), "feature", "left").join(ks_two_sample(cells), "feature", "left")
-    return out.select(
-        "feature",
-        "reference_mean",
-        "monitoring_mean",
-        "reference_null_rate",
-        "monitoring_null_rate",
-        F.coalesce("psi", F.lit(0.0)).alias("psi"),
-        F.coalesce("ks", F.lit(0.0)).alias("ks"),
-        severity(F.coalesce("psi", F.lit(0.0))).alias("severity"),
-    )
+    """Drift table, one row per feature (G5). Every pass is a scan of the wide tables; what is shuffled are counts."""
+    sides = Sides(reference, monitoring, features)
+    means, stability, gaps = moments(sides), psi_values(sides), ks_values(sides)
+    names = "reference_mean double, monitoring_mean double, reference_null_rate double, monitoring_null_rate double, psi double, ks double"
+    return sides.table({f: (*means[f], stability[f], gaps[f]) for f in sides.features}, names).withColumn("severity", severity(F.col("psi")))
 
 
 def severity_counts(drift: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from lendframe.functions import columns as C
 from lendframe.functions import ordered as O
 from lendframe.functions.sizing import lookups
-from lendframe.operators.profile import distinct_values, low_cardinality, per_column
+from lendframe.functions.radix import per_column
+from lendframe.operators.profile import distinct_values, low_cardinality
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
 # The five features that get a missing indicator.

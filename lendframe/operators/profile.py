@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendframe.functions import ordered as O
+from lendframe.functions.radix import Distributions, per_column
 
 DISTINCT_LIMIT = 50
 PREVIEW = 5
@@ -20,27 +21,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def per_column(df: DataFrame, names: Sequence[str], stats: Mapping[str, Callable[[Column], Column]], batch: int = 150) -> DataFrame:
-    """The same aggregates for many columns: one pass, one row per column.
-
-    Wide tables go in batches so that no generated class grows too large.
-    """
-    parts = []
-    for start in range(0, len(names), batch):
-        chunk = list(names[start : start + batch])
-        row = df.agg(
-            *[
-                F.struct(F.lit(n).alias("feature"), *[fn(F.col(f"`{n}`")).alias(s) for s, fn in stats.items()]).alias(f"c{i}")
-                for i, n in enumerate(chunk)
-            ]
-        )
-        parts.append(row.select(F.inline(F.array(*[f"c{i}" for i in range(len(chunk))]))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def low_cardinality(df: DataFrame, names: Sequence[str], limit: int = DISTINCT_LIMIT) -> list[str]:
     """Columns that may have at most `limit` distinct values, by sketch with a wide margin.
 
@@ -112,17 +92,17 @@ def quantile_table(df: DataFrame, names: Sequence[str], exact: bool = True, accu
     """p01, p50, p99 per numeric column (P5), exact with interpolation or by bounded sketch."""
     probs = list(SAMPLE_PROBS.values())
     if exact:
-        edges = O.quantiles(O.long_form(df, [], names), ["feature"], "value", probs)
-    else:
-        edges = per_column(df, names, {"edges": lambda c: F.percentile_approx(c.cast("double"), probs, accuracy)})
+        found = Distributions(df.select("*", F.lit(1).alias("_row")), names, ["_row"]).quantiles("_row", probs)
+        return df.sparkSession.createDataFrame([(n, *edges) for n, edges in found.items()], "feature string, " + ", ".join(f"{n} double" for n in SAMPLE_PROBS))
+    edges = per_column(df, names, {"edges": lambda c: F.percentile_approx(c.cast("double"), probs, accuracy)})
     return edges.select("feature", *[F.get("edges", F.lit(i)).alias(n) for i, n in enumerate(SAMPLE_PROBS)])
 
 
-def profile(df: DataFrame, exact_quantiles: bool = False) -> DataFrame:
-    """One row per column: counts, range, moments, quantiles and small value sets."""
+def profile(df: DataFrame, exact_quantiles: bool | None = True) -> DataFrame:
+    """One row per column: counts, range, moments, quantiles and small value sets (P1-P6). Quantiles: exact, by sketch, or (None) left out."""
     numeric = numeric_columns(df)
     out = column_stats(df)
-    if numeric:
+    if numeric and exact_quantiles is not None:
         out = out.join(quantile_table(df, numeric, exact_quantiles), "feature", "left")
     return out.join(value_sets(df), "feature", "left")
 

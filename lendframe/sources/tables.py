@@ -16,40 +16,84 @@ ROW_DIGITS = 15
 
 
 def contract_schema(columns: Sequence[Mapping]) -> T.StructType:
-    """StructType of a table from its contract rows (feature, dtype, nullable)."""
-    kinds = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType()}
+    """StructType of a table from its contract rows (feature, dtype, nullable); dtype as Spark spells it."""
+    kinds = {c["dtype"]: T.StructType.fromDDL(f"x {c['dtype']}")[0].dataType for c in columns}
     return T.StructType([T.StructField(c["feature"], kinds[c["dtype"]], bool(c["nullable"])) for c in columns])
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType | None, encoding: str) -> DataFrame:
-    reader = spark.read.option("header", True).option("encoding", encoding).option("mode", "FAILFAST")
-    return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
+# --- CSV --------------------------------------------------------------------
+# A file is parsed as ISO-8859-1, which gives every byte a character and loses none; delimiters, quotes and line ends are ASCII in all
+# three encodings. So the bytes of a text are still there after the parse: whether they are UTF-8 is counted in the same pass that uses them.
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, str]:
-    """Headered CSV and the encoding that fits it: utf-8, cp1252, else latin-1.
-
-    Each probe stops at the first offending row. The Windows code page is read
-    as latin-1 and its 0x80-0x9F range translated, which needs no codec.
-    """
-    bad = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
-    if not bad:
-        return _csv(spark, path, schema, "UTF-8"), "utf-8"
-    df = _csv(spark, path, schema, "ISO-8859-1")
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    odd = F.lit(False)
-    for c in text:
-        odd = odd | F.coalesce(F.translate(F.col(f"`{c}`"), CP1252_UNDEFINED, "") != F.col(f"`{c}`"), F.lit(False))
-    if df.where(odd).limit(1).count():
-        return df, "latin-1"
+def _text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def _bytes_as_text(c: Column) -> Column:
+    return F.encode(c, "ISO-8859-1").cast("string")
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a headered CSV; reads its first line."""
+    names = spark.read.option("header", True).option("encoding", "ISO-8859-1").csv(path).columns
+    raw = [n.encode("latin-1") for n in names]
+    try:
+        return [n.decode() for n in raw]
+    except UnicodeDecodeError:
+        return [n.decode(CP1252, "replace") for n in raw]
+
+
+def parse_csv(spark: SparkSession, path: str, schema: T.StructType | None, corrupt: str | None = None) -> DataFrame:
+    """Headered CSV, one character a byte. A malformed row raises, or is kept in the column `corrupt` with null for what doesn't fit."""
+    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("mode", "PERMISSIVE" if corrupt else "FAILFAST")
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if corrupt:
+        reader = reader.option("enforceSchema", not all(n.isascii() for n in schema.names))  # each file's header is compared
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(schema).csv(path)
+
+
+def encoding_marks(df: DataFrame) -> dict[str, Column]:
+    """Of each parsed row: whether its texts are not UTF-8, and whether they hold a byte that the Windows code page lacks."""
+    odd, undefined = F.lit(False), F.lit(False)
+    for c in _text_columns(df):
+        x = F.col(f"`{c}`")
+        odd = odd | F.coalesce(~F.is_valid_utf8(_bytes_as_text(x)), F.lit(False))
+        undefined = undefined | F.coalesce(F.translate(x, CP1252_UNDEFINED, "") != x, F.lit(False))
+    return {"not_utf8": odd, "not_cp1252": undefined}
+
+
+def encoding_of(not_utf8: int, not_cp1252: int) -> str:
+    """utf-8, cp1252, else latin-1: the first that can read all rows."""
+    return "utf-8" if not not_utf8 else "latin-1" if not_cp1252 else CP1252
+
+
+def in_encoding(df: DataFrame, encoding: str) -> DataFrame:
+    """Parsed rows with their texts in the given encoding; the Windows code page needs no codec, its 0x80-0x9F range is translated."""
     source = [b for b in range(0x80, 0xA0) if chr(b) not in CP1252_UNDEFINED]
     plain, fancy = "".join(map(chr, source)), bytes(source).decode(CP1252)
-    return df.select(*[F.translate(F.col(f"`{c}`"), plain, fancy).alias(c) if c in text else F.col(f"`{c}`") for c in df.columns]), CP1252
+    read = {"utf-8": _bytes_as_text, CP1252: lambda c: F.translate(c, plain, fancy), "latin-1": lambda c: c}[encoding]
+    text = set(_text_columns(df))
+    return df.select(*[read(F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`") for c in df.columns])
+
+
+def _decoded(df: DataFrame) -> tuple[DataFrame, str]:
+    counts = df.agg(*[F.count_if(c).alias(n) for n, c in encoding_marks(df).items()]).first() if _text_columns(df) else (0, 0)
+    encoding = encoding_of(*counts)
+    return in_encoding(df, encoding), encoding
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, str]:
+    """Headered CSV and the encoding that fits it: utf-8, cp1252, else latin-1 (S1, S2). The encoding is asked in one pass before."""
+    return _decoded(parse_csv(spark, path, schema))
 
 
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
-    """CSV scan that parses the named columns only."""
-    return read_csv(spark, path, schema)[0].select(*columns)
+    """CSV scan that converts the named columns only (S4); the encoding is that of these columns, and numbers are not read for it."""
+    return _decoded(parse_csv(spark, path, schema).select(*[f"`{c}`" for c in columns]))[0]
 
 
 def head_sample(df: DataFrame, rows: int = 200_000) -> DataFrame:

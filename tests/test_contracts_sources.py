@@ -77,21 +77,62 @@ def test_csv_encodings(spark, tmp_path, encoding, text):
     assert T.read_columns(spark, str(path), ["id"], schema).columns == ["id"]
 
 
-def test_ingestion_gates(spark, tmp_path):
-    raw = tmp_path / "bureau.csv"
-    raw.write_text("SK_ID_BUREAU,v\n" + "\n".join(f"{i},{i % 3}" for i in range(50)) + "\n")
-    df, _ = T.read_csv(spark, str(raw))
-    columns, sizes = K.derive_contracts({"bureau": df})
-    recorded = I.fingerprint_table({"bureau": df})
-    out = I.ingest(spark, {"bureau": str(raw)}, str(tmp_path / "out"), columns, sizes, recorded=recorded).first()
-    assert out["rows"] == 50 and out["input_fingerprint"] == out["output_fingerprint"] and out["encoding"] == "utf-8"
-    stale = recorded.withColumn("fingerprint", F.lit("0"))
+def _loans_csv(path, rows, encoding="utf-8"):
+    path.mkdir(parents=True, exist_ok=True)
+    (path / "part.csv").write_bytes(("v,SK_ID_BUREAU,name\n" + "".join(f"{v},{i},{name}\n" for i, v, name in rows)).encode(encoding))
+    return str(path)
+
+
+@pytest.fixture
+def loans(spark):
+    df = spark.createDataFrame([(i, float(i % 3), "Zoë" if i % 2 else None) for i in range(50)], "SK_ID_BUREAU bigint, v double, name string")
+    return df, K.derive_contracts({"bureau": df}), [(i, float(i % 3), "Zoë" if i % 2 else "") for i in range(50)]
+
+
+def test_ingestion_publishes_and_records(spark, tmp_path, loans):
+    df, contract, rows = loans
+    raw = _loans_csv(tmp_path / "raw", rows)
+    out = tmp_path / "out"
+    recorded = I.fingerprint_table({"bureau": df.select("v", "SK_ID_BUREAU", "name")})
+    for run in (False, True):
+        m = I.ingest(spark, {"bureau": raw}, str(out), *contract, recorded=recorded).first()
+        assert m["rows"] == 50 and m["cols"] == 3 and m["encoding"] == "utf-8" and m["malformed"] == 0 and m["overwrote"] is run
+        assert m["input_fingerprint"] == m["output_fingerprint"] == recorded.first()["fingerprint"]
+        assert m["size_bytes"] == sum(f.stat().st_size for f in (out / "bureau").glob("part-*"))
+        assert m["input_bytes"] == (tmp_path / "raw" / "part.csv").stat().st_size
+    published = spark.read.parquet(str(out / "bureau"))
+    assert published.dtypes == [("v", "double"), ("SK_ID_BUREAU", "bigint"), ("name", "string")]
+    assert sorted(r["SK_ID_BUREAU"] for r in published.where("name = 'Zoë'").collect()) == list(range(1, 50, 2))
+    assert [p.name for p in tmp_path.iterdir() if "staging" in p.name or "replaced" in p.name] == []
+
+
+@pytest.mark.parametrize("encoding,jobs", [("utf-8", 1), ("cp1252", 2)])
+def test_ingestion_parses_a_file_once(spark, tmp_path, loans, encoding, jobs, monkeypatch):
+    """A second parse only for a file that is not UTF-8."""
+    parsed = []
+    monkeypatch.setattr(T, "parse_csv", lambda *a, real=T.parse_csv: parsed.append(a) or real(*a))
+    _, contract, rows = loans
+    m = I.ingest(spark, {"bureau": _loans_csv(tmp_path / "raw", rows, encoding)}, str(tmp_path / "out"), *contract).first()
+    assert m["encoding"] == encoding and len(parsed) == jobs
+    assert spark.read.parquet(m["path"]).where("name = 'Zoë'").count() == 25
+    plan = T.in_encoding(real := T.parse_csv(*parsed[0]), "utf-8").select("v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and real.columns[-1] == I.CORRUPT
+
+
+def test_ingestion_gates_leave_the_target_alone(spark, tmp_path, loans):
+    df, contract, rows = loans
+    raw, out = _loans_csv(tmp_path / "raw", rows), str(tmp_path / "out")
+    stale = I.fingerprint_table({"bureau": df}).withColumn("fingerprint", F.lit("0"))
     with pytest.raises(I.GateError, match="changed"):
-        I.ingest(spark, {"bureau": str(raw)}, str(tmp_path / "out2"), columns, sizes, recorded=stale)
-    raw.write_text("SK_ID_BUREAU,v\n1,9\n")
-    with pytest.raises(I.GateError, match="validation"):
-        I.ingest(spark, {"bureau": str(raw)}, str(tmp_path / "out3"), columns, sizes)
-    assert not (tmp_path / "out2").exists() and not (tmp_path / "out3").exists()
+        I.ingest(spark, {"bureau": raw}, out, *contract, recorded=stale)
+    assert not (tmp_path / "out").exists()
+    I.ingest(spark, {"bureau": raw}, out, *contract)
+    before = T.content_fingerprint(spark.read.parquet(f"{out}/bureau")).first()
+    for bad, check in ((rows[:10], "row_count"), ([(1, 1.0, "")] * 50, "uniqueness"), ([(i, "x" if i == 7 else v, n) for i, v, n in rows], "row_format")):
+        with pytest.raises(I.GateError, match="validation"):
+            I.ingest(spark, {"bureau": _loans_csv(tmp_path / f"raw-{check}", bad)}, out, *contract)
+        assert check in {r["check"] for r in T.read_violations(spark, f"{out}-violations").collect()}
+        assert T.content_fingerprint(spark.read.parquet(f"{out}/bureau")).first() == before
 
 
 def test_sinks_and_models_round_trip(spark, tmp_path):

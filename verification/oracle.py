@@ -568,3 +568,10 @@ def _fingerprint(table: str) -> str:
 
 ORACLE["content_fingerprint"] = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", * FROM ({_fingerprint(t)})" for t in _COLUMNS)
 ORACLE["file_fingerprint"] = _fingerprint("orders")
+
+ORACLE["ingest_tables"] = " UNION ALL ".join(
+    f"SELECT CAST({run} AS INTEGER) AS run, '{t}' AS \"table\", rows, CAST({len(_COLUMNS[t].split())} AS INTEGER) AS cols, 'utf-8' AS encoding, 0::BIGINT AS malformed,"
+    f" fingerprint AS input_fingerprint, fingerprint AS output_fingerprint, {'true' if run == 2 else 'false'} AS overwrote, true AS has_bytes, true AS has_input FROM ({_fingerprint(t)})"
+    for run in (1, 2)
+    for t in ("customer", "orders")
+)

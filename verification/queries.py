@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from lendframe.operators import models as X
 from lendframe.operators import profile as P
 from lendframe.operators import rollups as R
 from lendframe.operators import splits as S
+from lendframe.session import ensure_checkpoint_dir
 from lendframe.sources import ingest as I
 from lendframe.sources import tables as T
 from verification import roles
@@ -397,12 +399,12 @@ def _populations(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def psi(spark: SparkSession, d: str) -> DataFrame:
-    return digits(D.psi(D.value_counts(D.both_sides(*_populations(spark, d), DRIFT_FEATURES))), {"psi": 9})
+    return digits(D.psi(D.Sides(*_populations(spark, d), DRIFT_FEATURES)), {"psi": 9})
 
 
 @query
 def ks_two_sample(spark: SparkSession, d: str) -> DataFrame:
-    return digits(D.ks_two_sample(D.value_counts(D.both_sides(*_populations(spark, d), DRIFT_FEATURES))), {"ks": 9})
+    return digits(D.ks_two_sample(D.Sides(*_populations(spark, d), DRIFT_FEATURES)), {"ks": 9})
 
 
 def _drift_table(spark: SparkSession, d: str) -> DataFrame:
@@ -740,3 +742,19 @@ def content_fingerprint(spark: SparkSession, d: str) -> DataFrame:
 @query
 def file_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return T.file_fingerprints(roles.table(spark, d, "orders")).select("rows", "fingerprint")
+
+
+@query
+def ingest_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Two tables written as CSV and ingested twice by contracts derived from them: the second run replaces what the first published."""
+    root = f"{ensure_checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    tables = {n: roles.table(spark, d, n) for n in ("customer", "orders")}
+    contracts = K.derive_contracts(tables, {"customer": "c_custkey", "orders": "o_orderkey"})
+    joins = K.derive_joins(tables, [("orders", "o_custkey", "customer", "c_custkey")])
+    paths = {n: T.write_csv(df, f"{root}/raw/{n}") for n, df in tables.items()}
+    recorded = I.fingerprint_table(tables)
+    first = I.ingest(spark, paths, f"{root}/interim", *contracts, joins, recorded)
+    again = I.ingest(spark, paths, f"{root}/interim", *contracts, joins, recorded)
+    run = first.withColumn("run", F.lit(1)).unionByName(again.withColumn("run", F.lit(2)))
+    facts = ("run", "table", "rows", "cols", "encoding", "malformed", "input_fingerprint", "output_fingerprint", "overwrote")
+    return run.select(*facts, (F.col("size_bytes") > 0).alias("has_bytes"), (F.col("input_bytes") > 0).alias("has_input"))
