@@ -1,12 +1,12 @@
 """Exact order statistics of many columns from counts of value ranges.
 
-A wide scan counts, for every column at once, how many rows fall into each of BUCKETS ranges; the ranges are cut by an order-preserving
-function of the value, so a few thousand counts per column and task are all that is shuffled, whatever the number of rows. Counts over
-the lower ranges give the exact rank at each range's ends, hence the one range that holds a wanted rank. Only such ranges are looked
-into further: cut into BUCKETS again while they hold more than OPEN rows of different values, and read value by value at the end.
-So no cell of the table becomes a shuffled row unless it lies in a range that decides a result.
+One wide scan counts, for every column at once, how many rows fall into each range of a first digit, an order-preserving function of
+the value; some thousand counts per column and task are all that is shuffled, whatever the number of rows. Counts over the lower ranges
+give the exact rank at each range's ends, hence the one range that holds a wanted rank. Only such ranges are looked into by another
+scan: cut into PARTS while they hold more than OPEN rows of different values, and read value by value at the end. So no cell of the
+table becomes a shuffled row unless it lies in a range that decides a result.
 
-The first cut is logarithmic in the distance from zero, so that columns spanning many magnitudes are told apart too; later cuts are
+The first digit is logarithmic in the distance from zero, so it tells magnitudes apart without knowing the column; later digits are
 linear between the smallest and the largest value of their range. Both ends of a range fall into different parts of it, so every
 cut makes progress, and equal values are never cut: a value that half of all rows share is one count.
 """
@@ -16,22 +16,25 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from lendframe.functions.sizing import step
 from lendframe.session import staged
 
-BUCKETS = 2048
+#: Values of the first digit for each sign; neighbours differ by 0.3 % beyond NEAR, below it the ranges are of equal width.
+DIGITS, REACH, NEAR = 1 << 18, 740.0, 1e-9
+PARTS = 2048
 OPEN = 4096
 INF = float("inf")
 
 
 @dataclass(frozen=True)
 class Range:
-    """Rows of a column from `low` to `high`, both included: counts per measure, and those of all smaller values."""
+    """Rows of a column from `low` to `high`, both included, all of one first digit: counts per measure, and those of all smaller values."""
 
+    digit: int
     low: float
     high: float
     counts: tuple[int, ...]
@@ -75,113 +78,77 @@ def interpolated(low: float, high: float, part: float) -> float:
     return high - gap * (1 - part) if part >= 0.5 else low + gap * part
 
 
-def _first_cut(least: float | None, most: float | None, tiny: float | None) -> Callable[[Column], Column]:
-    """Bucket of a value: 0 for -inf, then the finite ones, then +inf and NaN."""
+def first_digit(x: Column) -> Column:
+    """Whole number that never falls as the value rises; infinities and NaN have digits of their own, null has none."""
+    scaled = F.signum(x) * F.log1p(F.abs(x) / NEAR) * (DIGITS / REACH)
+    finite = F.floor(F.greatest(F.lit(-float(DIGITS)), F.least(F.lit(float(DIGITS)), scaled))).cast("int")
+    return F.when(F.isnan(x), DIGITS + 2).when(x == INF, DIGITS + 1).when(x == -INF, -DIGITS - 1).when(x.isNotNull(), finite)
 
-    def scale(x: Column) -> Column:
-        return F.signum(x) * F.log1p(F.abs(x) / F.lit(tiny))
 
-    def place(x: Column) -> Column:
-        inner = F.lit(1)
-        if tiny is not None and most > least:
-            ends = [math.copysign(math.log1p(min(abs(v) / tiny, 1.7e308)), v) for v in (least, most)]
-            at = F.floor((scale(x) - F.lit(ends[0])) * F.lit(BUCKETS / (ends[1] - ends[0])))
-            inner = F.lit(1) + F.greatest(F.lit(0), F.least(F.lit(BUCKETS - 1), at)).cast("int")
-        odd = F.when(F.isnan(x), BUCKETS + 2).when(x == INF, BUCKETS + 1).when(x == -INF, 0)
-        return F.when(x.isNotNull(), odd.otherwise(inner))
-
-    return place
-
-
-def _cut_again(ranges: Sequence[Range], parts: int) -> Callable[[Column], Column]:
-    """Number of the range times `parts`, plus the part of it that a value falls into; null outside all ranges. Ranges rise."""
-
-    def inside(x: Column, i: int) -> Column:
-        r = ranges[i]
-        part = F.lit(0)
-        if parts > 1:
-            share = (x / 2 - F.lit(r.low / 2)) / F.lit(r.high / 2 - r.low / 2)
-            part = F.least(F.lit(parts - 1), F.floor(share * F.lit(float(parts)))).cast("int")
-        return F.when(x <= F.lit(r.high), F.lit(i * parts) + part)
-
-    return lambda x: step(x, [r.low for r in ranges], [F.lit(None).cast("int"), *[inside(x, i) for i in range(len(ranges))]])
-
-
-def counted(df: DataFrame, places: Mapping[str, Callable[[Column], Column]], measures: Sequence[str], values: bool = False, batch: int = 100) -> DataFrame:
-    """(feature, at, measures..., low, high): rows per place; with `values` also per value, which then is low and high."""
-    names, parts = list(places), []
+def unpivoted(df: DataFrame, names: Sequence[str], measures: Sequence[str], batch: int = 100) -> DataFrame:
+    """(measures..., feature, value), for aggregation within the scan; wide tables go in column batches."""
+    parts = []
     for start in range(0, len(names), batch):
         chunk = names[start : start + batch]
-        cells = []
-        for n in chunk:
-            x = F.col(f"`{n}`").cast("double")
-            x = F.when(x == 0, F.lit(0.0)).otherwise(x)  # one zero
-            cells.append(F.struct(places[n](x).alias("at"), x.alias("v")).alias(n))
-        wide = df.select(*measures, *cells)
-        parts.append(wide.unpivot(list(measures), chunk, "feature", "cell").where("cell.at IS NOT NULL"))
+        wide = df.select(*measures, *[F.col(f"`{n}`").cast("double").alias(n) for n in chunk])
+        parts.append(wide.unpivot(list(measures), chunk, "feature", "value"))
     long = parts[0]
     for part in parts[1:]:
         long = long.unionByName(part)
-    by = ["feature", F.col("cell.at").alias("at"), *([F.col("cell.v").alias("v")] if values else [])]
-    ends = (F.col("v"), F.col("v")) if values else (F.min("cell.v"), F.max("cell.v"))
-    sums = long.groupBy(*by).agg(*[F.sum(m).alias(m) for m in measures], *([] if values else [ends[0].alias("low"), ends[1].alias("high")]))
-    return sums.withColumns({"low": ends[0], "high": ends[1]}).drop("v") if values else sums
+    return long.withColumn("value", F.when(F.col("value") == 0, F.lit(0.0)).otherwise(F.col("value")))  # one zero
 
 
 class Distributions:
-    """Counts of value ranges of numeric columns. `measures` are columns of df that count a row: 1 or 0, for a side of a comparison."""
-
-    def __init__(self, df: DataFrame, names: Iterable[str], measures: Sequence[str], also: Mapping[str, Callable[[Column], Column]] = {}):
-        """`also` are further aggregates of each column, taken by the same pass that finds the ends; see `ends`."""
-        self.df, self.names, self.measures = df, list(names), list(measures)
-        self.spark = df.sparkSession
-
-        def finite(c: Column) -> Column:
-            c = c.cast("double")
-            return F.when(F.abs(c) < INF, c)
-
-        found = {
-            "least": lambda c: F.min(finite(c)),
-            "most": lambda c: F.max(finite(c)),
-            "tiny": lambda c: F.min(F.when(c != 0, F.abs(finite(c)))),
-        }
-        self.ends = {r["feature"]: r for r in per_column(df, self.names, {**found, **also}).collect()}
-        cuts = {n: _first_cut(r["least"], r["most"], r["tiny"]) for n, r in self.ends.items()}
-        self.first = staged(counted(df, cuts, self.measures, False))
-
-    def totals(self) -> dict[str, tuple[int, ...]]:
-        """Rows with a value, per measure."""
-        rows = self.first.groupBy("feature").agg(*[F.sum(m).alias(m) for m in self.measures]).collect()
-        return {r["feature"]: tuple(r[m] for m in self.measures) for r in rows}
-
-    def _with_before(self, counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counts of value ranges of numeric columns. `measures` are columns of df that count a row: 1 or 0, for a side of a comparison.
+
+    The first scan also takes, for each column and measure, the rows with a value, all rows, and the sum: see `facts`.
+    """
+
+    def __init__(self, df: DataFrame, names: Iterable[str], measures: Sequence[str]):
+        self.names, self.measures, self.spark = list(names), list(measures), df.sparkSession
+        self.cells = unpivoted(df, self.names, self.measures).withColumn("digit", first_digit(F.col("value")))
+        sums = [F.sum(F.col("value") * F.col(m)).alias(f"{m}_sum") for m in self.measures]
+        counts = self.cells.groupBy("feature", "digit").agg(*[F.sum(m).alias(m) for m in self.measures], *sums, F.min("value").alias("low"), F.max("value").alias("high"))
+        self.first = staged(counts)
+
+    @cached_property
+    def facts(self) -> dict[str, Row]:
+        """Per column and measure m: m (rows with a value), m_rows (all rows), m_sum."""
+        known = F.col("digit").isNotNull()
+        per = [x for m in self.measures for x in (F.coalesce(F.sum(F.when(known, F.col(m))), F.lit(0)).alias(m), F.sum(m).alias(f"{m}_rows"), F.sum(f"{m}_sum").alias(f"{m}_sum"))]
+        return {r["feature"]: r for r in self.first.groupBy("feature").agg(*per).collect()}
+
+    def _with_before(self, counts: DataFrame, by: Sequence[str], order: str) -> DataFrame:
         """Adds the counts of all smaller ranges: `<measure>_before`."""
-        w = Window.partitionBy(*by).orderBy("at", "low").rowsBetween(Window.unboundedPreceding, -1)
+        w = Window.partitionBy(*by).orderBy(order, "low").rowsBetween(Window.unboundedPreceding, -1)
         return counts.withColumns({f"{m}_before": F.coalesce(F.sum(m).over(w), F.lit(0)) for m in self.measures})
 
-    def _known(self, known: Mapping[str, Sequence[Range]]) -> DataFrame:
-        """One row for each range that is looked into: feature, number, counts below it."""
-        rows = [(n, i, *map(int, r.before)) for n, ranges in known.items() for i, r in enumerate(ranges)]
-        return self.spark.createDataFrame(rows, "feature string, number int, " + ", ".join(f"{m}_start bigint" for m in self.measures))
-
     def _looked_into(self, known: Mapping[str, Sequence[Range]], parts: int) -> DataFrame:
-        """Counts of the parts (one part: of the values) of given ranges, with the counts below each."""
-        counts = counted(self.df, {n: _cut_again(r, parts) for n, r in known.items()}, self.measures, parts == 1)
-        counts = counts.withColumn("number", F.floor(F.col("at") / parts).cast("int"))
-        inner = self._with_before(counts, ["feature", "number"]).join(F.broadcast(self._known(known)), ["feature", "number"])
+        """Counts of the parts (one part: of the values) of given ranges, with the counts below each.
+
+        The ranges are as few as the results that they decide, so they are sent to the scan.
+        """
+        rows = [(n, i, r.digit, r.low, r.high, *map(int, r.before)) for n, ranges in known.items() for i, r in enumerate(ranges)]
+        starts = [f"{m}_start" for m in self.measures]
+        wanted = self.spark.createDataFrame(rows, "feature string, number int, digit int, _low double, _high double, " + ", ".join(f"{s} bigint" for s in starts))
+        inside = self.cells.join(F.broadcast(wanted), ["feature", "digit"]).where("value BETWEEN _low AND _high")
+        share = (F.col("value") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
+        part = F.least(F.lit(parts - 1), F.floor(share * float(parts))).cast("int") if parts > 1 else F.col("value")
+        by = ["feature", "digit", "number", *starts]
+        counts = inside.groupBy(*by, part.alias("part")).agg(*[F.sum(m).alias(m) for m in self.measures], F.min("value").alias("low"), F.max("value").alias("high"))
+        inner = self._with_before(counts, ["feature", "number"], "part")
         return inner.withColumns({f"{m}_before": F.col(f"{m}_before") + F.col(f"{m}_start") for m in self.measures})
 
-    def _ranges(self, counts: DataFrame) -> dict[str, list[Range]]:
-        """Collected ranges, which are as few as the results they decide."""
+    def _ranges(self, counts: DataFrame, keep: Callable[[Row], bool]) -> dict[str, list[Range]]:
         out: dict[str, list[Range]] = {}
-        for r in counts.collect():
-            made = Range(r["low"], r["high"], tuple(r[m] for m in self.measures), tuple(r[f"{m}_before"] for m in self.measures))
+        for r in filter(keep, counts.collect()):
+            made = Range(r["digit"], r["low"], r["high"], tuple(r[m] for m in self.measures), tuple(r[f"{m}_before"] for m in self.measures))
             out.setdefault(r["feature"], []).append(made)
-        return {n: sorted(ranges, key=lambda r: (math.isnan(r.low), r.low)) for n, ranges in out.items()}
+        return out
 
-    def _narrowed(self, pick: Callable[[DataFrame], DataFrame]) -> dict[str, list[Range]]:
+    def _narrowed(self, pick: Callable[[DataFrame], DataFrame], keep: Callable[[Row], bool]) -> dict[str, list[Range]]:
         """Ranges that `pick` keeps, cut until they hold one value each or at most OPEN rows, then value by value."""
-        current = self._ranges(pick(self._with_before(self.first, ["feature"])))
+        current = self._ranges(pick(self._with_before(self.first.where("digit IS NOT NULL"), ["feature"], "digit")), keep)
         done: dict[str, list[Range]] = {n: [] for n in current}
         values: dict[str, list[Range]] = {}
         while current:
@@ -190,55 +157,76 @@ class Distributions:
                 for r in ranges:
                     where = done if r.single else again if sum(r.counts) > OPEN and r.divisible else values
                     where.setdefault(n, []).append(r)
-            current = self._ranges(pick(self._looked_into(again, BUCKETS))) if again else {}
+            current = self._ranges(pick(self._looked_into(again, PARTS)), keep) if again else {}
         if values:
-            for n, ranges in self._ranges(pick(self._looked_into({n: sorted(r, key=lambda x: x.low) for n, r in values.items()}, 1))).items():
-                done[n] += ranges
+            for n, ranges in self._ranges(pick(self._looked_into(values, 1)), keep).items():
+                done.setdefault(n, []).extend(ranges)
         return done
 
-    def quantiles(self, measure: str, probs: Sequence[float]) -> dict[str, list[float]]:
-        """Exact quantiles with linear interpolation of the rows that a measure counts; columns without any are left out."""
-        i = self.measures.index(measure)
-        totals = {n: t[i] for n, t in self.totals().items() if t[i]}
+    def decide(self, quantiles: tuple[str, Sequence[float]] | None = None, gap: tuple[str, str] | None = None) -> tuple[dict[str, list[float]], dict[str, float]]:
+        """Both in the same scans: exact quantiles (measure, probs) with linear interpolation, for columns with rows of that measure;
+        and the largest gap between the empirical distributions of two measures (two-sample KS), for columns with rows of either.
+
+        For the gap a range is looked into only if the gap inside it could exceed the largest one at the end of any range so far.
+        """
+        measure, probs = quantiles or (self.measures[0], [])
+        a, b = gap or (self.measures[0], self.measures[0])
+        totals = {n: r[measure] for n, r in self.facts.items() if r[measure] and probs}
         spots = {n: [(total - 1) * p for p in probs] for n, total in totals.items()}
+        best = {n: 0.0 for n, r in self.facts.items() if gap and r[a] and r[b]}
         ranks = {n: sorted({min(math.floor(s) + side, totals[n] - 1) for s in at for side in (0, 1)}) for n, at in spots.items()}
-        wanted = self.spark.createDataFrame(list(ranks.items()) or [("", [0])], "feature string, ranks array<bigint>")
+
         start, size = F.col(f"{measure}_before"), F.col(measure)
+        holds = F.exists("_ranks", lambda r: (r >= start) & (r < start + size))
+        ends = [(F.col(f"{m}_before") / F.col(f"_n_{s}"), (F.col(f"{m}_before") + F.col(m)) / F.col(f"_n_{s}")) for s, m in (("a", a), ("b", b))]
+        (low_a, high_a), (low_b, high_b) = ends
+        bound = F.greatest(F.abs(high_a - low_b), F.abs(low_a - high_b))
+        w = Window.partitionBy("feature")
 
         def pick(counts: DataFrame) -> DataFrame:
-            hit = F.exists("ranks", lambda r: (r >= start) & (r < start + size))
-            return counts.join(F.broadcast(wanted), "feature").where(hit)
+            wanted = [(n, ranks.get(n, []), *((r[a], r[b], best[n]) if n in best else (None, None, None))) for n, r in self.facts.items()]
+            known = self.spark.createDataFrame(wanted, "feature string, _ranks array<bigint>, _n_a bigint, _n_b bigint, _known double")
+            rows = counts.join(F.broadcast(known), "feature").withColumn("_best", F.greatest("_known", F.max(F.abs(high_a - high_b)).over(w)))
+            exceeds = F.coalesce((bound > F.col("_best")) & (F.col("low") < F.col("high")), F.lit(False))
+            first = F.row_number().over(w.orderBy("digit", "low")) == 1  # tells the gap of a column none of whose ranges stays
+            return rows.withColumns({"_open": holds | exceeds, "_first": first}).where("_open OR _first")
+
+        def keep(row: Row) -> bool:
+            if row["_best"] is not None:
+                best[row["feature"]] = max(best[row["feature"]], row["_best"])
+            return row["_open"]
 
-        found = self._narrowed(pick)
+        i = self.measures.index(measure)
+        found = self._narrowed(pick, keep) if totals or best else {}
         out = {}
         for n, at in spots.items():
-            held = [r for r in found.get(n, []) if r.counts[i]]
+            held = [r for r in found[n] if r.counts[i]]
 
             def value(rank: int) -> float:
                 return next(r.low for r in held if r.before[i] <= rank < r.before[i] + r.counts[i])
 
             out[n] = [interpolated(value(math.floor(s)), value(min(math.floor(s) + 1, totals[n] - 1)), s - math.floor(s)) for s in at]
-        return out
+        return out, best
 
-    def largest_gaps(self, a: str, b: str) -> dict[str, float]:
-        """Largest gap between the empirical distributions of two measures (two-sample KS), exact; 0 where a side is empty.
+    def below(self, points: Mapping[str, Sequence[tuple[float, bool]]]) -> dict[str, list[tuple[int, ...]]]:
+        """Rows per measure below each point (value, closed) of a column, equal ones included where closed.
 
-        A range is looked into only if the gap inside it could exceed the largest one at the end of any range so far.
+        Ranges of smaller first digits are added up; only cells of a point's own digit are compared with it.
         """
-        i, j = self.measures.index(a), self.measures.index(b)
-        totals = {n: t for n, t in self.totals().items() if t[i] and t[j]}
-        best = dict.fromkeys(totals, 0.0)
-        sizes = self.spark.createDataFrame([(n, t[i], t[j]) for n, t in totals.items()] or [("", 1, 1)], "feature string, n_a bigint, n_b bigint")
-        low_a, low_b = F.col(f"{a}_before") / F.col("n_a"), F.col(f"{b}_before") / F.col("n_b")
-        high_a, high_b = (F.col(f"{a}_before") + F.col(a)) / F.col("n_a"), (F.col(f"{b}_before") + F.col(b)) / F.col("n_b")
-        bound = F.greatest(F.abs(high_a - low_b), F.abs(low_a - high_b))
+        rows = [(n, i, float(x), closed) for n, at in points.items() for i, (x, closed) in enumerate(at)]
+        if not rows:
+            return {}
+        wanted = F.broadcast(self.spark.createDataFrame(rows, "feature string, _i int, _x double, _closed boolean").withColumn("_digit", first_digit(F.col("_x"))))
+        under = self.first.join(wanted, "feature").where("digit < _digit").select("feature", "_i", *self.measures)
+        same = self.cells.join(wanted.withColumnRenamed("_digit", "digit"), ["feature", "digit"]).where("value < _x OR _closed AND value = _x").select("feature", "_i", *self.measures)
+        counts = [x.groupBy("feature", "_i").agg(*[F.sum(m).alias(m) for m in self.measures]) for x in (under, same)]
+        out = {n: [(0,) * len(self.measures)] * len(at) for n, at in points.items()}
+        for r in counts[0].unionByName(counts[1]).collect():
+            out[r["feature"]][r["_i"]] = tuple(x + r[m] for x, m in zip(out[r["feature"]][r["_i"]], self.measures))
+        return out
 
-        def pick(counts: DataFrame) -> DataFrame:
-            rows = staged(counts.join(F.broadcast(sizes), "feature").withColumns({"gap": F.abs(high_a - high_b), "bound": bound}))
-            for r in rows.groupBy("feature").agg(F.max("gap").alias("gap")).collect():
-                best[r["feature"]] = max(best[r["feature"]], r["gap"])
-            known = self.spark.createDataFrame(list(best.items()) or [("", 0.0)], "feature string, best double")
-            return rows.join(F.broadcast(known), "feature").where((F.col("bound") > F.col("best")) & (F.col("low") < F.col("high")))
-
-        self._narrowed(pick)
-        return best
+    def quantiles(self, measure: str, probs: Sequence[float]) -> dict[str, list[float]]:
+        return self.decide(quantiles=(measure, probs))[0]
+
+    def largest_gaps(self, a: str, b: str) -> dict[str, float]:
+        return self.decide(gap=(a, b))[1]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendframe.functions import ordered as O
-from lendframe.functions.radix import Distributions, counted
-from lendframe.functions.sizing import step
+from lendframe.functions.radix import Distributions
 from lendframe.operators import metrics as M
 
 # Alert levels.
@@ -21,6 +21,7 @@ INTERCEPT_LIMIT = 0.15
 AUC_DROP_LIMIT = 0.03
 TOP_DRIFTED = 20
 SHARE_FLOOR = 1e-6
+DECILES = 10
 #: Columns that count a row for the reference or the monitoring side.
 REF, MON = "_ref", "_mon"
 
@@ -41,12 +42,12 @@ class Sides:
 
         self.rows = side(reference, 1).unionByName(side(monitoring, 0))
 
-        def known(mark: str):
-            return lambda c: F.count_if((F.col(mark) == 1) & c.isNotNull())
+        self.distributions = Distributions(self.rows, self.features, [REF, MON])
 
-        also = {"n_ref": known(REF), "n_mon": known(MON), "rows_ref": lambda c: F.sum(REF), "rows_mon": lambda c: F.sum(MON)}
-        also |= {"mean_ref": lambda c: F.avg(F.when(F.col(REF) == 1, c)), "mean_mon": lambda c: F.avg(F.when(F.col(MON) == 1, c))}
-        self.distributions = Distributions(self.rows, self.features, [REF, MON], also)
+    @cached_property
+    def decided(self) -> tuple[dict[str, list[float]], dict[str, float]]:
+        """Reference deciles and largest gaps, from the same scans."""
+        return self.distributions.decide((REF, O.quantile_probs(DECILES)), (REF, MON))
 
     def table(self, values: Mapping[str, Sequence], names: str) -> DataFrame:
         return self.spark.createDataFrame([(f, *values[f]) for f in self.features if f in values], f"feature string, {names}")
@@ -56,45 +57,30 @@ def severity(psi: Column) -> Column:
     return F.when(psi < PSI_STABLE, "stable").when(psi < PSI_MODERATE, "moderate").otherwise("material")
 
 
-def bin_counts(sides: Sides, edges: Mapping[str, Sequence[float]]) -> dict[str, dict[int, tuple[int, int]]]:
-    """Rows of either side in each bin, bins closed on the left and the last one on both sides; values outside are in none."""
-
-    def place(cuts: Sequence[float]):
-        # no bin below the first edge, and none above the last; the last edge itself is in the last bin
-        inner = [F.lit(i) for i in range(len(cuts) - 1)]
-        at = lambda x: step(x, list(cuts), [F.lit(None).cast("int"), *inner, F.lit(None).cast("int")])
-        return lambda x: F.when(x == cuts[-1], len(cuts) - 2).otherwise(at(x))
-
-    out: dict[str, dict[int, tuple[int, int]]] = {f: {} for f in edges}
-    if edges:
-        for r in counted(sides.rows, {f: place(c) for f, c in edges.items()}, [REF, MON]).collect():
-            out[r["feature"]][r["at"]] = (r[REF], r[MON])
-    return out
-
-
-def psi_values(sides: Sides, bins: int = 10) -> dict[str, float]:
+def psi_values(sides: Sides) -> dict[str, float]:
     """PSI of each feature over the distinct reference deciles; 0 where a side is empty or all values are equal.
 
-    Monitoring values outside the edges fall into no bin but stay in the denominator. A bin without any row adds nothing.
+    Bins are closed on the left, the last one on both sides. Monitoring values outside the edges fall into no bin but stay in the
+    denominator.
     """
-    totals = sides.distributions.totals()
-    found = sides.distributions.quantiles(REF, O.quantile_probs(bins))
-    edges = {f: sorted(set(e)) for f, e in found.items() if all(totals[f])}
+    facts = sides.distributions.facts
+    edges = {f: sorted(set(e)) for f, e in sides.decided[0].items() if facts[f][MON]}
+    edges = {f: e for f, e in edges.items() if len(e) > 1}
     out = dict.fromkeys(sides.features, 0.0)
-    for f, cells in bin_counts(sides, {f: e for f, e in edges.items() if len(e) > 1}).items():
-        for _, (ref, mon) in sorted(cells.items()):
-            r, m = max(SHARE_FLOOR, ref / totals[f][0]), max(SHARE_FLOOR, mon / totals[f][1])
+    for f, counts in sides.distributions.below({f: [(x, x == e[-1]) for x in e] for f, e in edges.items()}).items():
+        for low, high in zip(counts, counts[1:]):
+            r, m = (max(SHARE_FLOOR, (high[i] - low[i]) / facts[f][side]) for i, side in enumerate((REF, MON)))
             out[f] += (r - m) * math.log(r / m)
     return out
 
 
-def psi(sides: Sides, bins: int = 10) -> DataFrame:
+def psi(sides: Sides) -> DataFrame:
     """Population stability index per feature (G1)."""
-    return sides.table({f: (v,) for f, v in psi_values(sides, bins).items()}, "psi double")
+    return sides.table({f: (v,) for f, v in psi_values(sides).items()}, "psi double")
 
 
 def ks_values(sides: Sides) -> dict[str, float]:
-    return dict.fromkeys(sides.features, 0.0) | sides.distributions.largest_gaps(REF, MON)
+    return dict.fromkeys(sides.features, 0.0) | sides.decided[1]
 
 
 def ks_two_sample(sides: Sides) -> DataFrame:
@@ -103,15 +89,15 @@ def ks_two_sample(sides: Sides) -> DataFrame:
 
 
 def moments(sides: Sides) -> dict[str, tuple]:
-    """Mean and null rate per feature and side (G3), from the pass that finds the ends of the value ranges."""
+    """Mean and null rate per feature and side (G3), from the scan that counts the value ranges."""
 
-    def rate(nulls: int, rows: int) -> float | None:
-        return nulls / rows if rows else None
+    def of(r, m: str) -> tuple:
+        return r[f"{m}_sum"] / r[m] if r[m] else None, (r[f"{m}_rows"] - r[m]) / r[f"{m}_rows"] if r[f"{m}_rows"] else None
 
     out = {}
-    for f, r in sides.distributions.ends.items():
-        rows = r["rows_ref"] or 0, r["rows_mon"] or 0
-        out[f] = (r["mean_ref"], r["mean_mon"], rate(rows[0] - r["n_ref"], rows[0]), rate(rows[1] - r["n_mon"], rows[1]))
+    for f, r in sides.distributions.facts.items():
+        (mean_ref, null_ref), (mean_mon, null_mon) = of(r, REF), of(r, MON)
+        out[f] = (mean_ref, mean_mon, null_ref, null_mon)
     return out
 
 
