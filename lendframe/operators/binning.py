@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendframe.functions.radix import Distributions
-from lendframe.functions.sizing import lookups, step
+from lendframe.functions.sizing import Lookup, attach_lookups, lookups, step
 from lendframe.operators.encode import feature_types
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
@@ -180,7 +180,7 @@ class Binning:
     """All fitted bins, category scores, and what was left out."""
 
     bins: dict[str, Bins]
-    scores: Mapping[str, DataFrame]
+    scores: Mapping[str, Lookup]
     categorical: list[str]
     skipped: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
@@ -216,15 +216,14 @@ def category_scores(dev: DataFrame, columns: Sequence[str], target: str = TARGET
     return long.groupBy("feature", "category").agg(F.avg(F.col("_y").cast("double")).alias("score"))
 
 
-def score_categories(df: DataFrame, scores: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+def score_categories(df: DataFrame, scores: Mapping[str, Lookup], columns: Sequence[str]) -> DataFrame:
     """Replace categories by their score; null stays null, unseen becomes UNSEEN."""
-    out = df
-    for name in columns:
-        table = scores[name].select(F.col("category").alias("_c"), F.col("score").alias("_s"))
-        joined = out.join(table, F.col(f"`{name}`").cast("string") == F.col("_c"), "left")
-        value = F.when(F.col(f"`{name}`").isNotNull(), F.coalesce("_s", F.lit(UNSEEN)))
-        out = joined.withColumn(name, value).drop("_c", "_s")
-    return out
+    found = attach_lookups(df, {c: scores[c] for c in columns}, "category", "score")
+
+    def value(c: str) -> Column:
+        return F.when(F.col(f"`{c}`").isNotNull(), F.coalesce(F.col(f"`_found_{c}`"), F.lit(UNSEEN))).alias(c)
+
+    return found.select(*[value(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
 
 
 def merge_bins(
@@ -236,45 +235,64 @@ def merge_bins(
     min_share: float = MIN_BIN_SHARE,
     min_events: int = MIN_BIN_EVENTS,
 ) -> tuple[list[tuple[int, int]], list[float]]:
-    """Merge neighbouring pre-bins until size, event, trend and bin-count rules hold (W1 step 3, W2).
+    """The division of the pre-bins into neighbouring bins with the most information (W1 step 3, W2).
 
-    Direction 0 tries both trends and keeps the one with more information.
+    Every bin has its share of all rows, its events and at least one other row; there are at most max_bins, and event rates rise or
+    fall strictly (direction 0: whichever tells more). Information adds up over bins, so the best division that ends with a given bin is
+    that bin after the best one that ends with a smaller (or larger) rate before it: dynamic programming over (bins, last bin). With
+    equal information the fewer bins win, then the earlier cuts. Where no division keeps the rules, all rows are one bin.
     """
     if direction == 0:
         tries = [merge_bins(counts, cuts, total, d, max_bins, min_share, min_events) for d in (1, -1)]
         return max(tries, key=lambda t: _information(t[0]))
-    cells, edges = [list(c) for c in counts], list(cuts)
-
-    def join(i: int) -> None:
-        cells[i] = [cells[i][0] + cells[i + 1][0], cells[i][1] + cells[i + 1][1]]
-        del cells[i + 1], edges[i]
-
-    def rate(i: int) -> float:
-        return cells[i][1] / cells[i][0] if cells[i][0] else 0.0
-
-    def straighten() -> None:
-        i = 0
-        while i < len(cells) - 1:
-            if cells[i][0] == 0 or cells[i + 1][0] == 0 or (rate(i + 1) - rate(i)) * direction <= 0:
-                join(i)
-                i = max(i - 1, 0)
-            else:
-                i += 1
-
-    straighten()
-    while len(cells) > 1:
-        small = [i for i, (n, e) in enumerate(cells) if n < min_share * total or e < min_events or e == n]
-        if small:
-            i = min(small, key=lambda j: cells[j][0])
-            right = i + 1 < len(cells) and (i == 0 or abs(rate(i + 1) - rate(i)) <= abs(rate(i) - rate(i - 1)))
-            join(i if right else i - 1)
-        elif len(cells) > max_bins:
-            losses = [_information(cells) - _information(cells[:i] + [[cells[i][0] + cells[i + 1][0], cells[i][1] + cells[i + 1][1]]] + cells[i + 2 :]) for i in range(len(cells) - 1)]
-            join(losses.index(min(losses)))
-        else:
-            break
-        straighten()
-    return [(n, e) for n, e in cells], edges
+    size = len(counts)
+    sums = [(0, 0)]
+    for n, e in counts:
+        sums.append((sums[-1][0] + n, sums[-1][1] + e))
+    bad_all, good_all = sums[-1][1], sums[-1][0] - sums[-1][1]
+    whole = [sums[-1]], []
+    if not bad_all or not good_all:
+        return whole
+
+    def cell(i: int, j: int) -> tuple[int, int]:
+        return sums[j][0] - sums[i][0], sums[j][1] - sums[i][1]
+
+    def fits(n: int, e: int) -> bool:
+        return n > 0 and n >= min_share * total and e >= min_events and e < n
+
+    bins = {(i, j): cell(i, j) for j in range(1, size + 1) for i in range(j) if fits(*cell(i, j))}
+    gain = {b: _cell_information(*c, bad_all, good_all) for b, c in bins.items()}
+    ending: dict[int, list[int]] = {}
+    for i, j in bins:
+        ending.setdefault(j, []).append(i)
+    best = {b: (gain[b], None) for b in bins if b[0] == 0}  # last bin: information, bin before
+    layers = [best]
+    for _ in range(1, max_bins):
+        longer = {}
+        for (i, j), (n, e) in bins.items():
+            options = []
+            for h in ending.get(i, ()):
+                if (h, i) in layers[-1]:
+                    m, f = bins[h, i]
+                    if (e * m - f * n) * direction > 0:  # the rates, compared in whole numbers
+                        options.append((layers[-1][h, i][0] + gain[i, j], (h, i)))
+            if options:
+                longer[i, j] = max(options, key=lambda o: (o[0], [-x for x in o[1]]))
+        layers.append(longer)
+    ends = [(layer[b][0], -k, -b[0], b) for k, layer in enumerate(layers) for b in layer if b[1] == size]
+    if not ends:
+        return whole
+    _, k, _, last = max(ends)
+    chain, k = [last], -k
+    while k:
+        last, k = layers[k][last][1], k - 1
+        chain.insert(0, last)
+    return [bins[b] for b in chain], [cuts[i - 1] for i, _ in chain[1:]]
+
+
+def _cell_information(n: int, e: int, bad_all: int, good_all: int) -> float:
+    g, b = max(n - e, 0.5) / good_all, max(e, 0.5) / bad_all
+    return (g - b) * math.log(g / b)
 
 
 def _information(cells: Sequence[Sequence[int]]) -> float:
@@ -282,11 +300,7 @@ def _information(cells: Sequence[Sequence[int]]) -> float:
     good_all = sum(n - e for n, e in cells)
     if not bad_all or not good_all:
         return 0.0
-    out = 0.0
-    for n, e in cells:
-        g, b = max(n - e, 0.5) / good_all, max(e, 0.5) / bad_all
-        out += (g - b) * math.log(g / b)
-    return out
+    return sum(_cell_information(n, e, bad_all, good_all) for n, e in cells)
 
 
 def fit_binning(
@@ -306,7 +320,7 @@ def fit_binning(
     skipped = [n for n in names if kinds[n] == "constant"]
     categorical = [n for n in names if kinds[n] == "categorical"]
     used = [n for n in names if n not in skipped]
-    scores: dict[str, DataFrame] = {}
+    scores: dict[str, Lookup] = {}
     ready = dev
     if categorical:
         scores = lookups(category_scores(dev, categorical, target), "feature", categorical)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lendframe.functions import columns as C
 from lendframe.functions import ordered as O
-from lendframe.functions.sizing import lookups
+from lendframe.functions.sizing import attach_lookups, lookups
 from lendframe.functions.radix import per_column
 from lendframe.operators.profile import distinct_values, low_cardinality
 
@@ -44,15 +44,10 @@ def category_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def encode_categories(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace categories by their codes; null and unseen become -1.
-
-    The code table is written once; by its size Spark broadcasts a narrow category and shuffles a wide one.
-    """
-    out = df
-    for name, lookup in lookups(codes, "feature", list(columns)).items():
-        table = lookup.select(F.col("category").alias(name), F.col("code").alias("_code"))
-        out = out.join(table, name, "left").withColumn(name, F.coalesce("_code", F.lit(-1))).drop("_code")
-    return out.select(*df.columns)
+    """Replace categories by their codes; null and unseen become -1 (B8). How a category's code table is joined depends on its size."""
+    found = attach_lookups(df, lookups(codes, "feature", list(columns)), "category", "code")
+    ready = [F.coalesce(F.col(f"`_found_{c}`"), F.lit(-1)).alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns]
+    return found.select(*ready)
 
 
 def encode_splits(train: DataFrame, *others: DataFrame) -> list[DataFrame]:

@@ -1,5 +1,7 @@
 """Binning, training, decisions, explanations; plans; streams."""
 
+import itertools
+import random
 import re
 
 import pytest
@@ -36,6 +38,31 @@ def test_merge_rules():
     assert sum(n for n, _ in cells) == 700 and sum(e for _, e in cells) == 149 and all(n >= 35 and e >= 5 for n, e in cells)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_merge_equals_exhaustive_search(seed):
+    """The division found has the information of the best of all divisions that keep the rules."""
+    rng = random.Random(seed)
+    counts = [(n := rng.choice([0, 3, 40, 100]), rng.randint(0, n) if rng.random() < 0.5 else n // (i + 2)) for i in range(rng.randint(2, 9))]
+    total, direction, max_bins, share, events = sum(n for n, _ in counts) or 1, rng.choice([-1, 0, 1]), rng.randint(1, 4), 0.1, 5
+    cuts = list(range(1, len(counts)))
+
+    def allowed(cells, d):
+        rates = [e / n if n else None for n, e in cells]
+        return len(cells) <= max_bins and all(n >= share * total and events <= e < n for n, e in cells) and all((b - a) * d > 0 for a, b in zip(rates, rates[1:]))
+
+    best = None
+    for picked in itertools.chain.from_iterable(itertools.combinations(cuts, k) for k in range(len(cuts) + 1)):
+        ends = [0, *picked, len(counts)]
+        cells = [(sum(n for n, _ in counts[a:b]), sum(e for _, e in counts[a:b])) for a, b in zip(ends, ends[1:])]
+        if any(allowed(cells, d) for d in ([direction] if direction else [1, -1])):
+            best = max(best or 0.0, B._information(cells))
+    cells, found = B.merge_bins(counts, cuts, total, direction, max_bins, share, events)
+    assert len(cells) == len(found) + 1 and [sum(x) for x in zip(*cells)] == [sum(x) for x in zip(*counts)]
+    assert B._information(cells) == pytest.approx(best or 0.0, abs=1e-12)
+    if best is None:
+        assert found == []
+
+
 def test_binning_invariants(spark, loans):
     fit = B.fit_binning(loans, directions={"a": 1, "b": 1})
     assert fit.skipped == ["k"] and set(fit.bins) == {"a", "b", "c", "e"}

@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendframe.functions import ordered as O
+from lendframe.functions import sizing
 from lendframe.operators import calibrate as G
 from lendframe.operators import drift as D
+from lendframe.operators import encode as E
 from lendframe.operators import metrics as M
 
 
@@ -183,3 +185,28 @@ def test_recommendation_rules(spark):
     for m, pct, statistical, operational in cases:
         row = M.recommendation(metrics(*m), sweep(pct)).first()
         assert (row["statistical"], row["operational"]) == (statistical, operational)
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_hot_categories(spark, monkeypatch, limit):
+    """Half of the rows in one category, a third null: the same codes either way, and no partition with the hot rows."""
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", limit)
+    kind = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 3 > 0, F.concat(F.lit("c"), (F.col("id") % 701).cast("string")))
+    df = spark.range(12_000, numPartitions=4).select(F.col("id").alias("SK_ID_CURR"), kind.alias("c"), F.lit(1).alias("x"))
+    codes = E.category_codes(df.where("SK_ID_CURR % 701 <> 5"), ["c"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = E.encode_categories(df, codes, ["c"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("BroadcastHashJoin" in plan) is (limit > 0) and ("SortMergeJoin" in plan) is (limit == 0)
+    assert max(sizes) < 1.3 * sum(sizes) / len(sizes) and len(sizes) == 4
+    rank = {r["category"]: r["code"] for r in codes.collect()}
+    want = {r["SK_ID_CURR"]: rank.get(r["c"], -1) for r in df.collect()}
+    assert {r["SK_ID_CURR"]: r["c"] for r in out.collect()} == want and out.columns == df.columns
+    heavy = sizing.heavy_values(df.select("c"), ["c"])["c"]
+    assert "hot" in heavy and len(heavy) <= 1 / sizing.SUPPORT

@@ -498,7 +498,7 @@ def corr_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def binning_fit(spark: SparkSession, d: str) -> DataFrame:
-    return B.fit_binning(_labelled(spark, d), min_events=20).table(spark)
+    return B.fit_binning(_labelled(spark, d)).table(spark)
 
 
 @query
