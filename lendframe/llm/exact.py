@@ -169,12 +169,12 @@ def mark(docs: DataFrame, is_new: Column | None = None) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns: of equal texts the one with the largest id."""
-    kept = staged(_marked(docs, None).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n_keep").alias("__copies")))
-    keyed = docs.withColumn("__digest", digest(docs["text"]))
-    both = keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha")))
-    if not kept.where("__copies > 1").isEmpty():  # rows that repeat both id and text
-        both = both.withColumn("__nth", F.row_number().over(Window.partitionBy("__sha", "__id").orderBy(F.lit(0)))).where("__nth = 1")
-    return both.select(*docs.columns)
+    kept = staged(_marked(docs, None).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), F.col("n_keep").alias("copies")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), digest(docs["text"]).alias("digest"))
+    both = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha")))
+    if not kept.where("copies > 1").isEmpty():  # rows that repeat both id and text
+        both = both.withColumn("nth", F.row_number().over(Window.partitionBy("sha", "id").orderBy(F.lit(0)))).where("nth = 1")
+    return both.select("row.*")
 
 
 def op8_exact(spark, sf_dir: str) -> DataFrame:

@@ -7,14 +7,15 @@ few darts a region and about k * (ln k + 2) in all; of those for one coordinate
 documents agree on a coordinate with the probability of their weighted Jaccard similarity. Where a coordinate got no dart,
 the time is doubled for that document.
 
-Texts that are equal (lower-cased in A to Z) are one node. Nodes that share a band of the signature form a bucket. The centres of
-a bucket are the CENTRES nodes that share bands with most others: of an original and its copies, the original. Each node is compared
-with the centre it shares most bands with, then with every centre of its buckets that is still in another component. What is still
-apart in a bucket is then compared pair by pair across components, but for pairs that cannot be alike: of a node's units of weight only those that
-also occur in another component can be in common, and that bounds its similarity to any text of a given size. Nodes that no partner is
-left for go, the units are counted anew among the others, and so on (`across`). The bound is exact, so every pair that shares a band is
-either compared or in one component or known to be below 0.8. All comparisons are exact, on whole texts. A class is a component of links of
-similarity 0.8 or more, named by its smallest doc_id.
+Texts that are equal (lower-cased in A to Z) are one node. Nodes that share a band of the signature form a bucket. The centre of
+a bucket is the node that shares bands with most others: of an original and its copies, the original. Each node is compared once, with
+the centre it shares most bands with, and buckets whose nodes are then one component are done. What is still apart in a bucket
+is compared pair by pair across components, but for pairs that cannot be alike (`across`). Two exact bounds say so. Of a node's units of
+weight only those that also occur in another component can be in common, and that bounds its similarity to any text of a given size;
+nodes that no partner is left for go, the units are counted anew among the others, and so on. And a bit of a hashed bitmap of units that one
+node sets and the other does not is a unit that they don't share. Both tests are part of the join that makes pairs, as is the test that
+components differ, so a pair that is known to be linked or known to be below 0.8 is never a row. All other pairs that share a band are
+compared, exactly, on whole texts. A class is a component of links of similarity 0.8 or more, named by its smallest doc_id.
 
 Null text counts as empty. Texts without words are only ever in a class with equal ones. Repeated rows are in one class.
 Null ids: the class has a null id only if it has no other. Extra columns are ignored. An empty table gives an empty result.
@@ -35,12 +36,12 @@ from lendframe.llm.common import BASE, ascii_lower, mix, slices, staged, table,
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 SIMILARITY = 0.8
-#: Nodes of a bucket that all its others are compared with first: those that share bands with most nodes.
-CENTRES = 5
 #: Comparisons with one node that a single task makes.
 FAN = 256
 #: The bound is tightened while a round leaves at most this share of the rows.
 FEWER = 0.9
+#: Words of 64 bits in the bitmap of a text's units.
+BITS = 32
 SLICE = 1 << 21
 
 
@@ -130,6 +131,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([cut.column("doc_id"), cut.column("node"), lists], names=["doc_id", "node", "bands"])
 
 
+def bitmaps(element: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """A bitmap of BITS * 64 bits for each text: a bit is set if a unit of weight hashes to it."""
+    place = (mix(element) >> np.uint64(20)) % np.uint64(BITS * 64)
+    out = np.zeros((count, BITS), np.uint64)
+    np.bitwise_or.at(out, (owner, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
+    return out
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
@@ -137,7 +146,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             e, owner = elements(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
             at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=high - low))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(e.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("node").slice(low, high - low), lists], names=["node", "elements"])
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(high - low + 1, dtype=np.int32) * BITS), pa.array(bitmaps(e, owner, high - low).view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(low, high - low), lists, bits], names=["node", "elements", "bits"])
 
 
 def _compare(left, right):
@@ -191,13 +201,12 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
 def across(rooted: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a < b) of nodes that share a bucket but no component, without those that are surely below SIMILARITY.
 
-    rooted: key, node, root. Texts of sizes x and y with n units in common are alike if n * (1 + 1 / SIMILARITY) >= x + y, and n is
+    rooted: key, node, root, of buckets with several roots. Texts of sizes x and y with n units in common are alike if n * (1 + 1 / SIMILARITY) >= x + y, and n is
     at most the units of either that occur in other components too. So the size and that count give a node's reach: the largest
     partner it can have. Rows whose bucket has no partner in reach of another component go, and the units of the others are counted anew.
     """
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-    rest = staged(rooted.join(open_, "key"))
-    sets = staged(texts.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_sets, "node binary, elements array<long>"))
+    rest = rooted
+    sets = staged(texts.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_sets, "node binary, elements array<long>, bits array<long>"))
     left = rest.count()
     while True:
         nodes = sets.join(rest.select("node", F.xxhash64("root").alias("r")).distinct(), "node").withColumn("id", F.xxhash64("node"))
@@ -222,13 +231,21 @@ def across(rooted: DataFrame, texts: DataFrame) -> DataFrame:
             break
     # each pair once, in the lowest of the buckets both are in; large buckets are dealt to groups of FAN
     groups = rest.groupBy("key").agg(F.ceil(F.count("*") / FAN).cast("int").alias("groups"))
-    rows = rest.join(groups, "key").join(rest.groupBy("node").agg(F.collect_list("key").alias("keys")), "node")
-    a, b = (rows.select("key", "groups", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size", "reach", "keys"))) for x in "ab")
+    per_node = rest.groupBy("node").agg(F.collect_list("key").alias("keys")).join(sets.select("node", "bits"), "node")
+    rows = rest.join(groups, "key").join(per_node, "node")
+    a, b = (rows.select("key", "groups", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size", "reach", "keys", "bits"))) for x in "ab")
     a = a.withColumn("part", F.pmod(F.xxhash64("node_a"), "groups").cast("int")).drop("groups")
     b = b.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
     fits = F.expr("node_a < node_b and root_a <> root_b and size_a <= reach_b and size_b <= reach_a")
+
+    def alone(x: str, y: str) -> Column:
+        """Units of x that y lacks, at least."""
+        return F.aggregate(F.zip_with(f"bits_{x}", f"bits_{y}", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda n, i: n + i)
+
+    common = F.least(F.col("size_a") - alone("a", "b"), F.col("size_b") - alone("b", "a"))
+    alike = common * (1 + 1 / SIMILARITY) >= F.col("size_a") + F.col("size_b") - 1e-6
     once = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
-    return a.join(b, ["key", "part"]).where(fits & once).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return a.join(b, ["key", "part"]).where(fits & alike & once).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -239,33 +256,23 @@ def classes(docs: DataFrame) -> DataFrame:
     buckets = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count("*").alias("nodes")).where("a <> z").select("key", "nodes")
     shared = staged(keys.join(buckets, "key"))
     known = shared.groupBy("node").agg(F.sum("nodes").alias("met"))
-    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "node"))
-    centres = staged(shared.select("key", "node").join(known, "node").withColumn("rank", rank).where(F.col("rank") <= CENTRES).select("key", F.col("node").alias("a")))
+    centres = shared.select("key", "node").join(known, "node").groupBy("key").agg(F.max_by("node", F.struct("met", "node")).alias("a"))
+    met = shared.select("key", F.col("node").alias("b")).join(centres, "key").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("bands"))
+    best = met.groupBy("b").agg(F.max_by("a", F.struct("bands", "a")).alias("a")).select("a", "b")
     labels = staged(shared.select("node").distinct().select("node", F.col("node").alias("root")))
     wanted = shared.select("node", "doc_id", "copies").distinct()
     full = docs.select(F.col("doc_id").alias("id"), node_of(F.col("text")).alias("n"), "text")
     found = staged(full.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("n") == F.col("node"))).select("node", "text", "copies"))
     again = found.where("copies > 1").groupBy("node").agg(F.any_value("text").alias("text"))  # rows may repeat both id and text
     texts = found.where("copies = 1").select("node", "text").unionByName(again)
-    met = shared.select("key", F.col("node").alias("b")).join(centres, "key").where("a <> b")
-    stars = staged(met.groupBy("a", "b").agg(F.count("*").alias("bands")))
-
-    def link(pairs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-        tested = staged(verify(pairs.select("a", "b"), texts))
-        return tested, components(tested.where(F.col("similarity") >= SIMILARITY), labels)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        x = labels.select(F.col("node").alias("a"), F.col("root").alias("x"))
-        y = labels.select(F.col("node").alias("b"), F.col("root").alias("y"))
-        return pairs.join(x, "a").join(y, "b").where("x <> y").drop("x", "y")
-
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("bands", "a")).alias("a")).select("a", "b")
-    tested, labels = link(best, labels)
-    pairs = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    _, labels = link(apart(pairs.join(done, ["a", "b"], "left_anti")), labels)
-    more = staged(across(shared.select("key", "node").join(labels, "node"), texts))
-    _, labels = link(more.join(pairs, ["a", "b"], "left_anti"), labels)  # pairs with a centre are settled
+
+    def link(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        return components(staged(verify(pairs, texts)).where(F.col("similarity") >= SIMILARITY).select("a", "b"), labels)
+
+    labels = link(staged(best), labels)
+    rooted = staged(shared.select("key", "node").join(labels, "node"))
+    apart = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
+    labels = link(staged(across(staged(rooted.join(apart, "key")), texts)), labels)
 
     rows = signed.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per = staged(rows.groupBy("root", "node", "doc_id").agg(F.count("*").alias("n")))
@@ -280,12 +287,12 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns: of each class the document with the smallest id."""
-    kept = staged(classes(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("node").alias("__kept"), F.col("n").alias("__copies")))
-    keyed = docs.withColumn("__node", node_of(docs["text"]))
-    both = keyed.join(kept, keyed["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__kept")))
-    if not kept.where("__copies > 1").isEmpty():  # rows that repeat both id and text
-        both = both.withColumn("__nth", F.row_number().over(Window.partitionBy("__kept", "__id").orderBy(F.lit(0)))).where("__nth = 1")
-    return both.select(*docs.columns)
+    kept = staged(classes(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("node").alias("kept"), F.col("n").alias("copies")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), node_of(docs["text"]).alias("node"))
+    both = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("node") == F.col("kept")))
+    if not kept.where("copies > 1").isEmpty():  # rows that repeat both id and text
+        both = both.withColumn("nth", F.row_number().over(Window.partitionBy("kept", "id").orderBy(F.lit(0)))).where("nth = 1")
+    return both.select("row.*")
 
 
 def op7_minhash(spark, sf_dir: str) -> DataFrame:

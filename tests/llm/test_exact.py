@@ -61,3 +61,9 @@ def test_filter_knows_its_keys(n):
     assert E.in_filter(built, others).mean() < 0.01
     if n == 100_000:
         assert len(built) < 1.3 * n
+
+
+def test_clashing_columns_are_kept(messy):
+    named = messy.withColumns({"__digest": F.lit("mine"), "row": F.lit("r"), "id": F.lit("i"), "digest": F.lit("d"), "sha": F.lit("s")})
+    out = E.deduplicate(named)
+    assert out.columns == named.columns and {(r["__digest"], r["row"], r["id"], r["digest"], r["sha"]) for r in out.collect()} == {("mine", "r", "i", "d", "s")}

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lendframe.llm import minhash as M
 
@@ -114,3 +115,37 @@ def test_partners_that_are_no_centres(spark):
         rows.append((n, " ".join(words)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     check(rows, M.classes(df).collect())
+
+
+def test_pairs_grow_with_the_family(spark, monkeypatch):
+    """A family of near copies of one text is one comparison a member, whatever its size: no pair within a component is a row."""
+    counts, verify = [], M.verify
+
+    def spy(pairs, texts):
+        counts[-1].append(pairs.count())
+        return verify(pairs, texts)
+
+    monkeypatch.setattr(M, "verify", spy)
+    words = [f"w{i}" for i in range(400)]
+    for n in (150, 300):
+        counts.append([])
+        rows = [(0, " ".join(words))] + [(i, " ".join(w if j not in (7 * i % 400, 11 * i % 400, 13 * i % 400) else f"v{i}x{j}" for j, w in enumerate(words))) for i in range(1, n)]
+        found = M.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+        assert {r.class_id for r in found} == {0}
+        assert sum(counts[-1]) < 1.2 * n
+    assert sum(counts[1]) < 2.5 * sum(counts[0])
+
+
+def test_bitmaps_bound_what_two_texts_share():
+    rng = np.random.default_rng(8)
+    common, mine, other = (rng.integers(0, 1 << 62, n).astype(np.uint64) for n in (500, 120, 90))
+    both = np.concatenate([common, mine, common, other])
+    bits = M.bitmaps(both, np.repeat([0, 1], [620, 590]), 3)
+    alone = [int(np.bitwise_count(bits[a] & ~bits[1 - a]).sum()) for a in (0, 1)]
+    assert alone[0] <= 120 and alone[1] <= 90 and alone[0] > 60 and not bits[2].any()
+
+
+def test_clashing_columns_are_kept(messy):
+    named = messy.withColumns({"__node": F.lit("mine"), "row": F.lit("r"), "id": F.lit("i"), "node": F.lit("n"), "copies": F.lit("c")})
+    out = M.deduplicate(named)
+    assert out.columns == named.columns and {(r["__node"], r["row"], r["id"], r["node"], r["copies"]) for r in out.collect()} == {("mine", "r", "i", "n", "c")}
