@@ -7,10 +7,12 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-#: Metadata key of `made`, and the order that stands for null.
+#: Metadata key of `made`.
 MADE = "aggregation"
-OPEN_ORDER = 9_999_999
+#: Orders lie below this in size; null stands at its end.
+OPEN_ORDER = 1 << 62
+#: Steps between two powers of two, as a double counts them.
+STEPS = 1 << 52
 
 
 def count_where(condition: Column) -> Column:
@@ -63,15 +65,37 @@ def made(column: Column, name: str, kind: str) -> Column:
     return column.alias(name, metadata={MADE: kind})
 
 
+def whole_rank(value: Column) -> Column:
+    """A bigint that rises strictly with a double: how many doubles lie between it and zero, with its sign; NaN is largest.
+
+    |value| is split into a power of two and a factor from 1 to 2; both are exact, whatever the logarithm's last bit says.
+    """
+    x = F.abs(value.cast("double"))
+    power = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.coalesce(F.floor(F.log2(x)).cast("double"), F.lit(-1022.0))))
+    factor = x / F.pow(F.lit(2.0), power)
+
+    def steps(shift: int, fraction: Column) -> Column:
+        return (power + shift).cast("bigint") * STEPS + (fraction * float(STEPS)).cast("bigint")
+
+    size = (
+        F.when(F.isnan(x), F.lit(2**63 - 1))
+        .when(x == float("inf"), F.lit(2047 * STEPS))
+        .when(x < 2.0**-1022, (factor * float(STEPS)).cast("bigint"))
+        .when(factor < 1, steps(1022, factor * 2 - 1))
+        .when(factor >= 2, steps(1024, factor / 2 - 1))
+        .otherwise(steps(1023, factor - 1))
+    )
+    return F.when(value.cast("double") < 0, -size).otherwise(size)
+
+
 def _tie_key(order: Column, value: Column) -> Column:
-    """One decimal that sorts by `order` (whole numbers of up to 7 digits, null last), then by value (14 digits before the point, 16 after).
+    """One decimal that sorts by `order` (whole numbers below OPEN_ORDER, null last), then by value, over the range of either.
 
     A decimal is a buffer the hash aggregate can update in place; a struct would make it sort all rows.
     """
-    at = (F.coalesce(order.cast("bigint"), F.lit(OPEN_ORDER)) * F.lit(10**14).cast("decimal(15,0)")).cast("decimal(21,0)")
-    limit = 10.0**13
-    tie = F.greatest(F.lit(-limit), F.least(F.lit(limit), F.nanvl(value.cast("double"), F.lit(limit))))
-    return at + tie.cast("decimal(30,16)")
+    at = F.greatest(F.lit(-OPEN_ORDER + 1), F.least(F.lit(OPEN_ORDER - 1), order.cast("bigint")))
+    at = F.when(order.isNull(), F.lit(OPEN_ORDER)).otherwise(at).cast("decimal(19,0)")
+    return (at * F.lit(str(1 << 64)).cast("decimal(20,0)")).cast("decimal(38,0)") + whole_rank(value).cast("decimal(19,0)")
 
 
 def last_non_null(value: Column, order: Column) -> Column:

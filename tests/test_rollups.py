@@ -1,5 +1,6 @@
 """Null, tie and empty-group edges of the roll-up primitives."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,31 @@ def test_last_non_null_ties(spark):
     assert got.pop(5) != got[1] and got == {1: 2.5, 2: -1.25, 3: 0.1, 4: None}
 
 
+@pytest.mark.parametrize(
+    "rows,want",
+    [
+        ([(20250131, 1.0), (20250201, 2.0), (20241231, 9.0)], 2.0),
+        ([(1, 2e13), (1, 3e13), (1, 2.5e13)], 3e13),
+        ([(1, 1e-17), (1, 3e-17), (1, 2e-17)], 3e-17),
+        ([(9_999_999, 5.0), (None, 1.0)], 1.0),
+        ([(2**62 - 2, 5.0), (2**61, 9.0), (-(2**62) + 1, 9.0)], 5.0),
+        ([(1, -5e-324), (1, -1e-323), (1, -0.0)], 0.0),
+        ([(1, 1.7e308), (1, float("inf")), (0, float("nan"))], float("inf")),
+    ],
+)
+def test_last_non_null_over_the_whole_range(spark, rows, want):
+    df = spark.createDataFrame(rows, "o bigint, v double")
+    assert df.agg(C.last_non_null(F.col("v"), F.col("o")).alias("v")).first()["v"] == want
+
+
+def test_whole_rank_counts_doubles(spark):
+    rng = np.random.default_rng(0)
+    bits = np.concatenate([rng.integers(0, 0x7FF0000000000001, 20_000), np.arange(2047) << 52, (np.arange(1, 2047) << 52) - 1, np.arange(50)]).astype(np.int64)
+    rows = [(float(v), int(b)) for v, b in zip(bits.view(np.float64), bits)]
+    df = spark.createDataFrame(rows + [(-v, -b) for v, b in rows], "v double, b bigint")
+    assert df.where(C.whole_rank(F.col("v")) != F.col("b")).count() == 0
+
+
 def test_repeated_rollup_key_is_refused(spark):
     base = spark.createDataFrame([(1, 0), (2, 1)], "SK_ID_CURR int, TARGET int")
     rolled = spark.createDataFrame([(1, 5, 1), (1, 6, 1)], "SK_ID_CURR int, x int, has_bureau_history int")
