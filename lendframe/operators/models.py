@@ -9,19 +9,22 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendframe.operators import metrics as M
 from lendframe.operators.splits import stratified_split
+from lendframe.session import ensure_checkpoint_dir
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
 # The champion grid and the limits of the smoke verdict.
@@ -29,6 +32,8 @@ C_GRID = (0.0001, 0.001, 0.01, 0.1, 1.0)
 L1_GRID = (0.0, 0.5, 1.0)
 TRIALS = 30
 MAX_ROUNDS = 2000
+PATIENCE = 50
+PARALLEL_TRIALS = 4
 SEED = 42
 AUC_LEAK, AUC_HIGH, AUC_LOW, OVERFIT_GAP = 0.85, 0.82, 0.75, 0.05
 MISSING_VALUE = -1.0e9
@@ -109,7 +114,7 @@ def champion_search(
 
 
 def sample_params(seed: int, trial: int) -> dict:
-    """One draw from the search space (M4): learning rate and penalties on a log scale."""
+    """One draw from the search space (M4): learning rate and the least gain of a split, which takes the place of penalties, on a log scale."""
     rng = random.Random(f"{seed}-{trial}")
     return {
         "stepSize": math.exp(rng.uniform(math.log(0.01), math.log(0.10))),
@@ -117,13 +122,56 @@ def sample_params(seed: int, trial: int) -> dict:
         "minInstancesPerNode": rng.randrange(10, 201, 10),
         "subsamplingRate": rng.uniform(0.6, 1.0),
         "featureSubsetStrategy": f"{rng.uniform(0.5, 1.0):.4f}",
+        "minInfoGain": math.exp(rng.uniform(math.log(1e-8), math.log(1e-3))),
     }
 
 
-def fit_trees(train: DataFrame, params: Mapping, rounds: int, seed: int = SEED, validation: str | None = None) -> GBTClassificationModel:
-    """Boosted trees (M3); with `validation` (a boolean column) boosting stops when that part stops improving."""
-    extra = {"validationIndicatorCol": validation, "validationTol": 0.0} if validation else {}
-    return GBTClassifier(maxIter=rounds, seed=seed, maxBins=64, **extra, **params).fit(train)
+def fit_trees(train: DataFrame, params: Mapping, rounds: int, seed: int = SEED) -> GBTClassificationModel:
+    """Boosted trees (M3). Labels of a round are checkpointed every few rounds, so their lineage stays short."""
+    ensure_checkpoint_dir(train.sparkSession)
+    return GBTClassifier(maxIter=rounds, seed=seed, maxBins=64, checkpointInterval=10, **params).fit(train)
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the lowest loss seen before `patience` rounds passed without a lower one, and whether they did pass."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after so many rounds: boosting only ever adds trees."""
+    context = SparkContext._active_spark_context
+    java, jvm = model._java_obj, context._jvm
+    trees = context._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(jvm.double, rounds)
+    every = java.trees()
+    for i, w in enumerate(list(java.treeWeights())[:rounds]):
+        trees[i], weights[i] = every[i], w
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    out = GBTClassificationModel(java.copyValues(cut, java.extractParamMap()))
+    out._resetUid(model.uid)
+    out._transfer_params_from_java()
+    return out
+
+
+def boosted(train: DataFrame, held: DataFrame, params: Mapping, max_rounds: int, patience: int, seed: int = SEED, first: int = 64) -> GBTClassificationModel:
+    """Boosting that stops `patience` rounds after the lowest loss on the held rows, cut back to that round.
+
+    The loss of all rounds of a fit is one pass. Rounds double until the patience is spent, and a longer fit repeats the
+    trees of a shorter one, so at most twice the rounds that are looked at are fitted.
+    """
+    rounds = min(max_rounds, max(first, patience + 1))
+    while True:
+        model = fit_trees(train, params, rounds, seed)
+        best, spent = best_round(model.evaluateEachIteration(held), patience)
+        if spent or rounds >= max_rounds:
+            return first_trees(model, best)
+        rounds = min(max_rounds, 2 * rounds)
 
 
 def challenger_search(
@@ -135,26 +183,34 @@ def challenger_search(
     key: str = KEY,
     target: str = TARGET,
     space=sample_params,
+    patience: int = PATIENCE,
+    parallel: int = PARALLEL_TRIALS,
 ) -> Search:
-    """Seeded random search with early stopping, then a refit on train with the best round count (M4)."""
+    """Seeded random search with early stopping (M4), the best by validation AUC, the first of equal ones.
+
+    Trials don't depend on each other: `parallel` of them share the cluster. The chosen model is the one that was fitted on train, cut at its
+    best round, which a refit with that many rounds would repeat.
+    """
     features = feature_columns(train, key, target)
-    x = vectors(train, features, key, target).withColumn("held", F.lit(False))
-    v = vectors(val, features, key, target).withColumn("held", F.lit(True))
-    both = x.unionByName(v).persist(StorageLevel.MEMORY_AND_DISK)
-    log, best = [], None
+    x = vectors(train, features, key, target).persist(StorageLevel.MEMORY_AND_DISK)
+    v = vectors(val, features, key, target).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def run(t: int) -> tuple:
+        params = space(seed, t)
+        model = boosted(x, v, params, max_rounds, patience, seed)
+        auc = validation_auc(model.transform(v).select("label", probability().alias("pd")))
+        return t, auc, model, params
+
     try:
-        for t in range(trials):
-            params = space(seed, t)
-            model = fit_trees(both, params, max_rounds, seed, "held")
-            auc = validation_auc(model.transform(both.where("held")).select("label", probability().alias("pd")))
-            log.append((t, auc, model.getNumTrees, str(params)))
-            if best is None or auc > best[0]:
-                best = (auc, params, model.getNumTrees)
-        final = fit_trees(both.where("NOT held"), best[1], best[2], seed)
+        with ThreadPoolExecutor(parallel) as pool:
+            done = [f.result() for f in [pool.submit(inheritable_thread_target(train.sparkSession)(run), t) for t in range(trials)]]
     finally:
-        both.unpersist()
+        x.unpersist()
+        v.unpersist()
+    log = [(t, auc, model.getNumTrees, str(params)) for t, auc, model, params in done]
+    _, _, model, params = max(done, key=lambda d: (d[1], -d[0]))
     table = train.sparkSession.createDataFrame(log, "trial int, val_auc double, rounds int, params string")
-    return Search(final, {**best[1], "rounds": best[2]}, table, features)
+    return Search(model, {**params, "rounds": model.getNumTrees}, table, features)
 
 
 def score(model, df: DataFrame, features: Sequence[str], name: str, key: str = KEY, target: str = TARGET, split: str = "split") -> DataFrame:
@@ -163,10 +219,20 @@ def score(model, df: DataFrame, features: Sequence[str], name: str, key: str = K
     return out.select(F.lit(name).alias("model"), split, key, F.col("label").cast("int").alias(target), probability().alias("raw_pd"))
 
 
+def split_counts(model: GBTClassificationModel) -> dict[int, int]:
+    """Splits per feature number, from the table of tree nodes that a saved model consists of."""
+    spark = SparkSession.getActiveSession()
+    path = f"{ensure_checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
+    model.save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("nodeData.leftChild", F.col("nodeData.split.featureIndex").alias("feature"))
+    return {r["feature"]: r["count"] for r in nodes.where("leftChild >= 0").groupBy("feature").count().collect()}
+
+
 def tree_importance(search: Search, n: int | None = None) -> DataFrame:
-    """Gain-type importance per feature, largest first (M6)."""
-    gains = search.model.featureImportances.toArray().tolist()
-    out = search.trials.sparkSession.createDataFrame(list(zip(search.features, gains)), "feature string, gain double")
+    """Gain and number of splits per feature, largest gain first (M6)."""
+    gains, splits = search.model.featureImportances.toArray().tolist(), split_counts(search.model)
+    rows = [(f, g, splits.get(i, 0)) for i, (f, g) in enumerate(zip(search.features, gains))]
+    out = search.trials.sparkSession.createDataFrame(rows, "feature string, gain double, splits bigint")
     out = out.orderBy(F.col("gain").desc(), "feature")
     return out.limit(n) if n else out
 

@@ -210,3 +210,36 @@ def test_plans(spark, sf_dir, name):
     for i, line in enumerate(lines):
         if re.search(r"[- ]Window \[", line):
             assert "SinglePartition" not in "".join(lines[i : i + 3])
+
+
+def test_patience():
+    assert X.best_round([5, 4, 3, 3.5, 3.2, 3.1, 2.9, 4], 4) == (7, False)
+    assert X.best_round([5, 4, 3, 3.5, 3.2, 3.1, 2.9, 4], 3) == (3, True)
+    assert X.best_round([1.0], 1) == (1, False)
+
+
+def test_boosting_is_cut_at_its_best_round(spark, loans, tmp_path):
+    """The model is the prefix of a longer fit that has the lowest held-out loss, and a longer fit repeats a shorter one."""
+    rows = X.vectors(loans.select("SK_ID_CURR", "a", "b", "TARGET"), ["a", "b"])
+    train, held = rows.where("SK_ID_CURR % 4 > 0").persist(), rows.where("SK_ID_CURR % 4 = 0").persist()
+    params = {"maxDepth": 3, "stepSize": 0.4, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.5"}
+    long = X.fit_trees(train, params, 12)
+    losses = long.evaluateEachIteration(held)
+    model = X.boosted(train, held, params, 12, 3, first=4)
+    want, _ = X.best_round(losses, 3)
+    assert model.getNumTrees == want and model.evaluateEachIteration(held) == pytest.approx(losses[:want], rel=1e-9)
+    assert model.getMaxDepth() == 3 and model.numFeatures == 2
+    model.save(str(tmp_path / "m"))
+    assert type(model).load(str(tmp_path / "m")).getNumTrees == want
+    walked = {}
+
+    def walk(node):
+        if node.subtreeDepth():
+            i = node.split().featureIndex()
+            walked[i] = walked.get(i, 0) + 1
+            walk(node.leftChild())
+            walk(node.rightChild())
+
+    for tree in model.trees:
+        walk(tree._java_obj.rootNode())
+    assert X.split_counts(model) == walked

@@ -210,3 +210,22 @@ def test_hot_categories(spark, monkeypatch, limit):
     assert {r["SK_ID_CURR"]: r["c"] for r in out.collect()} == want and out.columns == df.columns
     heavy = sizing.heavy_values(df.select("c"), ["c"])["c"]
     assert "hot" in heavy and len(heavy) <= 1 / sizing.SUPPORT
+
+
+@pytest.mark.parametrize("knots", [1, 2, 3, 10, 100_000])
+def test_isotonic_map_of_any_size(spark, knots):
+    """The looked-up map equals a plain interpolation, on knots, between them and outside."""
+    rng = np.random.default_rng(knots)
+    x = np.sort(rng.choice(10**7, knots, replace=False)) / 1e7 * 0.8 + 0.1
+    y = np.sort(rng.random(knots))
+    scores = np.concatenate([rng.random(3000), x[:: max(1, knots // 500)], [0.0, 1.0]])
+    df = frame(spark, s=scores)
+    fit = G.Isotonic(tuple(x.tolist()), tuple(y.tolist()))
+    got = fit.add(df.unionByName(spark.createDataFrame([(None,)], "s double")), "s", "p")
+    assert got.columns == ["s", "p"] and got.where("s IS NULL").first()["p"] is None
+    rows = got.where("s IS NOT NULL").collect()
+    assert len(rows) == len(scores)
+    for r in rows:
+        assert r["p"] == pytest.approx(np.interp(r["s"], x, y), abs=1e-12)
+    if knots <= 10:
+        assert [r["p"] for r in df.select(fit.apply(F.col("s")).alias("p")).collect()] == [r["p"] for r in fit.add(df, "s", "p").collect()]
