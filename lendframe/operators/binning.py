@@ -397,6 +397,12 @@ def selection_report(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("reason").agg(F.count(F.lit(1)).alias("features"))
 
 
+def selection_lists(decisions: DataFrame) -> DataFrame:
+    """Per reason the number of features and their names in order."""
+    names = F.sort_array(F.collect_list("feature"))
+    return decisions.groupBy("reason").agg(F.count(F.lit(1)).alias("features"), names.alias("names"))
+
+
 def top_by_iv(decisions: DataFrame, n: int = 15) -> DataFrame:
     return decisions.where("kept").orderBy(F.col("iv").desc(), "feature").limit(n)
 

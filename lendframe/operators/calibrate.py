@@ -91,6 +91,22 @@ def isotonic_model(cells: DataFrame) -> IsotonicRegressionModel:
     return IsotonicRegression(featuresCol="v", labelCol="y", weightCol="w").fit(rows)
 
 
+def saved(spark: SparkSession, calibrator: Platt | Isotonic) -> DataFrame:
+    """The calibrator as rows (S14): method, and slope and intercept, or one row for each knot."""
+    kind = "method string, place int, x double, y double"
+    if isinstance(calibrator, Platt):
+        return spark.createDataFrame([(calibrator.method, 0, calibrator.slope, calibrator.intercept)], kind)
+    return spark.createDataFrame([(calibrator.method, i, x, y) for i, (x, y) in enumerate(zip(calibrator.knots, calibrator.levels))], kind)
+
+
+def restored(rows: DataFrame) -> Platt | Isotonic:
+    """The calibrator that `saved` wrote."""
+    found = rows.orderBy("place").collect()
+    if found[0]["method"] == Platt.method:
+        return Platt(found[0]["x"], found[0]["y"])
+    return Isotonic(tuple(r["x"] for r in found), tuple(r["y"] for r in found))
+
+
 def select_calibrator(fit_on: DataFrame, select_on: DataFrame, raw: str, label: str) -> tuple[Platt | Isotonic, DataFrame]:
     """Fit both on one population, keep the one with the lower Brier on the other; a tie goes to Platt."""
     platt, isotonic = fit_platt(fit_on, raw, label), fit_isotonic(fit_on, raw, label)

@@ -160,6 +160,11 @@ def split_frames(df: DataFrame, splits: DataFrame, key: str = KEY) -> dict[str,
     return {name: tagged.where(F.col("split") == name).drop("split") for name in FRACTIONS}
 
 
+def split_parts(laid_out: DataFrame) -> dict[str, DataFrame]:
+    """The splits of a matrix whose files are laid out by split: each reads its own folders."""
+    return {name: laid_out.where(F.col("split") == name).drop("split") for name in FRACTIONS}
+
+
 def check_split_total(df: DataFrame, splits: DataFrame, key: str = KEY) -> None:
     """Raise unless the split table covers the input exactly. This is an action."""
     left, right = df.count(), apply_splits(df, splits, key).count()

@@ -59,14 +59,26 @@ def file_schema(spark: SparkSession, path: str, contract: PT.StructType) -> PT.S
     return PT.StructType([PT.StructField(n, known.get(n, PT.StringType())) for n in T.csv_header(spark, path)])
 
 
+def observing(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the same settings, for passes that count on the way.
+
+    A session that has observed a pass can no longer be sent along with a task, which fits of pyspark.ml do with theirs.
+    """
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key) and other.conf.get(key, None) != value:
+            other.conf.set(key, value)
+    return other
+
+
 def stage(spark: SparkSession, name: str, path: str, contract: PT.StructType, folder: str) -> Staged:
     """Parse a CSV once and write it as Parquet, counting on the way."""
     schema = file_schema(spark, path, contract)
-    names = schema.names
+    names, own = schema.names, observing(spark)
 
     def write(encoding: str) -> dict:
         seen = Observation(f"{name}-{uuid.uuid4().hex}")
-        raw = T.parse_csv(spark, path, schema, CORRUPT)
+        raw = T.parse_csv(own, path, schema, CORRUPT)
         plain = raw.drop(CORRUPT)
         marked = raw.select(*plain.columns, F.col(CORRUPT).isNotNull().alias("_bad"), *[c.alias(f"_{n}") for n, c in T.encoding_marks(plain).items()])
         texts = T.in_encoding(marked, encoding)

@@ -115,8 +115,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_csv(df: DataFrame, path: str, order: Sequence[Column | str] = ()) -> str:
-    """Headered CSV in the given order."""
-    (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True).csv(path)
+    """Headered CSV in the given order (S12); blanks around a text are kept."""
+    writer = (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 

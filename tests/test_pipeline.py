@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from lendframe.operators import calibrate as G
+from lendframe.operators import contracts as K
 from lendframe.plans import pipeline
+from lendframe.sources import ingest as I
+from lendframe.sources import tables as T
 from verification import roles
 
 
@@ -26,14 +30,29 @@ def test_end_to_end(spark, sf_dir, tmp_path):
         "installments_payments": roles.installments(spark, sf_dir),
         "credit_card_balance": cards.withColumn("SK_ID_PREV", -F.col("SK_ID_PREV") - 1),
     }
+    paths = {n: T.write_csv(df, f"{tmp_path}/raw/{n}") for n, df in tables.items()}
+    contract = pipeline.Contract(*K.derive_contracts(tables), K.derive_joins(tables), I.fingerprint_table(tables))
     out = pipeline.run(
         spark,
-        tables,
+        paths,
         str(tmp_path),
         {"min_events": 10},
         {"c_grid": (1.0,), "l1_grid": (0.0,), "max_iter": 5},
         {"trials": 1, "max_rounds": 2, "space": lambda seed, t: {"maxDepth": 2}},
+        contract,
     )
+    manifest = {r["table"]: r for r in out["manifest"].collect()}
+    assert set(manifest) == set(tables) and all(r["input_fingerprint"] == r["output_fingerprint"] and not r["malformed"] for r in manifest.values())
+    assert out["train"].count() == base.count()
+    # later stages read folders by split, and never the split table
+    plan = out["by_split"].where("split = 'dev'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan and "Join" not in plan
+    assert {(r["model"], r["measure"], r["passed"]) for r in out["cross_checks"].collect()} == {("champion", "val_auc", True), ("challenger", "val_auc", True), ("challenger", "holdout_brier", True)}
+    lists = {r["reason"]: r for r in spark.read.json(f"{tmp_path}/champion_selection").collect()}
+    assert sum(r["features"] for r in lists.values()) == out["selection"].count() and all(len(r["names"]) == r["features"] for r in lists.values())
+    saved = G.restored(spark.read.json(f"{tmp_path}/models/calibrator"))
+    again = saved.add(out["predictions"].where("model = 'challenger'"), "raw_pd", "again")
+    assert again.where("abs(again - calibrated_pd) > 1e-12").count() == 0
     assert out["train"].count() == base.count() and out["test"].columns == [c for c in out["train"].columns if c != "TARGET"]
     assert out["catalogue"].count() == len(out["train"].columns) - 2
     n = {r["split"]: r["count"] for r in out["splits"].groupBy("split").count().collect()}

@@ -575,3 +575,35 @@ ORACLE["ingest_tables"] = " UNION ALL ".join(
     for run in (1, 2)
     for t in ("customer", "orders")
 )
+
+# --- calibrators: Platt by Newton steps, the isotonic map by its min-max formula over distinct scores ---------------
+
+ORACLE["calibrate"] = f"""WITH RECURSIVE {_LINES},
+val AS (SELECT * FROM preds WHERE model = 'challenger' AND split = 'val'),
+hold AS (SELECT pd, y FROM preds WHERE model = 'challenger' AND split = 'holdout'), {_newton('val', 'model')},
+c AS (SELECT pd AS x, count(*)::DOUBLE AS w, sum(y)::DOUBLE AS s, row_number() OVER (ORDER BY pd) AS i FROM val GROUP BY pd),
+p AS (SELECT *, sum(w) OVER (ORDER BY i) AS cw, sum(s) OVER (ORDER BY i) AS cs FROM c),
+means AS (SELECT j.i AS j, k.i AS i, (k.cs - j.cs + j.s) / (k.cw - j.cw + j.w) AS a FROM p j JOIN p k ON k.i >= j.i),
+low AS (SELECT j, i, min(a) OVER (PARTITION BY j ORDER BY i DESC ROWS UNBOUNDED PRECEDING) AS v FROM means),
+iso AS (SELECT x, max(v) AS level FROM low JOIN p USING (i) GROUP BY x),
+seg AS (SELECT x AS x0, level AS y0, lead(x) OVER (ORDER BY x) AS x1, lead(level) OVER (ORDER BY x) AS y1 FROM iso),
+mapped AS (SELECT pd, y, CASE WHEN x0 IS NULL THEN (SELECT min(level) FROM iso) WHEN x1 IS NULL THEN y0 ELSE y0 + (y1 - y0) * (pd - x0) / (x1 - x0) END AS level
+  FROM hold ASOF LEFT JOIN seg ON pd >= x0),
+e AS (SELECT avg((pd - y) * (pd - y)) AS raw, avg((level - y) * (level - y)) AS isotonic,
+  avg(pow(1 / (1 + exp(-(intercept + slope * ln(greatest(1e-9, least(1 - 1e-9, pd)) / (1 - greatest(1e-9, least(1 - 1e-9, pd))))))) - y, 2)) AS platt FROM mapped, fitted)
+SELECT CASE WHEN isotonic < platt THEN 'isotonic' ELSE 'platt' END AS selected_method, round(raw, 7) AS raw_brier, round(platt, 7) AS platt_brier,
+  round(isotonic, 7) AS isotonic_brier, round((raw - least(platt, isotonic)) * 100, 5) AS improvement_pp FROM e"""
+
+
+def _filled(source: str, query: str, keys: str = "SK_ID_CURR") -> str:
+    """Name, source and filled rows of each column of a roll-up within the matrix."""
+    prefix = "CASE WHEN name LIKE 'bb\\_%' ESCAPE '\\' THEN 'bureau_balance (rolled up via bureau)' ELSE 'bureau' END" if source == "bureau" else f"'{source}'"
+    columns = f"SELECT column_name FROM (DESCRIBE SELECT * EXCLUDE ({keys}) FROM ({query}))"
+    return f"SELECT name, {prefix} AS source, filled FROM counts WHERE name IN ({columns})"
+
+
+_SOURCES = dict(zip(_FAMILIES.values(), ("bureau", "previous_application", "pos_cash", "installments", "credit_card")))
+ORACLE["catalogue_fill"] = (
+    f"WITH counts AS (SELECT name, filled FROM (UNPIVOT (SELECT count(COLUMNS(* EXCLUDE (SK_ID_CURR, TARGET))) FROM ({_MATRIX})) ON COLUMNS(*) INTO NAME name VALUE filled)) "
+    + " UNION ALL ".join([_filled(s, ORACLE[q]) for q, s in _SOURCES.items()] + [_filled("application_train", RS.APPLICATION, '"SK_ID_CURR", "TARGET"')])
+)

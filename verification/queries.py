@@ -138,6 +138,12 @@ def feature_catalogue(spark: SparkSession, d: str) -> DataFrame:
 # --- profiling and contracts ------------------------------------------------
 
 
+@query
+def catalogue_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Source and filled rows of every feature in the matrix: what of the catalogue SQL can say."""
+    return feature_catalogue(spark, d).select("name", "source", "filled")
+
+
 def _orders_with_nulls(spark: SparkSession, d: str) -> DataFrame:
     o = roles.table(spark, d, "orders")
     return o.select(
@@ -540,8 +546,8 @@ def challenger_fit(spark: SparkSession, d: str) -> DataFrame:
 @query
 def calibrate(spark: SparkSession, d: str) -> DataFrame:
     p = _predictions(spark, d).where("model = 'challenger'")
-    best, report = G.select_calibrator(p.where("split = 'val'"), p.where("split = 'holdout'"), "pd", "y")
-    return report
+    _, report = G.select_calibrator(p.where("split = 'val'"), p.where("split = 'holdout'"), "pd", "y")
+    return digits(report, {"raw_brier": 7, "platt_brier": 7, "isotonic_brier": 7, "improvement_pp": 5})
 
 
 @query
