@@ -1,15 +1,17 @@
 """Mixing sources to target weights by hash-threshold histograms, in DataFrame operations only.
 
-Every document has a fixed place between 0 and 2**48, taken from the digest of its id. A source whose target is r times its
+Every document has a fixed place between 0 and 2**48, taken from the digest of its id and text. A source whose target is r times its
 size takes each document floor(r) times, and the rest of its budget from the documents placed lowest. The place where the budget
 ends is found without sorting: sizes are summed by source and bucket of 12 place bits, the running sums of the buckets show the
-one in which the budget ends, and only that bucket is split by the next 12 bits, four times over. What the thresholds leave open, less
-than one document, goes to the document beyond whose size comes nearest. Up to that one document of each source a larger
-budget keeps all that a smaller one takes, and a rerun takes the same documents.
-
-Null text has size 0. Null sources form a source of their own, which is last. A null id has a place as the empty text has.
-Repeated rows of one id share their place, so they are taken together. An empty table gives an empty result.
-Texts are read once; later passes read four narrow columns. The window functions run over sources and buckets, never over documents.
+one in which the budget ends, and only that bucket is split by the next 12 bits, four times over. Rows that share the place in which it
+ends, copies of one id and text, are taken in the number that fits. What is left open, less than one document, goes to the document
+beyond whose size comes nearest. Up to that one document of each source a larger budget keeps all that a smaller one takes, and a rerun
+takes the same documents.
+
+Null text has size 0 and the digest of the empty text, a null id that of the empty id. Null sources form a source of their own, which is last.
+Equal rows have one place and are told apart by a number only where the budget ends among them; which of them are taken is not fixed, as
+the result is the same. An empty table gives an empty result. Texts are read once; later passes read four narrow columns. The window
+functions run over sources, buckets and the partitions that hold rows of such a place, never over all documents.
 """
 
 from __future__ import annotations
@@ -34,8 +36,9 @@ def words(text: Column) -> Column:
     return F.length(F.regexp_replace(bare, WORD, "x")).cast("long")
 
 
-def place(doc_id: Column) -> Column:
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, BITS // 4), 16, 10).cast("long")
+def place(doc_id: Column, text: Column) -> Column:
+    both = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    return F.conv(F.substring(F.md5(both.cast("binary")), 1, BITS // 4), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -59,7 +62,8 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Place per source below which documents fill `budget` (`below`), and the place of the one that closes the gap (`closing`).
+    """Per source the place below which documents fill `budget` (`below`), how many rows of that place fit too (`fitting`), and the place
+    of the row that closes the gap (`closing`).
 
     sized: source, size, place. budgets: source, budget, ...
     """
@@ -84,47 +88,66 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
             .withColumn("low", F.when(F.col("end").isNotNull(), F.shiftleft("end.bucket", bits)).otherwise(1 << BITS))
             .drop("end")
         )
-    beyond = sized.join(F.broadcast(state.select(F.col("source").alias("s"), "low", "need")), F.col("source").eqNullSafe(F.col("s")) & (F.col("place") >= F.col("low")))
+    at = F.broadcast(state.select(F.col("source").alias("s"), "low", "need"))
+    here = sized.join(at, F.col("source").eqNullSafe(F.col("s")) & (F.col("place") == F.col("low")))
+    fit = F.least(F.count("*"), F.floor(F.first("need") / F.nullif(F.max("size"), F.lit(0))))
+    fits = here.groupBy("source").agg(F.coalesce(fit, F.lit(0)).alias("fitting"), F.count("*").alias("rows"), F.max("size").alias("each")).withColumnRenamed("source", "s")
+    state = state.join(F.broadcast(fits), F.col("source").eqNullSafe(F.col("s")), "left").drop("s").na.fill(0, ["fitting", "rows", "each"])
+    state = staged(state.withColumn("need", F.col("need") - F.col("fitting") * F.col("each")))
+    at = F.broadcast(state.select(F.col("source").alias("s"), "low", "need", (F.col("rows") > F.col("fitting")).alias("more")))
+    beyond = sized.join(at, F.col("source").eqNullSafe(F.col("s")) & (F.col("place") >= F.col("low"))).where((F.col("place") > F.col("low")) | F.col("more"))
     gap = F.abs(F.col("size") - F.col("need"))
     closing = beyond.where(gap < F.col("need")).groupBy("source").agg(F.min(F.struct(gap.alias("gap"), "place")).alias("c"))
     closing = closing.select(F.col("source").alias("s"), F.col("c.place").alias("closing"))
-    return staged(state.join(closing, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "need").withColumnRenamed("low", "below"))
+    return staged(state.join(closing, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "need", "rows", "each").withColumnRenamed("low", "below"))
+
+
+def numbered(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows (source, place, ...) with `number`: from 1 among the rows of the places that `found` names for a source, 1 for all others.
+
+    A place's rows are counted by partition, so a place with any number of rows is numbered in as many tasks as hold some.
+    """
+    named = found.select(F.col("source").alias("s"), F.explode(F.array_distinct(F.array("below", "closing"))).alias("p")).where("p IS NOT NULL")
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("place") == F.col("p"))
+    others = rows.join(F.broadcast(named), same, "left_anti").withColumn("number", F.lit(1).cast("long"))
+    there = staged(rows.join(F.broadcast(named), same, "left_semi").withColumn("part", F.spark_partition_id()))
+    up = Window.partitionBy("source", "place").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = there.groupBy("source", "place", "part").agg(F.count("*").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(up), F.lit(0)))
+    parts = parts.select(F.col("source").alias("s"), F.col("place").alias("p"), F.col("part").alias("q"), "start")
+    nth = F.row_number().over(Window.partitionBy("source", "place", "part").orderBy(F.lit(0)))
+    joined = there.withColumn("nth", nth).join(parts, same & (F.col("part") == F.col("q")))
+    return others.unionByName(joined.withColumn("number", F.col("start") + F.col("nth")).select(*others.columns))
 
 
 def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Narrow rows of all documents, and per source its size, target, whole copies and thresholds."""
-    sized = staged(docs.select("doc_id", "source", words(F.col("text")).alias("size"), place(F.col("doc_id")).alias("place")))
+    sized = staged(docs.select("doc_id", "source", words(F.col("text")).alias("size"), place(F.col("doc_id"), F.col("text")).alias("place")))
     sources = staged(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     budgets = sources.withColumn("copies", whole).withColumn("budget", F.col("target") - F.col("copies") * F.col("source_size"))
     return sized, thresholds(sized, budgets)
 
 
-def _copies(place_: Column, copies: Column, below: Column, closing: Column) -> Column:
-    extra = (place_ < below) | F.coalesce(place_ == closing, F.lit(False))
-    return F.when(extra & (copies < MOST), copies + 1).otherwise(copies)
+def _copies(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows (source, place, ...) with what is known of their source, and `copies`, how often the mix takes each."""
+    closes = F.coalesce(F.col("place") == F.col("closing"), F.lit(False))
+    taken = F.when(F.col("place") == F.col("below"), F.col("fitting")).otherwise(0) + closes.cast("int")
+    extra = (F.col("place") < F.col("below")) | (F.col("number") <= taken)
+    joined = numbered(rows, found).join(F.broadcast(found.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")), "left")
+    return joined.withColumn("copies", F.when(extra & (F.col("copies") < MOST), F.col("copies") + 1).otherwise(F.col("copies")))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """Every document with its size, its source's size and target, and how many copies (0 to 3) the mix takes."""
     sized, found = _plan(docs)
-    copies = _copies(F.col("place"), F.col("copies"), F.col("below"), F.col("closing"))
-    return (
-        sized.join(F.broadcast(found.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")), "left")
-        .withColumn("copies", copies)
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
-    )
+    return _copies(sized, found).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """The rows of docs, each as many times as the mix takes it, with their own columns."""
-    bare = docs.select("doc_id", "source", "text")
-    sized, found = _plan(bare)
-    keyed = docs.withColumn("__place", place(docs["doc_id"]))
-    limits = found.select(F.col("source").alias("__source"), *(F.col(c).alias(f"__{c}") for c in ("copies", "below", "closing")))
-    joined = keyed.join(F.broadcast(limits), keyed["source"].eqNullSafe(F.col("__source")), "left")
-    copies = _copies(F.col("__place"), F.col("__copies"), F.col("__below"), F.col("__closing"))
-    return joined.withColumn("__n", F.explode(F.sequence(F.lit(0), copies))).where("__n > 0").select(*docs.columns)
+    _, found = _plan(docs.select("doc_id", "source", "text"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["source"].alias("source"), place(docs["doc_id"], docs["text"]).alias("place"))
+    return _copies(rows, found).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("copies")))).where("n > 0").select("row.*")
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
@@ -136,7 +159,7 @@ def op4_mixing(spark, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS place
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT AS place
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (
@@ -155,10 +178,16 @@ r AS (
   SELECT d.*, source_size, target, copies, budget, sum(size) OVER (PARTITION BY d.source ORDER BY place) AS upto
   FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
 e AS (SELECT source, min(place) FILTER (upto > budget) AS below, any_value(budget) - coalesce(max(upto) FILTER (upto <= budget), 0) AS need FROM r GROUP BY source),
+f AS (
+  SELECT e.source, any_value(e.below) AS below, any_value(need) - coalesce(least(count(r.place), floor(any_value(need) / nullif(max(size), 0))), 0) * coalesce(max(size), 0) AS need,
+         coalesce(least(count(r.place), floor(any_value(need) / nullif(max(size), 0))), 0) AS fitting, count(r.place) AS n
+  FROM e LEFT JOIN r ON r.source IS NOT DISTINCT FROM e.source AND place = e.below GROUP BY e.source),
 c AS (
   SELECT r.source, arg_min(place, (abs(size - need), place)) AS closing
-  FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source WHERE place >= below AND abs(size - need) < need GROUP BY r.source)
+  FROM r JOIN f ON r.source IS NOT DISTINCT FROM f.source WHERE (place > below OR place = below AND n > fitting) AND abs(size - need) < need GROUP BY r.source),
+x AS (SELECT *, row_number() OVER (PARTITION BY source, place) AS number FROM r)
 SELECT doc_id, size, source_size, target,
-       (size * least(3, copies + CASE WHEN below IS NULL OR place < below OR place = closing THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source LEFT JOIN c ON r.source IS NOT DISTINCT FROM c.source
+       (size * least(3, copies + CASE WHEN below IS NULL OR place < below
+          OR number <= (CASE WHEN place = below THEN fitting ELSE 0 END) + (CASE WHEN place = closing THEN 1 ELSE 0 END) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM x JOIN f ON x.source IS NOT DISTINCT FROM f.source LEFT JOIN c ON x.source IS NOT DISTINCT FROM c.source
 """

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from lendframe.llm import mixing as M
 
@@ -65,6 +66,21 @@ def test_messy_and_empty(messy, messy_rows, empty):
     assert M.mix(empty).count() == 0 and M.stage(empty).count() == 0
 
 
+def test_equal_rows_are_taken_in_the_number_that_fits(spark):
+    """A source of one row a hundred times, without ids, comes as near its target as any other; the SQL takes as many."""
+    rows = [(None, "one two three four five six seven eight nine ten", None, "a")] * 100 + [(i, f"w{i} " * 20, None, "b") for i in range(40)]
+    rows += [(7, "same row " * 5, None, "c")] * 33 + [(None, f"other {i}", None, "c") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(7)
+    mixed = M.mix(df).collect()
+    check(rows, mixed)
+    assert len({r.copies for r in mixed if r.source == "a"}) == 2
+    out = M.stage(df.withColumns({"row": F.lit("r"), "__place": F.lit("p"), "n": F.lit(5)}))
+    assert out.count() == sum(r.copies for r in mixed) and {(r["row"], r["__place"], r["n"]) for r in out.collect()} == {("r", "p", 5)}
+    con = duckdb.connect()
+    con.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
+    assert sorted(con.execute(M.OP4_SQL).fetchall(), key=repr) == sorted(((r.doc_id, r["size"], r.source_size, r.target, r.taken) for r in mixed), key=repr)
+
+
 def test_no_python_in_the_plan(docs):
     plan = M.mix(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
