@@ -8,15 +8,17 @@ The codebooks are fitted on about `SAMPLE` vectors drawn by hash; every vector i
 meet is measured, not set: among steps of doubling it is the first at which queries drawn from the sample find `RECALL` of their true
 neighbours in the sample, in proportion to all vectors.
 
-Vectors that are null, zero, or hold null or non-finite components take no part; nor do those of another dimension than the
-commonest. Equal vectors are one entry with its 6 smallest ids, which is exact for 5 neighbours, so a vector that a third of all rows share is
-one entry. Rows that repeat a vec_id are the query's own row for that id. Cells are dealt to groups of bounded size.
+Vectors that are null, zero, or hold null or non-finite components take no part. Those of one dimension are a table of their own, with
+its own index. Equal vectors are one entry with its 6 smallest ids, which is exact for 5 neighbours, so a vector that a third of all rows
+share is one entry. Rows that repeat a vec_id are the query's own row for that id. A null id is no query; as a neighbour it is the last of equals.
+Cells are dealt to groups of bounded size.
 An empty table, and a query without candidates, give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ RECALL = 0.97
 CHUNK, GROUPS = 20_000, 16
 #: Most centroids of a half; cells are at most its square.
 MOST_CENTROIDS = 256
+#: Stands for a null id, which comes last.
+NO_ID = (1 << 63) - 1
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -39,9 +43,8 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     v = F.col(vector_col).cast("array<double>")
     whole = F.forall(v, lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
     some = F.exists(v, lambda x: x != 0)
-    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(F.col("v").isNotNull() & whole & some)
-    top = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (top["d"] if top else 0))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
+    return rows.where(F.col("v").isNotNull() & whole & some)
 
 
 def lloyd(points: np.ndarray, k: int, rounds: int = 15, seed: int = 7) -> np.ndarray:
@@ -121,7 +124,14 @@ def _matrix(column) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each query (vec_id, v), its own row left out."""
+    """query_id, rank, vec_id, score: the k nearest found of each query (vec_id, v) among vectors of its dimension, its own row left out."""
+    written = staged(vectors.withColumn("vec_id", F.coalesce("vec_id", F.lit(NO_ID))))
+    dims = [r["d"] for r in written.select(F.size("v").alias("d")).distinct().orderBy("d").collect()] or [0]  # one row a dimension
+    parts = [_nearest(written.where(F.size("v") == d), queries.where(F.size("v") == d), k) for d in dims]
+    return reduce(DataFrame.unionByName, parts).withColumn("vec_id", F.nullif("vec_id", F.lit(NO_ID)))
+
+
+def _nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     entries = staged(vectors.distinct().withColumn("nth", nth).where(F.col("nth") <= k + 1))
     firsts = entries.where("nth = 1")

@@ -5,13 +5,12 @@ from lendframe.llm import ann as A
 
 
 def brute(rows, queries, k=5):
-    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    dim = max({len(v) for _, v in good}, key=lambda d: sum(len(v) == d for _, v in good)) if good else 0
-    good = [(i, v) for i, v in good if len(v) == dim]
+    good = [(1 << 63 if i is None else i, np.array(v, float)) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = {}
-    for q, v in {i: v for i, v in good if queries(i)}.items():
-        s = sorted({(-(v @ w) / (np.linalg.norm(v) * np.linalg.norm(w)), i) for i, w in good if i != q})
-        out[q] = s[:k]
+    for q, v in {i: v for i, v in good if i < 1 << 63 and queries(i)}.items():
+        s = sorted({(-(v @ w) / (np.linalg.norm(v) * np.linalg.norm(w)), i) for i, w in good if i != q and len(w) == len(v)})
+        if s:
+            out[q] = s[:k]
     return out
 
 
@@ -37,7 +36,7 @@ def test_recall_and_scores(spark, sf_dir):
 def test_messy(spark):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(60)] + [(i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) for i in range(100, 150)]
-    rows += [(0, rows[0][1]), (200, None), (201, [0.0] * 6), (202, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (203, [float("nan")] * 6), (204, [float("inf")] + [1.0] * 5), (205, [1.0, 2.0]), (None, [1.0] * 6), (206, [])]
+    rows += [(0, rows[0][1]), (200, None), (201, [0.0] * 6), (202, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (203, [float("nan")] * 6), (204, [float("inf")] + [1.0] * 5), (250, [1.0, 2.0]), (251, [2.0, 1.0]), (None, [3.0, 6.0]), (None, [1.0] * 6), (206, []), (300, [1.0] * 7)]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, score string")
     use = A.usable(df)
     got = {}
@@ -45,6 +44,7 @@ def test_messy(spark):
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
     want = brute(rows, lambda i: i % 50 == 0)
     assert set(got) == set(want)
+    assert [i for _, i in sorted(got[250])] == [None, 251]  # a dimension of its own, with a neighbour that has no id
     assert [i for _, i in sorted(got[100])] == [101, 102, 103, 104, 105]  # equal vectors: ties to the smaller id
     none = A.usable(df.where("false"))
     assert A.nearest(none, none).count() == 0
