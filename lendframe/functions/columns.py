@@ -107,6 +107,11 @@ def last_non_null(value: Column, order: Column) -> Column:
     return F.max_by(value, F.when(value.isNotNull(), _tie_key(order, value)))
 
 
+def last_key(value: Column, order: Column) -> Column:
+    """The key by which `last_non_null` chose, to choose again among the last values of several groups."""
+    return F.max(F.when(value.isNotNull(), _tie_key(order, value)))
+
+
 def row_at_max(fields: Iterable[str], order: str, *ties: str) -> Column:
     """Struct of `fields` from the row with the largest non-null `order`, nulls kept."""
     key = F.struct(*[F.col(c) for c in (order, *ties)])

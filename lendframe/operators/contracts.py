@@ -197,7 +197,7 @@ def uniqueness_checks(df: DataFrame, name: str, columns: DataFrame, keys: list[s
 
 
 def allowed_value_checks(df: DataFrame, name: str, columns: DataFrame, fixed: list[str]) -> list[DataFrame]:
-    """Values outside the contracted set, reported with the first five (V7).
+    """Values outside the contracted set, reported with the first five (V7). Numbers are compared as numbers, whatever type either side has.
 
     A broken column may have any number of such values: they stay rows, and the
     rank that keeps five is cut before the shuffle.
@@ -206,9 +206,11 @@ def allowed_value_checks(df: DataFrame, name: str, columns: DataFrame, fixed: li
     if not have:
         return []
     allowed = columns.where((F.col("table") == name) & F.col("feature").isin(*have))
-    pairs = allowed.select("feature", F.explode("allowed_values").alias("value"))
-    seen = P.distinct_values(df, have).where("value IS NOT NULL")
-    odd = seen.join(F.broadcast(pairs), ["feature", "value"], "left_anti")
+    numeric = [c for c in have if c in P.numeric_columns(df)]
+    number = F.when(F.col("feature").isin(*numeric), F.expr("try_cast(value AS DOUBLE)").cast("string"))
+    pairs = allowed.select("feature", F.explode("allowed_values").alias("value")).select("feature", F.coalesce(number, "value").alias("same"))
+    seen = P.distinct_values(df, have).where("value IS NOT NULL").withColumn("same", F.coalesce(number, "value"))
+    odd = seen.join(pairs, ["feature", "same"], "left_anti")
     ranked = odd.withColumn("r", F.row_number().over(Window.partitionBy("feature").orderBy("value"))).where("r <= 5")
     shown = ranked.groupBy("feature").agg(F.sort_array(F.collect_list("value")).alias("odd"))
     rows = shown.join(F.broadcast(allowed), "feature")

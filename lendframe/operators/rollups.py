@@ -51,6 +51,48 @@ def _stats(source: str, name: str, *stats: str) -> list[Column]:
     return [_agg(_STATS[s], source, f"{name}_{s}") for s in stats]
 
 
+class Merged:
+    """Aggregates of a group that are put together from those of its parts, so that the parts can be counted by the way.
+
+    `parts` are the states of a part: counts, sums, extremes, means with squared deviations, and last values with their keys.
+    Each method adds the states it needs and returns the aggregate over the parts.
+    """
+
+    def __init__(self):
+        self.parts: dict[str, Column] = {}
+
+    def _state(self, function: str, source: str) -> Column:
+        name = f"_{function}_{source}"
+        self.parts[name] = F.expr(f"{function}({source})")
+        return F.col(name)
+
+    def rows(self, name: str) -> Column:
+        return C.made(F.sum(self._state("count", "1").cast("bigint")), name, "count")
+
+    def stats(self, source: str, name: str, *stats: str) -> list[Column]:
+        return [self.stat(s, source, f"{name}_{s}") for s in stats]
+
+    def stat(self, stat: str, source: str, name: str) -> Column:
+        if stat in ("sum", "min", "max"):
+            value = F.expr(f"{stat}(_{stat}_{source})")
+            self._state(stat, source)
+        else:
+            n, total = self._state("count", source), self._state("sum", source)
+            value = F.sum(total) / F.nullif(F.sum(n), F.lit(0))
+            if stat == "std":  # squared deviations within the parts, and of their means
+                mean = total / F.nullif(n, F.lit(0))
+                spread = F.sum(self._state("var_pop", source) * n) + F.sum(total * mean) - F.sum(n) * value * value
+                value = F.when(F.sum(n) > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (F.sum(n) - 1)))
+        return C.made(value, name, stat)
+
+    def last(self, value: Column, order: Column, name: str) -> Column:
+        self.parts[f"_{name}"], self.parts[f"_{name}_key"] = C.last_non_null(value, order), C.last_key(value, order)
+        return C.made(F.max_by(f"_{name}", f"_{name}_key"), name, "last")
+
+    def states(self) -> list[Column]:
+        return [c.alias(n) for n, c in self.parts.items()]
+
+
 def _finish(df: DataFrame, flag: str) -> DataFrame:
     return C.ordered_columns(df.withColumn(flag, C.made(F.lit(1), flag, "presence")), APPLICANT)
 
@@ -275,27 +317,28 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
         }
     )
     p, entry = "inst_prev", F.col("DAYS_ENTRY_PAYMENT")
-    # counted apart: inside the wide aggregate a distinct count would send every buffer through two shuffles
-    versions = installments.select(LOAN, "NUM_INSTALMENT_VERSION").distinct()
-    versions = versions.groupBy(LOAN).agg(F.count("NUM_INSTALMENT_VERSION").alias(f"{p}_count_distinct_versions"))
-    out = rows.groupBy(LOAN).agg(
-        _rows(f"{p}_count_installments"),
-        *_stats("NUM_INSTALMENT_NUMBER", f"{p}_num_instalment", "max"),
-        *_stats("_delay", f"{p}_delay", "max", "mean", "sum", "std"),
-        _agg("sum", "_late", f"{p}_delay_positive_count"),
-        *_stats("_short", f"{p}_underpayment", "max", "mean", "sum"),
-        _agg("sum", "_short_flag", f"{p}_underpayment_positive_count"),
-        *_stats("_ratio", f"{p}_payment_ratio", "mean", "min", "max"),
-        _agg("sum", "_underpaid", f"{p}_underpaid_count"),
-        *_stats("AMT_INSTALMENT", f"{p}_amt_instalment", "sum", "mean"),
-        *_stats("AMT_PAYMENT", f"{p}_amt_payment", "sum", "mean", "max"),
-        *_stats("DAYS_INSTALMENT", f"{p}_days_instalment", "min", "max"),
-        *_stats("DAYS_ENTRY_PAYMENT", f"{p}_days_entry", "min", "max"),
-        C.made(C.last_non_null(F.col("_delay"), entry), f"{p}_delay_last", "last"),
-        C.made(C.last_non_null(F.col("_ratio"), entry), f"{p}_payment_ratio_last", "last"),
-        C.made(C.last_non_null(paid, entry), f"{p}_amt_payment_last", "last"),
-    )
-    return out.join(versions, LOAN)
+    m = Merged()
+    wanted = [
+        m.rows(f"{p}_count_installments"),
+        C.made(F.count("NUM_INSTALMENT_VERSION"), f"{p}_count_distinct_versions", "nunique"),
+        *m.stats("NUM_INSTALMENT_NUMBER", f"{p}_num_instalment", "max"),
+        *m.stats("_delay", f"{p}_delay", "max", "mean", "sum", "std"),
+        m.stat("sum", "_late", f"{p}_delay_positive_count"),
+        *m.stats("_short", f"{p}_underpayment", "max", "mean", "sum"),
+        m.stat("sum", "_short_flag", f"{p}_underpayment_positive_count"),
+        *m.stats("_ratio", f"{p}_payment_ratio", "mean", "min", "max"),
+        m.stat("sum", "_underpaid", f"{p}_underpaid_count"),
+        *m.stats("AMT_INSTALMENT", f"{p}_amt_instalment", "sum", "mean"),
+        *m.stats("AMT_PAYMENT", f"{p}_amt_payment", "sum", "mean", "max"),
+        *m.stats("DAYS_INSTALMENT", f"{p}_days_instalment", "min", "max"),
+        *m.stats("DAYS_ENTRY_PAYMENT", f"{p}_days_entry", "min", "max"),
+        m.last(F.col("_delay"), entry, f"{p}_delay_last"),
+        m.last(F.col("_ratio"), entry, f"{p}_payment_ratio_last"),
+        m.last(paid, entry, f"{p}_amt_payment_last"),
+    ]
+    # one scan: a loan's versions are its parts, and counting the parts that have one counts the versions
+    parts = rows.groupBy(LOAN, "NUM_INSTALMENT_VERSION").agg(*m.states())
+    return parts.groupBy(LOAN).agg(*wanted)
 
 
 def rollup_installments(installments: DataFrame, previous: DataFrame) -> DataFrame:

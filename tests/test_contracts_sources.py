@@ -67,6 +67,17 @@ def test_contract_from_profile_accepts_its_own_table(spark):
     assert violations.count() == 0
 
 
+def test_allowed_numbers_compare_as_numbers(spark):
+    """A set frozen from whole numbers accepts them as doubles and the reverse; texts stay texts."""
+    whole = spark.createDataFrame([(i, i % 3, str(i % 2)) for i in range(60)], "SK_ID_BUREAU bigint, v bigint, s string")
+    contract = K.derive_contracts({"bureau": whole})
+    same = whole.withColumn("v", F.col("v").cast("double"))
+    assert K.validate({"bureau": same}, *contract)[0].count() == 0
+    assert K.validate({"bureau": whole}, *K.derive_contracts({"bureau": same}))[0].count() == 0
+    other = same.withColumns({"v": F.when(F.col("v") == 2, 2.5).otherwise(F.col("v")), "s": F.when(F.col("s") == "1", "1.0").otherwise(F.col("s"))})
+    assert {(r["check"], r["column"], r["observed"]) for r in K.validate({"bureau": other}, *contract)[0].where("check = 'allowed_values'").collect()} == {("allowed_values", "v", "2.5"), ("allowed_values", "s", "1.0")}
+
+
 @pytest.mark.parametrize("encoding,text", [("utf-8", "Zoë €"), ("cp1252", "Zoë €"), ("latin-1", "Zo\xeb \x81")])
 def test_csv_encodings(spark, tmp_path, encoding, text):
     path = tmp_path / "t.csv"
