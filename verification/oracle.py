@@ -607,3 +607,15 @@ ORACLE["catalogue_fill"] = (
     f"WITH counts AS (SELECT name, filled FROM (UNPIVOT (SELECT count(COLUMNS(* EXCLUDE (SK_ID_CURR, TARGET))) FROM ({_MATRIX})) ON COLUMNS(*) INTO NAME name VALUE filled)) "
     + " UNION ALL ".join([_filled(s, ORACLE[q]) for q, s in _SOURCES.items()] + [_filled("application_train", RS.APPLICATION, '"SK_ID_CURR", "TARGET"')])
 )
+
+_SUM = " + ".join(f'coalesce("{f}", 0) * {w}::DOUBLE' for f, w in _WEIGHTS.items())
+_EXPLAINED = f"""WITH {_FEATURES.replace('x AS', 'fx AS', 1)},
+people AS (SELECT CAST(applicant_id AS VARCHAR) AS applicant_id, 'default' AS segment, 0 AS y, NULL::VARCHAR AS o, 1 / (1 + exp(-(-6.0 + ({_SUM}) / 16))) AS pd FROM fx),
+{_outcomes('people', False)}"""
+ORACLE["explain_batch"] = f"""{_REASONS.replace(_DECIDED, _EXPLAINED, 1)},
+text AS ({ORACLE['notice_text'].replace(_REASONS, '', 1)}),
+tops AS (SELECT CAST(applicant_id AS VARCHAR) AS applicant_id, string_agg(feature, ',' ORDER BY k) AS top
+  FROM (SELECT *, row_number() OVER (PARTITION BY applicant_id ORDER BY abs(coalesce(c, 0)) DESC, feature) AS k FROM long) WHERE k <= 3 GROUP BY 1),
+firsts AS (SELECT applicant_id, string_agg(code, ',' ORDER BY k) AS reasons FROM ranked WHERE k <= 4 GROUP BY 1)
+SELECT applicant_id, round(pd, 6) AS pd, decision, top, CASE WHEN decision = 'APPROVE' THEN '' ELSE coalesce(reasons, '') END AS reasons, CAST(length(notice_text) AS INTEGER) AS notice_length
+FROM notices JOIN text USING (applicant_id) JOIN tops USING (applicant_id) LEFT JOIN firsts USING (applicant_id)"""

@@ -728,7 +728,7 @@ def explain_batch(spark: SparkSession, d: str) -> DataFrame:
     out = Z.explain_requests(requests, features, lambda df: df.withColumn("raw_pd", M.sigmoid(z)), WEIGHTS, top_k=3)
     return out.select(
         "applicant_id",
-        F.round("pd", 5).alias("pd"),
+        "pd",
         "decision",
         F.array_join(F.transform("top_contributions", lambda c: c["feature"]), ",").alias("top"),
         F.array_join(F.transform("primary_reasons", lambda c: c["code"]), ",").alias("reasons"),
