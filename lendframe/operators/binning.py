@@ -362,10 +362,10 @@ def correlation_matrix(df: DataFrame, features: Sequence[str]) -> list[list[floa
 
 
 def corr_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(a, b, r) for every pair of columns, a before b (W8), as one aggregate."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
-    row = df.agg(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("r")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(F.array(*[f"p{i}" for i in range(len(pairs))])))
+    """(a, b, r) for every pair of columns, a before b (W8), from the matrix that pruning walks over."""
+    matrix = correlation_matrix(df, features)
+    rows = [(a, b, matrix[i][j]) for i, a in enumerate(features) for j, b in enumerate(features) if i < j]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def prune_correlated(decisions: DataFrame, encoded: DataFrame, limit: float = CORRELATION_MAX) -> DataFrame:

@@ -372,6 +372,22 @@ ORACLE["corr_pairs"] = _ENCODED + " UNION ALL ".join(
     for a, b in (("price", "month"), ("price", "age"), ("month", "age"))
 )
 
+_WALK = ", ".join(
+    ["s0 AS (SELECT []::BIGINT[] AS kept)"]
+    + [
+        f"s{i} AS (SELECT CASE WHEN (SELECT count(*) FROM near, s{i - 1} q WHERE near.j = {i} AND list_contains(q.kept, near.i)) > 0 THEN kept ELSE list_append(kept, {i}) END AS kept FROM s{i - 1})"
+        for i in range(1, len(_CUTS) + 2)
+    ]
+)
+ORACLE["correlation_pruning"] = f"""{_WOE.replace('binned AS (', f"binned AS (SELECT k, 'copy' AS feature, {_bin('price', _CUTS['price'])} AS bin, y FROM rows UNION ALL ", 1)},
+el AS (SELECT k, feature, woe FROM binned JOIN woes USING (feature, bin)),
+ranked AS (SELECT feature, iv, row_number() OVER (ORDER BY iv DESC, feature) AS i FROM ivs),
+near AS (SELECT p.i, q.i AS j, abs(corr(x.woe, y.woe)) AS r FROM ranked p JOIN ranked q ON p.i < q.i JOIN el x ON x.feature = p.feature
+  JOIN el y ON y.feature = q.feature AND x.k = y.k GROUP BY p.i, q.i HAVING NOT isnan(r) AND r > 0.9), {_WALK},
+hits AS (SELECT j, arg_min(ranked.feature, near.i) AS won, arg_min(r, near.i) AS r FROM near JOIN ranked USING (i), s{len(_CUTS) + 1} WHERE list_contains(kept, near.i) GROUP BY j)
+SELECT feature, round(iv, 9) AS iv, CASE WHEN won IS NULL THEN 'kept' ELSE 'correlated' END AS reason, won IS NULL AS kept, won AS correlated_with, round(hits.r, 6) AS r
+FROM ranked LEFT JOIN hits ON ranked.i = hits.j"""
+
 # --- calibration and comparison ---------------------------------------------
 
 ORACLE["calibrated_predictions"] = f"""WITH {_LINES}

@@ -507,12 +507,27 @@ def binning_fit(spark: SparkSession, d: str) -> DataFrame:
     return B.fit_binning(_labelled(spark, d)).table(spark)
 
 
+def _scored_loans(spark: SparkSession, d: str) -> DataFrame:
+    """The same orders with a target that price, month and state sway a little, so that default limits leave features to choose from."""
+    chance = 8 + F.when(F.col("price") > 150000, 8).otherwise(0) + F.when(F.col("month") > 6, 6).otherwise(0) + F.when(F.col("state") == "O", 4).otherwise(0)
+    return _labelled(spark, d).withColumn("TARGET", (F.pmod(F.xxhash64("SK_ID_CURR"), F.lit(100)) < chance).cast("int"))
+
+
 @query
 def feature_selection(spark: SparkSession, d: str) -> DataFrame:
-    rows = _labelled(spark, d).withColumn("price_copy", F.col("price") * 2)
-    fit = B.fit_binning(rows, min_events=20)
-    decisions = B.iv_selection(fit.values(spark), high=5.0)
-    return B.prune_correlated(decisions, fit.transform(rows, ["SK_ID_CURR"]))
+    rows = _scored_loans(spark, d).withColumn("price_copy", F.col("price") * 2)
+    fit = B.fit_binning(rows)
+    return B.prune_correlated(B.iv_selection(fit.values(spark)), fit.transform(rows, ["SK_ID_CURR"]))
+
+
+@query
+def correlation_pruning(spark: SparkSession, d: str) -> DataFrame:
+    """The walk over given bins, a copy of the price among them: all IVs count, so that only correlation drops."""
+    rows = _labelled(spark, d).withColumn("copy", F.col("price"))
+    cuts = {**CUTS, "copy": CUTS["price"]}
+    table = B.woe_table(rows, cuts)
+    decisions = B.iv_selection(B.information_values(table), low=-1.0, high=1e9)
+    return digits(B.prune_correlated(decisions, B.woe_transform(rows, table, cuts, ["SK_ID_CURR"])), {"iv": 9, "r": 6})
 
 
 @query
@@ -524,14 +539,14 @@ def selection_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _matrix(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    rows = _labelled(spark, d).drop("state", "flat").withColumn("late", (F.col("month") > 6).cast("int"))
+    rows = _scored_loans(spark, d)
     return S.split_frames(rows, S.stratified_split(rows))
 
 
 @query
 def champion_fit(spark: SparkSession, d: str) -> DataFrame:
     parts = _matrix(spark, d)
-    fit = B.fit_binning(parts["dev"], min_events=20)
+    fit = B.fit_binning(parts["dev"])
     encoded = {n: fit.transform(p, ["SK_ID_CURR", "TARGET"]) for n, p in parts.items()}
     return X.champion_search(encoded["dev"], encoded["val"]).trials
 
@@ -540,7 +555,8 @@ def champion_fit(spark: SparkSession, d: str) -> DataFrame:
 def challenger_fit(spark: SparkSession, d: str) -> DataFrame:
     """A short search: 2 trials of at most 5 rounds, since one of the default length is hours of fitting on any table."""
     parts = _matrix(spark, d)
-    return X.challenger_search(parts["dev"], parts["val"], trials=2, max_rounds=5).trials
+    dev, val, _ = E.encode_splits(parts["dev"], parts["val"], parts["test"])
+    return X.challenger_search(dev, val, trials=2, max_rounds=5).trials
 
 
 @query
