@@ -8,7 +8,8 @@ the largest id stays.
 
 Null text counts as empty. A null id is smaller than any other. Rows that repeat an id within a group are each returned; one of
 them stays. An empty table, snapshot or batch gives an empty side. Extra columns are ignored.
-Groups are summed before they are shuffled, so a group of any size is a few rows; texts are shuffled only for digests seen twice.
+Groups are summed before they are shuffled, so a group of any size is a few rows. The semi-join that picks the texts let through
+shuffles every text once.
 """
 
 from __future__ import annotations
