@@ -1,10 +1,11 @@
 """Sharding by Karmarkar-Karp differencing: shards of near-equal bytes from groups that must not be split.
 
 Documents with equal texts form a group, and a group goes to one shard. Groups are summed first; in hash buckets of a few
-thousand, differencing joins them to units of near-equal bytes, some hundreds for each shard and buckets whose number
-is bounded, and the smallest groups stay single; so the units are a bounded table at any input size. Differencing then deals the units to the shards: of all partial
-partitions the two with the largest spread are combined, the fullest part of one with the emptiest of the other, until
-one is left. A group larger than a shard's share is not split; all others balance around it.
+thousand, differencing joins them to units of near-equal bytes, at most some hundreds for each shard in all, and the smallest groups stay
+single. Units are joined the same way until there are at most MOST_UNITS, so what is dealt in one place is a bounded table at any input
+size. Differencing then deals the units to the shards: of all partial partitions the two with the largest spread are combined, the
+fullest part of one with the emptiest of the other, until one is left. Small and large tables take the same path. A group larger than a
+shard's share is not split; all others balance around it.
 
 Size: UTF-8 bytes of the text plus 16. Null text has no bytes, checksum 0, and forms a group of its own. Repeated rows are
 rows like others. An empty table gives an empty result. Extra columns are ignored.
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from lendframe.llm.common import staged, table
 
 SHARDS = 40
-#: Groups of one hash bucket, and the most buckets there are.
-BUCKET, MOST_BUCKETS = 4000, 4096
+#: Groups of one hash bucket, about, and the most units that are dealt in one place; with very many shards, four times what they need.
+BUCKET, MOST_UNITS = 4000, 100_000
 #: Units a shard is made of, about, and the smallest groups of a bucket that stay single, to level out the rest.
 UNITS, LOOSE = 200, 16
 
@@ -63,22 +64,35 @@ def difference(sizes: np.ndarray, parts: int) -> np.ndarray:
     return np.array([roots[k] for k in parent.tolist()], np.int64)
 
 
-def _units(groups: DataFrame, total: int, count: int, shards: int) -> DataFrame:
-    """groups (g, bytes) with the unit each belongs to: bucket, unit."""
+def _bundled(items: DataFrame, total: int, count: int, shards: int, level: int) -> DataFrame:
+    """items (g, bytes) with the unit each belongs to."""
     share = max(1, total // (shards * UNITS))
-    buckets = max(1, min(MOST_BUCKETS, count // BUCKET))
+    buckets = max(1, count // BUCKET)
 
     def bundle(key, group):
-        sizes = group["bytes"].to_numpy()
+        sizes, bucket = group["bytes"].to_numpy(), key[0].as_py()
         unit = np.arange(len(sizes))
         joined = np.lexsort((group["g"].to_numpy(zero_copy_only=False), sizes))[LOOSE:]
-        if count > shards * UNITS and len(joined):
-            parts = min(len(joined), max(1, int(sizes[joined].sum() // share)))
+        parts = max(1, int(sizes[joined].sum() // share))
+        if parts < len(joined):
             unit[joined] = len(sizes) + difference(sizes[joined], parts)
-        return pa.table({"g": group["g"], "bytes": group["bytes"], "bucket": pa.array(np.full(len(sizes), key[0].as_py(), np.int32)), "unit": pa.array(unit)})
+        return pa.table({"g": group["g"], "bytes": group["bytes"], "unit": pa.array([f"{level}-{bucket}-{u}" for u in unit.tolist()], pa.string())})
 
     by = F.pmod(F.xxhash64("g"), F.lit(buckets)).cast("int")
-    return groups.withColumn("bucket", by).groupBy("bucket").applyInArrow(bundle, "g string, bytes long, bucket int, unit long")
+    return items.withColumn("bucket", by).groupBy("bucket").applyInArrow(bundle, "g string, bytes long, unit string")
+
+
+def _units(groups: DataFrame, total: int, count: int, shards: int) -> tuple[DataFrame, DataFrame]:
+    """groups (g, bytes) with the unit each belongs to, and the units with their bytes (about MOST_UNITS at most)."""
+    members, level = staged(_bundled(groups, total, count, shards, 1)), 1
+    while True:
+        units = staged(members.groupBy("unit").agg(F.sum("bytes").alias("bytes")))
+        many = units.count()
+        if many <= max(MOST_UNITS, 4 * shards * UNITS):
+            return members.select("g", "unit"), units
+        level += 1
+        again = _bundled(units.withColumnRenamed("unit", "g"), total, many, shards, level).select(F.col("g").alias("unit"), F.col("unit").alias("next"))
+        members = staged(members.join(again, "unit").select("g", "bytes", F.col("next").alias("unit")))
 
 
 def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -88,15 +102,14 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = staged(docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("")).alias("g")))
     groups = staged(rows.groupBy("g").agg(F.sum("size").alias("bytes")))
     total, count = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
-    members = staged(_units(groups, total, count, shards))
+    members, units = _units(groups, total, count, shards)
 
     def deal(units):
-        units = units.sort_by([("bytes", "descending"), ("bucket", "ascending"), ("unit", "ascending")])
-        return pa.table({"bucket": units["bucket"], "unit": units["unit"], "shard": pa.array(difference(units["bytes"].to_numpy(), shards).astype(np.int32))})
+        units = units.sort_by([("bytes", "descending"), ("unit", "ascending")])
+        return pa.table({"unit": units["unit"], "shard": pa.array(difference(units["bytes"].to_numpy(), shards).astype(np.int32))})
 
-    units = members.groupBy("bucket", "unit").agg(F.sum("bytes").alias("bytes"))
-    dealt = units.groupBy().applyInArrow(deal, "bucket int, unit long, shard int")
-    placed = staged(rows.join(members.join(dealt, ["bucket", "unit"]).select("g", "shard"), "g").drop("g"))
+    dealt = units.groupBy().applyInArrow(deal, "unit string, shard int")
+    placed = staged(rows.join(members.join(dealt, "unit").select("g", "shard"), "g").drop("g"))
     # slots: rows are numbered within hash parts of a shard, after all rows of the parts before
     parts = max(1, placed.count() // 1_000_000) * 8
     placed = placed.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)))
