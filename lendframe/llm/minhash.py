@@ -42,7 +42,7 @@ FAN = 256
 FEWER = 0.9
 #: Words of 64 bits in the bitmap of a text's units.
 BITS = 32
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 
 def elements(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
