@@ -34,3 +34,14 @@ def test_names_and_run(spark, sf_dir):
 
     assert len(C.STAGES) == 5 and queries()["pipeline"] is C.run and C.ORACLE_SQL is None
     assert C.run(spark, sf_dir).count() > 0
+
+
+def test_stages_on_messy_and_empty_tables(spark, sf_dir, messy, empty):
+    """Nulls, empty and very long texts, repeated rows, clashing columns: every stage passes on rows with the columns of its input."""
+    for docs, some in ((messy, True), (empty, False)):
+        out = docs
+        for name, stage in C.STAGES[:-1]:
+            out = staged(stage(spark, out, sf_dir))
+            assert out.columns == messy.columns, name
+        pieces = C.STAGES[-1][1](spark, out, sf_dir)
+        assert (pieces.count() > 0) is some
