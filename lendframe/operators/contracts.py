@@ -79,7 +79,7 @@ def derive_contracts(tables: Mapping[str, DataFrame], primary_keys: Mapping[str,
         if name in REFERENCE_TABLES:
             continue
         key = primary_keys.get(name)
-        columns.append(column_contract(P.profile(df, None), name, key))
+        columns.append(column_contract(P.profile(df, None, False), name, key))
         sizes.append(
             df.agg(
                 F.lit(name).alias("table"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from lendframe.functions import ordered as O
 from lendframe.functions.radix import Distributions, per_column
+from lendframe.session import staged
 
 DISTINCT_LIMIT = 50
 PREVIEW = 5
@@ -58,16 +59,35 @@ def value_sets(df: DataFrame, names: Sequence[str] | None = None, limit: int = D
     )
 
 
-def value_preview(df: DataFrame, n: int = PREVIEW) -> DataFrame:
+def value_preview(df: DataFrame, names: Sequence[str] | None = None, n: int = PREVIEW) -> DataFrame:
     """(feature, sample_values): the n smallest different values of every column, numbers by size.
 
-    The rule is over the whole table, so it does not depend on the order of rows or files; equal values
-    shrink to one before the shuffle, and the rank is cut there too.
+    The rule is over the whole table, so it does not depend on the order of rows or files. Each of n passes takes the next larger value of
+    all columns at once; nothing is shuffled but one row a task.
     """
-    keyed = distinct_values(df, df.columns).where("value IS NOT NULL").withColumn("number", F.expr("try_cast(value AS DOUBLE)"))
-    rank = F.row_number().over(Window.partitionBy("feature").orderBy("number", "value"))
-    few = keyed.withColumn("rank", rank).where(F.col("rank") <= n)
-    return few.groupBy("feature").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "value"))), lambda x: x["value"]).alias("sample_values"))
+    names = list(names if names is not None else df.columns)
+    numeric, found = set(numeric_columns(df)), {c: [] for c in names}
+
+    def key(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        number = F.col(f"`{c}`").cast("double") if c in numeric else text.try_cast("double")
+        return F.when(text.isNotNull(), F.struct(number.alias("number"), text.alias("text")))
+
+    for _ in range(n):
+        left = [c for c in names if not found[c] or found[c][-1]]
+
+        def following(c: str) -> Column:
+            last = found[c][-1] if found[c] else None
+            beyond = F.struct(F.lit(last["number"]).cast("double").alias("number"), F.lit(last["text"]).alias("text")) if last else None
+            return F.min(key(c) if last is None else F.when(key(c) > beyond, key(c))).alias(f"c{names.index(c)}")
+
+        for start in range(0, len(left), 150):
+            chunk = left[start : start + 150]
+            row = df.agg(*[following(c) for c in chunk]).first()
+            for c in chunk:
+                found[c].append(row[f"c{names.index(c)}"])
+    rows = [(c, [v["text"] for v in values if v]) for c, values in found.items()]
+    return df.sparkSession.createDataFrame([r for r in rows if r[1]], "feature string, sample_values array<string>")
 
 
 def column_stats(df: DataFrame) -> DataFrame:
@@ -98,13 +118,22 @@ def quantile_table(df: DataFrame, names: Sequence[str], exact: bool = True, accu
     return edges.select("feature", *[F.get("edges", F.lit(i)).alias(n) for i, n in enumerate(SAMPLE_PROBS)])
 
 
-def profile(df: DataFrame, exact_quantiles: bool | None = True) -> DataFrame:
-    """One row per column: counts, range, moments, quantiles and small value sets (P1-P6). Quantiles: exact, by sketch, or (None) left out."""
+def profile(df: DataFrame, exact_quantiles: bool | None = True, previews: bool = True) -> DataFrame:
+    """One row per column: counts, range, moments, quantiles, small value sets and previews.
+
+    Quantiles: exact, by sketch, or (None) left out. Columns without a value set have their smallest values as preview.
+    """
     numeric = numeric_columns(df)
     out = column_stats(df)
     if numeric and exact_quantiles is not None:
         out = out.join(quantile_table(df, numeric, exact_quantiles), "feature", "left")
-    return out.join(value_sets(df), "feature", "left")
+    sets = staged(value_sets(df))
+    wide = sorted(set(df.columns) - {r["feature"] for r in sets.select("feature").collect()})
+    preview = value_preview(df, wide).withColumnRenamed("sample_values", "_preview") if previews and wide else None
+    out = out.join(sets, "feature", "left")
+    if preview is None:
+        return out
+    return out.join(preview, "feature", "left").withColumn("sample_values", F.coalesce("sample_values", "_preview")).drop("_preview")
 
 
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -64,7 +64,7 @@ def _number_profile(c: str, small: bool) -> str:
       round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(quantile_cont({c}, 0.01), 4) AS p01,
       round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.99), 4) AS p99,
       {f'count(DISTINCT {c})' if small else 'NULL::BIGINT'} AS n_unique, {text(values)} AS unique_values,
-      {text(f'{values}[1:5]')} AS sample_values FROM o"""
+      array_to_string(list_transform({values}[1:5], lambda v: CAST(v AS VARCHAR)), ',') AS sample_values FROM o"""
 
 
 def _text_profile(c: str) -> str:
