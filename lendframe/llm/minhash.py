@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendframe.llm.common import BASE, ascii_lower, mix, slices, staged, table, utf8, word_hashes
+from lendframe.llm.common import BASE, ascii_lower, give_back, mix, slices, staged, table, utf8, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -129,6 +129,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(keys[full].ravel()))
             cut = batch.slice(low, high - low)
             yield pa.RecordBatch.from_arrays([cut.column("doc_id"), cut.column("node"), lists], names=["doc_id", "node", "bands"])
+    give_back()
 
 
 def bitmaps(element: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
@@ -148,6 +149,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(e.view(np.int64)))
             bits = pa.ListArray.from_arrays(pa.array(np.arange(high - low + 1, dtype=np.int32) * BITS), pa.array(bitmaps(e, owner, high - low).view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("node").slice(low, high - low), lists, bits], names=["node", "elements", "bits"])
+    give_back()
 
 
 def _compare(left, right):

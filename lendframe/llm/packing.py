@@ -13,6 +13,7 @@ tokenised by itself whatever its length.
 from __future__ import annotations
 
 import re
+import struct
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -22,15 +23,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendframe.llm.common import staged, table
+from lendframe.llm.common import give_back, staged, table
 
 CAPACITY = 2048
 OPEN_WINDOWS = 64
 END_ID = 1
 #: Unfinished sequences that one task of the final merge takes.
 FAN = 512
-#: Words a task keeps with their ids.
+#: Pieces a task hands on at once, 8 kB of ids each at most.
+BATCH = 500
+#: Words a task keeps with their ids, and the bytes of the longest.
 CACHE = 200_000
+LONGEST = 40
 OUT = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
      ("sequence_id", pa.int64()), ("offset", pa.int64()), ("part", pa.int64())]
@@ -52,44 +56,56 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         # the byte alphabet of byte-level BPE: printable Latin-1 stands for itself, the others follow from 256
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in kept]
-        self.letters = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.letters = {b: 256 + i for i, b in enumerate(others)}
+
+    def _ids(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        found = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(found)}I", *found)
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        key = piece.encode()
+        ids = self.words.get(key)
         if ids is None:
-            if len(self.pieces) >= CACHE:
-                self.pieces.clear()
-            tokens = self.model.tokenize("".join(self.letters[b] for b in piece.encode()))
-            ids = self.pieces[piece] = np.array([t.id for t in tokens], "<u4").tobytes()
+            ids = self._ids(piece)
+            if len(key) <= LONGEST:
+                self.words[key] = ids
         return ids
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters alone
+            return self._ids(word.lower().decode())
         text = word.decode("utf-8")
         if m := SIMPLE.fullmatch(text):
             return self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"")
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        found = self.whole.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
 
     def __call__(self, text: str) -> bytes:
-        words = text.encode("utf-8").split()
-        known = self.words
+        data = text.encode("utf-8")
+        # the tokenizer lowers all letters: A-Z can be lowered first, where no special token and no mark that joins a letter (U+0300 to U+037F) is near
+        if b"<|" not in data and b"\xcc" not in data and b"\xcd" not in data:
+            data = data.lower()
+        words, known = data.split(), self.words
+        out = list(map(known.get, words))
         try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
+            return b"".join(out)
+        except TypeError:  # a word that is not known yet
             pass
         if len(known) >= CACHE:
             known.clear()
-        out = []
-        for word in words:
-            ids = known.get(word)
+        for i, ids in enumerate(out):
             if ids is None:
-                ids = self._word(word)
-                if len(word) <= 40:
-                    known[word] = ids
-            out.append(ids)
+                word = words[i]
+                ids = known.get(word)
+                if ids is None:
+                    ids = self._word(word)
+                    if len(word) <= LONGEST:
+                        known[word] = ids
+                out[i] = ids
         return b"".join(out)
 
 
@@ -174,15 +190,17 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, open_windows
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
+        give_back()  # what an earlier stage left in this worker
         encode, windows = encoder(tokenizer), Windows(capacity, open_windows, _first_id(0, part), part)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = encode(text.as_py() or "") + end
                 windows.add(doc_id, 0, ids, len(ids) // 4)
-                if len(windows.rows) >= 2000:
+                if len(windows.rows) >= BATCH:
                     yield windows.take()
         windows.emit(windows.close(), -1)
         yield windows.take()
+        give_back()
 
     def merge(level: int, groups: int):
         def run(key, pieces):

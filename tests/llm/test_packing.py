@@ -63,3 +63,13 @@ def test_empty(empty):
 @given(st.text(alphabet=st.sampled_from(list("abAB'sStlLéÉßµ.,!?-_12 \n\t\x1c\x85 ́Σς日<|>endofxt")), max_size=40))
 def test_words_encode_as_the_whole(text):
     assert np.frombuffer(ENCODER(text), "<u4").tolist() == ids_of(text)[:-1]
+
+
+def test_lowering_and_memory():
+    """Words that differ in case are held once, and lowering before the tokenizer changes no id where a mark or a special token is near."""
+    encode = P.Encoder(P.tokenizer_path())
+    for text in ("Word WORD word", "H\u0331 h\u0331 I\u0307 E\u0301 \u212a \u1e96", "A <|endoftext|> B <|ENDOFTEXT|>", "Casa, CASA. casa", "DON'T I'LL 'S"):
+        assert np.frombuffer(encode(text), "<u4").tolist() == ids_of(text)[:-1]
+    fresh = P.Encoder(P.tokenizer_path())
+    fresh("Word WORD word")
+    assert len(fresh.words) == 1
