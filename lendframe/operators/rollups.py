@@ -51,6 +51,15 @@ def _stats(source: str, name: str, *stats: str) -> list[Column]:
     return [_agg(_STATS[s], source, f"{name}_{s}") for s in stats]
 
 
+#: Whole numbers that `Merged.distinct` counts by bits, and those of one state.
+VERSIONS, WORD = 186, 62
+
+
+def _is_odd(source: str) -> Column:
+    x = F.col(source).cast("double")
+    return F.isnan(x) | (x < 0) | (x >= VERSIONS) | (x != F.floor(x))
+
+
 class Merged:
     """Aggregates of a group that are put together from those of its parts, so that the parts can be counted by the way.
 
@@ -60,6 +69,7 @@ class Merged:
 
     def __init__(self):
         self.parts: dict[str, Column] = {}
+        self.keys: dict[str, Column] = {}  # columns that the rows need first: each is made once, outside the aggregate's code
 
     def _state(self, function: str, source: str) -> Column:
         name = f"_{function}_{source}"
@@ -85,8 +95,19 @@ class Merged:
                 value = F.when(F.sum(n) > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (F.sum(n) - 1)))
         return C.made(value, name, stat)
 
+    def distinct(self, source: str, name: str) -> Column:
+        """Different values: whole numbers below VERSIONS by bits, all others as parts of their own, which `odd` names."""
+        x, words = F.col(source).cast("double"), []
+        for low in range(0, VERSIONS, WORD):
+            here = (x >= low) & (x < min(low + WORD, VERSIONS)) & ~_is_odd(source)
+            self.parts[f"_{name}_{low}"] = F.bit_or(F.when(here, F.call_function("shiftleft", F.lit(1).cast("bigint"), (x - low).cast("int"))))
+            words.append(F.coalesce(F.bit_count(F.bit_or(f"_{name}_{low}")), F.lit(0)))
+        return C.made(sum(words, F.count("_odd")), name, "nunique")
+
     def last(self, value: Column, order: Column, name: str) -> Column:
-        self.parts[f"_{name}"], self.parts[f"_{name}_key"] = C.last_non_null(value, order), C.last_key(value, order)
+        key = f"_{name}_at"
+        self.keys[key] = C.last_order(value, order)
+        self.parts[f"_{name}"], self.parts[f"_{name}_key"] = F.max_by(value, F.col(key)), F.max(key)
         return C.made(F.max_by(f"_{name}", f"_{name}_key"), name, "last")
 
     def states(self) -> list[Column]:
@@ -320,7 +341,7 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
     m = Merged()
     wanted = [
         m.rows(f"{p}_count_installments"),
-        C.made(F.count("NUM_INSTALMENT_VERSION"), f"{p}_count_distinct_versions", "nunique"),
+        m.distinct("NUM_INSTALMENT_VERSION", f"{p}_count_distinct_versions"),
         *m.stats("NUM_INSTALMENT_NUMBER", f"{p}_num_instalment", "max"),
         *m.stats("_delay", f"{p}_delay", "max", "mean", "sum", "std"),
         m.stat("sum", "_late", f"{p}_delay_positive_count"),
@@ -336,8 +357,9 @@ def installments_per_loan(installments: DataFrame) -> DataFrame:
         m.last(F.col("_ratio"), entry, f"{p}_payment_ratio_last"),
         m.last(paid, entry, f"{p}_amt_payment_last"),
     ]
-    # one scan: a loan's versions are its parts, and counting the parts that have one counts the versions
-    parts = rows.groupBy(LOAN, "NUM_INSTALMENT_VERSION").agg(*m.states())
+    # one scan: a loan is one part, with bits for its versions, and one more for each version that has no bit
+    odd = F.when(_is_odd("NUM_INSTALMENT_VERSION"), F.col("NUM_INSTALMENT_VERSION"))
+    parts = rows.withColumns(m.keys).withColumn("_odd", odd).groupBy(LOAN, "_odd").agg(*m.states())
     return parts.groupBy(LOAN).agg(*wanted)
 
 

@@ -134,6 +134,25 @@ def test_last_non_null_over_the_whole_range(spark, rows, want):
     assert df.agg(C.last_non_null(F.col("v"), F.col("o")).alias("v")).first()["v"] == want
 
 
+def test_versions_are_parts_only_where_they_must(spark):
+    """Any double may be a version; a loan with usual versions is one row of the first aggregate."""
+    versions = [0.0, -0.0, 1.0, 1.0, 61.0, 62.0, 185.0, 186.0, 1.5, -1.0, float("nan"), float("nan"), float("inf"), 1e300, None]
+    rows = [(1, v, i) for i, v in enumerate(versions)] + [(2, float(v % 3), v) for v in range(9)] + [(3, None, 0)]
+    df = spark.createDataFrame(rows, "SK_ID_PREV bigint, NUM_INSTALMENT_VERSION double, NUM_INSTALMENT_NUMBER bigint").select(
+        "*", *[F.col("NUM_INSTALMENT_NUMBER").cast("double").alias(c) for c in ("DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT")]
+    )
+    out = R.installments_per_loan(df)
+    found = {r["SK_ID_PREV"]: (r["inst_prev_count_distinct_versions"], r["inst_prev_count_installments"]) for r in out.collect()}
+    assert found == {1: (11, 15), 2: (3, 9), 3: (0, 1)}
+    assert "_odd" in out._jdf.queryExecution().optimizedPlan().toString() and dict(out.dtypes)["inst_prev_count_distinct_versions"] == "bigint"
+
+
+def test_rank_is_made_once(spark):
+    """The logarithm of a value stands outside every conditional expression, where Spark makes it once for a row."""
+    plan = spark.range(9).select(C.last_order(F.col("id").cast("double"), F.col("id")).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LOG2" in plan.upper() and "CASE WHEN" not in plan.split("LOG2")[-1]
+
+
 def test_whole_rank_counts_doubles(spark):
     rng = np.random.default_rng(0)
     bits = np.concatenate([rng.integers(0, 0x7FF0000000000001, 20_000), np.arange(2047) << 52, (np.arange(1, 2047) << 52) - 1, np.arange(50)]).astype(np.int64)
