@@ -116,6 +116,14 @@ def test_champion_and_challenger(spark, loans):
     assert smoke["verdict"] == "below_expected"
 
 
+def test_fits_send_the_driver_results_of_a_fixed_number_of_partitions(spark):
+    most = 2 * spark.sparkContext.defaultParallelism
+    for rows in (spark.range(0, 1000, 1, 3), spark.range(0, 1000, 1, 200)):
+        kept = X.held(rows)
+        assert X.few(kept).count() == 1000 and X.few(kept).rdd.getNumPartitions() == min(most, rows.rdd.getNumPartitions())
+        kept.unpersist()
+
+
 def test_search_space_is_seeded():
     draws = [X.sample_params(42, t) for t in range(50)]
     assert draws[3] == X.sample_params(42, 3) and all(0.01 <= d["stepSize"] <= 0.1 and 3 <= d["maxDepth"] <= 12 for d in draws)
