@@ -31,6 +31,8 @@ from lendframe.llm.common import staged, table
 COMPONENTS, GUARD, DEGREE = 32, 16, 8
 SCALE, SHIFT = 64, 1_000_000
 CERTIFIED, STALLED, RANK = 1e-14, 1e-11, 1e-10
+#: An eigenvalue at that limit is known to 1e-6 of itself only; it counts as zero whichever way rounding takes it.
+EDGE = 1 + 1e-4
 PATIENCE, PROBES = 6, 8
 #: Groups in which the partial products of all partitions are added up.
 GROUPS = 16
@@ -122,7 +124,7 @@ def leading(product, dim: int, count: int, seed: int = 11) -> tuple[np.ndarray,
     values, q, off = ritz(product, rng.normal(size=(dim, min(dim, count + guard))))
     best, spent = np.inf, 0
     while values[0] > 0:
-        wanted = int((values[:count] > RANK * values[0]).sum())
+        wanted = int((values[:count] > RANK * EDGE * values[0]).sum())
         worst = off[:wanted].max() / values[0]
         low = max(0.0, values[-1] - off[-1])
         if q.shape[1] == dim:
@@ -146,7 +148,7 @@ def leading(product, dim: int, count: int, seed: int = 11) -> tuple[np.ndarray,
             high = max(values[-1], RANK * values[0])
             q = filtered(product, q, low if low < high * (1 - 1e-6) else high / 2, high, values[0], DEGREE)
         values, q, off = ritz(product, q)
-    keep = np.flatnonzero(values[:count] > max(RANK * values[0], 0))
+    keep = np.flatnonzero(values[:count] > max(RANK * EDGE * values[0], 0))
     q = q[:, keep]
     return values[keep], q * np.sign(q[np.abs(q).argmax(axis=0), np.arange(len(keep))])
 
