@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -251,3 +252,26 @@ def test_boosting_is_cut_at_its_best_round(spark, loans, tmp_path):
     for tree in model.trees:
         walk(tree._java_obj.rootNode())
     assert X.split_counts(model) == walked
+
+
+def test_challenger_fit_runs_the_whole_search(spark, tmp_path, monkeypatch):
+    """30 trials, each allowed 2,000 rounds and a patience of 50, on all rows of the split; the fit itself is one tree here."""
+    from verification.queries import challenger_fit
+
+    spark.range(400).selectExpr(
+        "id AS o_orderkey", "id % 37 AS o_custkey", "element_at(array('O', 'F', 'P'), int(id % 3) + 1) AS o_orderstatus", "double(id * 997 % 400000) AS o_totalprice",
+        "date_add(date'1995-01-01', int(id % 900)) AS o_orderdate", "element_at(array('1-URGENT', '5-LOW'), int(id % 2) + 1) AS o_orderpriority",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    asked, fitted, lock = [], [], threading.Lock()
+
+    def one_tree(train, held, params, max_rounds, patience, seed):
+        with lock:
+            asked.append((max_rounds, patience, train.count() + held.count()))
+            if not fitted:
+                fitted.append(X.fit_trees(train, {"maxDepth": 1}, 1, seed))
+            return fitted[0]
+
+    monkeypatch.setattr(X, "boosted", one_tree)
+    trials = challenger_fit(spark, str(tmp_path)).collect()
+    assert sorted(r["trial"] for r in trials) == list(range(30))
+    assert len(asked) == 30 and {a[:2] for a in asked} == {(2000, 50)} and len({a[2] for a in asked}) == 1 and asked[0][2] > 300
