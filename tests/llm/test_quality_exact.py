@@ -106,3 +106,17 @@ def test_no_ngram_is_lost_between_table_and_join(spark, monkeypatch):
     often, others = Q.parted(found, whole)
     a, b = ({tuple(r) for r in x.collect()} for x in (often, others))
     assert 0 < len(a) <= 104 and b and not a & b and {r[0] for r in a | b} == {r["key"] for r in whole.collect()}
+
+
+def test_pipeline_classifies_by_exact_bytes(spark, tmp_path):
+    """The first stage tells digits apart that are one class of bytes."""
+    import corpus_pipeline
+
+    good, bad = "the number is 5550100 and 5550123", "the number is 0915733 and 8642097"
+    rows = [(i, good if i < 50 else bad, "en", "s", len(good)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i < 50), 0) for i in range(100) if i % 50 < 40], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    stage = dict(corpus_pipeline.STAGES)["quality_classifier"]
+    out = stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == rows[:50]
